@@ -100,9 +100,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base and of its inverse modulo 2**64."""
     if len(_POWERS.get("up", ())) < n:
-        n = max(n, BATCH_BYTES + 4096)
+        most = max(n, BATCH_BYTES + 4096)
         for key, base in (("up", _BASE), ("down", _INVERSE)):
-            p = np.full(n, base, dtype=np.uint64)
+            p = np.full(most, base, dtype=np.uint64)
             p[0] = 1
             _POWERS[key] = np.cumprod(p)
     return _POWERS["up"][:n], _POWERS["down"][:n]

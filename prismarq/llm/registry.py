@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismarq.llm import mixing, sharding, url_filter
+from prismarq.llm import decontaminate, mixing, quality_rules, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pareto_mix": mixing.op2_pareto_mix,
         "op7_url_filter": url_filter.op7_url_filter,
         "op8_hypergeometric_shards": sharding.op8_hypergeometric_shards,
+        "op9_host_rules": quality_rules.op9_host_rules,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 
@@ -21,4 +23,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_pareto_mix": mixing.ORACLE_SQL,
         "op7_url_filter": url_filter.ORACLE_SQL,
+        "op9_host_rules": quality_rules.ORACLE_SQL,
+        "op10_decontaminate": decontaminate.ORACLE_SQL,
     }
