@@ -4,11 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismarq.llm import mixing, sharding
+from prismarq.llm import decontaminate, mixing, near_dedup, quality_rules, sharding
+from prismarq.llm.common import write_table
 
 ORACLE_SQL = None  # the shuffle's hypergeometric draws are outside SQL; tests hold each stage against brute force
 
 
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither their own rules nor their host's reject."""
+    return quality_rules.apply_rules(docs).where("kept").select(*docs.columns)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component (5-word shingles, similarity 0.8)."""
+    return near_dedup.near_duplicates(docs).where("kept").select(*docs.columns)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark contaminates."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.remove_documents(decontaminate.decontaminate(docs, benchmark)).select(*docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, each as often as the mix takes it."""
     return mixing.repeat_rows(mixing.mix_sources(docs), docs.columns)
@@ -19,12 +36,11 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(docs)
 
 
-STAGES = [("mixing", mix), ("sharding", shard)]
+STAGES = [("quality_rules", rules), ("near_dedup", dedup), ("decontamination", clean), ("mixing", mix), ("sharding", shard)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from prismarq.llm.common import write_table
-
+    """All stages over ``documents``: documents with law, shard and slot."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = write_table(stage(spark, docs, sf_dir))
