@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, quality_rules, sharding, url_filter
+from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, quality_rules, sharding, substring_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_quality": compression_classifier.op1_compression_quality,
         "op2_pareto_mix": mixing.op2_pareto_mix,
+        "op3_suffix_dedup": substring_dedup.op3_suffix_dedup,
         "op4_tree_scoring": html_extract.op4_tree_scoring,
         "op5_chosen_path": near_dedup.op5_chosen_path,
         "op7_url_filter": url_filter.op7_url_filter,
