@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, quality_rules, sharding, substring_dedup, url_filter
+from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, quality_rules, sharding, substring_dedup, token_files, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix_dedup": substring_dedup.op3_suffix_dedup,
         "op4_tree_scoring": html_extract.op4_tree_scoring,
         "op5_chosen_path": near_dedup.op5_chosen_path,
+        "op6_token_files": token_files.op6_token_files,
         "op7_url_filter": url_filter.op7_url_filter,
         "op8_hypergeometric_shards": sharding.op8_hypergeometric_shards,
         "op9_host_rules": quality_rules.op9_host_rules,
