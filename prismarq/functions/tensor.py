@@ -109,7 +109,7 @@ def npy_header(content: Column) -> Column:
 
 def encode_npy(array: np.ndarray) -> bytes:
     """A version 1.0 .npy file, C order."""
-    array = np.ascontiguousarray(array)
+    array = np.asarray(array, order="C")
     head = f"{{'descr': {array.dtype.str!r}, 'fortran_order': False, 'shape': {array.shape!r}, }}"
     head += " " * (-(len(head) + 11) % 64) + "\n"
     return b"\x93NUMPY\x01\x00" + struct.pack("<H", len(head)) + head.encode("latin1") + array.tobytes()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prismarq.functions.geometry import parse_bucket
+from prismarq.functions.text import strip
 
 # Artifact -> (expected shape, dtype). Letters stand for bucket height and width; None for any number.
 EXPECTED = {
@@ -58,7 +59,7 @@ def issues(artifacts: DataFrame, metadata: DataFrame) -> DataFrame:
     bad = metadata.where("not ok").select("image_id", F.lit("metadata").alias("artifact"), F.lit("corrupt").alias("kind"), F.lit("missing or unreadable").alias("detail"))
     good = metadata.where("ok").select("image_id", parse_bucket(F.col("aspect_bucket")).alias("bucket"))
     rows = artifacts.join(good, "image_id")
-    blank = F.when((F.col("artifact") == "caption") & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0), F.array(_issue("empty", "empty caption")))
+    blank = F.when((F.col("artifact") == "caption") & (F.length(strip(F.coalesce("text", F.lit("")))) == 0), F.array(_issue("empty", "empty caption")))
     found = F.coalesce(blank, tensor_issues(F.col("artifact"), F.col("header"), F.col("bucket")))
     return rows.select("image_id", "artifact", F.explode(found).alias("i")).select("image_id", "artifact", "i.kind", "i.detail").unionByName(bad)
 

@@ -98,7 +98,7 @@ def bbox_transform(t):
     return rows.select("p_partkey", F.round("c.cx", 6).alias("cx"), F.round("c.cy", 6).alias("cy"), F.round(fixed["sw"], 6).alias("sw"), F.round(fixed["sh"], 6).alias("sh"))
 
 
-@query(f"SELECT {_LINE}, round(l_quantity / 288.0::DOUBLE * l_extendedprice + l_suppkey - l_extendedprice / 2, 3) AS x FROM lineitem")
+@query(f"SELECT {_LINE}, round(l_quantity / 288.0::DOUBLE * l_suppkey + l_partkey - l_suppkey / 2, 6) AS x FROM lineitem")
 def keypoint_back_project(t):
-    x = G.back_project(F.col("l_quantity"), G.CROP_WIDTH, F.col("l_extendedprice"), F.col("l_suppkey"))
-    return t.lineitem.select(*_KEYS, F.round(x, 3).alias("x"))
+    x = G.back_project(F.col("l_quantity"), G.CROP_WIDTH, F.col("l_suppkey"), F.col("l_partkey"))
+    return t.lineitem.select(*_KEYS, F.round(x, 6).alias("x"))
