@@ -208,7 +208,7 @@ class _Tree:
         for i in range(1, len(self.tag)):
             if keep[self.parent[i]]:
                 keep[i] = True
-            elif around and self.parent[i] == self.parent[around] and self.text_size[i]:
+            elif i != around and around and self.parent[i] == self.parent[around] and self.text_size[i]:
                 plain = self.tag[i] == "p" or self.tag[i] in HEADING
                 keep[i] = self.density(i) < 0.25 if plain else scores[i] >= bar and self.density(i) < 0.5
         return "\n".join(text for node, text in self.blocks if keep[node])
