@@ -1,27 +1,23 @@
 """What the operators of this subpackage share.
 
-Word classes, shared-folder tables, and a vectorised view of a batch of texts
+Word classes, tables in the shared folder, and a vectorised view of a batch of texts
 (``ByteBatch``) that finds words and hashes byte strings without Python loops.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prismarq.sources.shared import BROADCAST_ROWS, shared_folder, small, write_table  # noqa: F401
+
 #: A word: a run of characters that are not ASCII white space (Java and RE2 syntax alike).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
-#: Rows that may be broadcast: tables are counted against this before they are.
-BROADCAST_ROWS = 200_000
-
 #: Texts are joined into buffers of about so many bytes for vectorised work.
 BATCH_BYTES = 1 << 20
 
@@ -31,36 +27,6 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder path that the driver and all executors can reach.
-
-    It lies in the folder that the cluster names in ``spark.checkpoint.dir``;
-    where that is unset (tests, one machine) a temporary folder takes its place.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = getattr(shared_folder, "own", None)
-        if top is None:
-            top = shared_folder.own = tempfile.mkdtemp(prefix="prismarq-")
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def write_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage."""
-    spark = df.sparkSession
-    path = shared_folder(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast only if it is counted to have at most ``limit`` rows.
-
-    Give a written table: counting a longer plan would run it once more.
-    """
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Working column names like ``names`` that clash with no column of ``df``."""
     taken = {c.lower() for c in df.columns}
