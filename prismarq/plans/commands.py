@@ -21,6 +21,7 @@ from prismarq.operators.passes import write_artifact
 from prismarq.sources import images as I
 from prismarq.sources import npy
 from prismarq.sources.hub import FolderHub
+from prismarq.sources.models import plug_in
 from prismarq.sources.shared import reach_workers, write_table
 
 
@@ -137,8 +138,16 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     top = argparse.ArgumentParser(prog="prismarq")
     sub = top.add_subparsers(dest="command", required=True)
-    for name in ("status", "verify", "publish", "reconcile", "migrate"):
+    for name in ("process", "status", "verify", "publish", "reconcile", "migrate"):
         p = sub.add_parser(name)
+        if name == "process":
+            p.add_argument("root")
+            p.add_argument("output")
+            p.add_argument("--passes", default="all")
+            p.add_argument("--second", action="store_true", help="default passes of the second generation")
+            p.add_argument("--shard", help="N/M")
+            p.add_argument("--image-list")
+            p.add_argument("--backends", required=True, help="module:factory that returns (decode, backends)")
         if name in ("status", "verify", "publish"):
             p.add_argument("dataset")
         if name == "verify":
@@ -163,6 +172,14 @@ def main(argv: Sequence[str] | None = None) -> int:
         print(f"{a.dataset} is no folder", file=sys.stderr)
         return 2
     spark = SparkSession.builder.appName("prismarq").getOrCreate()
+    if a.command == "process":
+        names = passes.resolve_passes(a.passes, passes.DEFAULT_PASSES_2 if a.second else passes.DEFAULT_PASSES)
+        done = process(spark, a.root, a.output, names, *plug_in(a.backends), a.shard, a.image_list)
+        if done is None:
+            print("no images", file=sys.stderr)
+            return 1
+        print({r["outcome"]: r["n"] for r in passes.counters(done).collect()})
+        return 0
     if a.command == "status":
         rows = status(spark, a.dataset).collect()
         for r in rows:

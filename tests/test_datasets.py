@@ -188,3 +188,36 @@ def test_streams(spark, tmp_path):
     upsert(chunk(2, "b", "c"), 1)
     upsert(chunk(2, "b", "c"), 1)
     assert {(r["label"], r["n"]) for r in incremental.current_chunks(spark, table).collect()} == {("a", 1), ("b", 2), ("c", 2)}
+
+
+def backends():
+    return decode, {}
+
+
+def test_commands(spark, tmp_path, capsys):
+    put(f"{tmp_path}/in/a.png", png(64, 64))
+    out = f"{tmp_path}/out"
+    assert commands.main(["process", f"{tmp_path}/in", out, "--passes", "pixel", "--backends", "test_datasets:backends"]) == 0
+    assert "'processed': 1" in capsys.readouterr().out
+    assert commands.main(["status", out]) == 0 and commands.main(["verify", out]) == 0 and commands.main(["verify", f"{tmp_path}/none"]) == 2
+    assert commands.main(["publish", out, "--hub", f"{tmp_path}/hub", "--repo", "u/r", "--layers", "nothing"]) == 2
+    os.makedirs(f"{tmp_path}/hub")
+    assert commands.main(["reconcile", "--hub", f"{tmp_path}/hub", "--repo", "u/r", "--dry-run"]) == 0
+    assert commands.main(["migrate", f"{tmp_path}/no.jsonl", "x", "y"]) == 1
+    with pytest.raises(SystemExit):
+        commands.main(["nonsense"])
+
+
+def test_models(tmp_path):
+    from prismarq.sources import models
+
+    sent = []
+    captions = models.HttpCaptions("http://host/", "m", lambda image: b"jpeg", send=lambda url, body, t: sent.append((url, json.loads(body), t)) or b'{"response": "a cat"}')
+    assert captions(None, 7) == "a cat"
+    url, body, timeout = sent[0]
+    assert url == "http://host/api/generate" and timeout == 120 and body["options"] == {"temperature": 0.7, "num_predict": 7} and body["images"] == ["anBlZw=="]
+    fetched = []
+    fetch = lambda name, path: fetched.append(name) or put(path, b"x")
+    assert models.cached_file("a.bin", fetch, str(tmp_path)) == models.cached_file("a.bin", fetch, str(tmp_path)) and fetched == ["a.bin"]
+    assert models.pick_device("cpu") == "cpu" and models.pick_device() in ("cpu", "cuda")
+    assert models.config_name("matting", "5b", ["x_matting_1b.py", "x_seg_5b.py"]) == "x_matting_1b.py"
