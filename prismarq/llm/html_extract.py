@@ -143,6 +143,8 @@ class _Tree:
         if tag == "header" or words & {"header", "masthead"} and inside:
             return not inside, inside, words
         hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDING.search(a.get("style", "")))
+        if words & {"has", "with", "no", "without"}:  # a layout that says what stands beside it
+            words -= FURNITURE_WORDS - COMMENT_WORDS
         named = bool(words & FURNITURE_WORDS) and (tag in BLOCK or bool(words & COMMENT_WORDS) or bool(words & {"ad", "ads", "advert"}))
         return hidden or tag in FURNITURE_TAGS or a.get("role", "").lower() in FURNITURE_ROLES or named, False, words
 

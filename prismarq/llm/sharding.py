@@ -13,7 +13,8 @@ not kept together: one may hold a third of all rows, and no shard could take it.
 
 All randomness comes from hashes of the row's own values and the seed, so a lost
 executor's work comes out the same when it is done again.  Equal rows are told
-apart by nothing, so which of them goes where is of no consequence.
+apart by nothing, so which of them goes where is of no consequence; rows that
+are equal in every column share a block, copies under other ids do not.
 
 Defined cases: null ids and texts are values like others; an empty table gives an
 empty result; fewer rows than shards leave shards empty; input columns pass
@@ -77,13 +78,12 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, blocks: int = BLOCK
     block, order, place, bin_, again, first = names
     key = [F.col(f"`{c}`") for c in keys]
     hashed = df.withColumn(order, F.xxhash64(F.lit(seed), *key)).withColumn(again, F.xxhash64(F.lit(seed + 1), *key))
-    # Rows with equal values would all meet in one block: they are dealt by a random number drawn anew, but only which of the equals it is depends on it.
     hashed = hashed.withColumn(block, F.pmod(F.xxhash64(F.col(order), F.lit(seed + 2)), F.lit(blocks)).cast("int"))
     counts = dict(hashed.groupBy(block).count().collect())  # at most ``blocks`` rows
     sizes = np.array([counts.get(i, 0) for i in range(blocks)], dtype=np.int64)
     matrix = communication_matrix(sizes, shard_sizes(int(sizes.sum()), shards), seed)
     ends = F.element_at(F.lit(np.cumsum(matrix, axis=1).tolist()).cast("array<array<bigint>>"), F.col(block) + 1)
-    permuted = hashed.withColumn(place, F.row_number().over(Window.partitionBy(block).orderBy(order)) - 1)
+    permuted = hashed.withColumn(place, F.row_number().over(Window.partitionBy(block).orderBy(order, again)) - 1)
     sent = permuted.withColumn("shard", F.size(F.filter(ends, lambda e: e <= F.col(place))).cast("int"))
     sent = sent.withColumn(bin_, F.pmod(F.xxhash64(F.col(again), F.col(place)), F.lit(bins)).cast("int"))
     # The bins' counts per block follow from the rows alone; at most shards * bins rows reach the driver.

@@ -83,8 +83,8 @@ def test_multikey_sort():
 
 
 PAGE = """<html><body><header><h1>Site</h1></header><nav><a href=x>Home, sweet, home</a></nav><div class="cookie-banner">We, use, cookies, a, lot.</div>
-<main><article><h1>Title &amp; more</h1><p>First, long paragraph with <a href=x>a link</a>, and text.<p>Second   one&nbsp;here<br>on.<ul><li>x<li>y</ul></article>
-<aside><p>Side, bar, with, many, commas, in, it.</p></aside></main><section id="comments"><article class="comment"><p>I, liked, it, a, lot, really.</p></article></section>
+<div class="layout with-sidebar"><main><article><h1>Title &amp; more</h1><p>First, long paragraph with <a href=x>a link</a>, and text.<p>Second   one&nbsp;here<br>on.<ul><li>x<li>y</ul></article>
+<aside><p>Side, bar, with, many, commas, in, it.</p></aside></main></div><section id="comments"><article class="comment"><p>I, liked, it, a, lot, really.</p></article></section>
 <form><p>Name, please</p></form><script>var a = "<p>no</p>";</script><footer>(c)</footer></body></html>"""
 
 
