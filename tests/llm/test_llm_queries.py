@@ -77,9 +77,10 @@ def brute_repeats(texts: list[bytes], length: int) -> list[np.ndarray]:
     return out
 
 
-@pytest.mark.parametrize("giant", [20_000, 1])
-def test_op3(spark, documents, giant, monkeypatch):
+@pytest.mark.parametrize("giant,hot", [(20_000, 20), (1, 20), (20_000, 2)])
+def test_op3(spark, documents, giant, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "GIANT", giant)
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
     got = substring_dedup.op3_suffix_dedup(spark, SF).toPandas().set_index("doc_id")
     texts = [t.encode() for t in documents.text]
     for i, t, hit in zip(documents.doc_id, texts, brute_repeats(texts, 200)):
