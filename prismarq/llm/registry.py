@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, quality_rules, sharding, substring_dedup, token_files, url_filter
+from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, near_dedup_sql, quality_rules, sharding, substring_dedup, token_files, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_pareto_mix": mixing.ORACLE_SQL,
+        "op5_chosen_path": near_dedup_sql.ORACLE_SQL,
         "op7_url_filter": url_filter.ORACLE_SQL,
         "op9_host_rules": quality_rules.ORACLE_SQL,
         "op10_decontaminate": decontaminate.ORACLE_SQL,
