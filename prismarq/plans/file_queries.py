@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from prismarq.functions import dense as D
+from prismarq.functions.tensor import decode_npy, encode_npy, npy_header
 from prismarq.operators import verify as R
 from prismarq.plans.catalogue import query
+from prismarq.sources import tar
+from prismarq.sources.shared import shared_folder
 
 
-@query("""WITH m AS (SELECT doc_id AS image_id, text IS NOT NULL AND doc_id % 50 <> 0 AS ok, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE [1024, 832, 768][1 + doc_id % 3] END AS w FROM documents),
+_ISSUES = """m AS (SELECT doc_id AS image_id, text IS NOT NULL AND doc_id % 50 <> 0 AS ok, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE [1024, 832, 768][1 + doc_id % 3] END AS w FROM documents),
 a AS (SELECT doc_id AS image_id, ['dinov3_cls', 'dinov3_patches', 'seg', 'caption'][1 + doc_id % 4] AS artifact, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN [1024, 1024] ELSE [1024] END AS shape,
   CASE WHEN doc_id % 5 = 0 THEN '<f4' WHEN doc_id % 2 = 0 THEN '<f2' ELSE '|u1' END AS descr, CASE WHEN doc_id % 8 = 3 THEN ' ' ELSE 'x' END AS text FROM documents),
 j AS (SELECT a.*, m.w FROM a JOIN m ON a.image_id = m.image_id WHERE m.ok),
@@ -18,8 +24,11 @@ i AS (SELECT image_id, artifact, unnest(CASE
   WHEN shape IS NULL THEN ['corrupt']
   WHEN artifact = 'dinov3_cls' THEN CASE WHEN shape <> [1024] THEN ['shape'] WHEN descr <> '<f2' THEN ['dtype'] ELSE [] END
   WHEN artifact = 'dinov3_patches' THEN list_concat(CASE WHEN len(shape) <> 2 OR shape[2] <> 1024 THEN ['shape'] ELSE [] END, CASE WHEN descr <> '<f2' THEN ['dtype'] ELSE [] END)
-  ELSE CASE WHEN shape <> [w, w] THEN ['shape'] WHEN descr <> '|u1' THEN ['dtype'] ELSE [] END END) AS kind FROM j)
-SELECT image_id, artifact, kind FROM i UNION ALL SELECT image_id, 'metadata', 'corrupt' FROM m WHERE NOT ok""")
+  ELSE CASE WHEN shape <> [w, w] THEN ['shape'] WHEN descr <> '|u1' THEN ['dtype'] ELSE [] END END) AS kind FROM j),
+issues AS (SELECT image_id, artifact, kind FROM i UNION ALL SELECT image_id, 'metadata', 'corrupt' FROM m WHERE NOT ok)"""
+
+
+@query(f"WITH {_ISSUES} SELECT * FROM issues")
 def verify_issues(t):
     return _issues(t)[1].select("image_id", "artifact", "kind")
 
@@ -37,6 +46,68 @@ def _issues(t):
     return meta, R.issues(arts, meta)
 
 
-@query(None)
+@query(f"WITH {_ISSUES} SELECT (SELECT count(*) FROM m) AS images, count(DISTINCT image_id) AS bad_images, count(*) AS issues FROM issues")
 def verify_summary(t):
     return R.summary(*_issues(t))
+
+
+def _half_files(t):
+    """Vectors as .npy files of half floats."""
+
+    def encode(parts):
+        for pdf in parts:
+            files = [encode_npy(np.asarray(v, dtype=np.float16)) for v in pdf["embedding"]]
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"], "content": files})
+
+    return t.embeddings.mapInPandas(encode, "vec_id bigint, label int, content binary")
+
+
+@query("SELECT vec_id, '<f2' AS descr, CAST(len(embedding) AS VARCHAR) AS shape, 2 * len(embedding) AS data_bytes FROM embeddings")
+def npy_headers(t):
+    rows = _half_files(t).withColumn("h", npy_header(F.substring("content", 1, 1024)))
+    header = 10 + F.conv(F.hex(F.substring("content", 9, 1)), 16, 10).cast("int") + F.conv(F.hex(F.substring("content", 10, 1)), 16, 10).cast("int") * 256
+    return rows.select("vec_id", "h.descr", F.array_join(F.col("h.shape").cast("array<string>"), ",").alias("shape"), (F.length("content") - header).cast("bigint").alias("data_bytes"))
+
+
+@query("SELECT vec_id, true AS close FROM embeddings")
+def half_round_trip(t):
+    """Half floats decode to within their precision of the source."""
+
+    def decode(parts):
+        for pdf in parts:
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "back": [decode_npy(bytes(c)).astype(np.float32) for c in pdf["content"]]})
+
+    back = _half_files(t).mapInPandas(decode, "vec_id bigint, back array<float>").join(t.embeddings, "vec_id")
+    return back.select("vec_id", F.forall(F.zip_with("back", "embedding", lambda a, b: F.abs(a - b) <= F.abs(b) * 0.001 + 1e-6), lambda x: x).alias("close"))
+
+
+@query("""WITH p AS (SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos FROM embeddings)
+SELECT printf('%05d-%05d', label, label) || '.tar' AS shard, pos, 'v' || vec_id AS "key", 'dinov3_cls.npy' AS member, 128 + 2 * len(embedding) AS bytes FROM p""")
+def tar_round_trip(t):
+    """Archives by label, written through the tar sink and scanned again."""
+    from pyspark.sql import Window
+
+    from prismarq.functions.text import range_label
+
+    pos = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    rows = _half_files(t).select(
+        range_label(F.col("label"), F.col("label")).alias("label"), pos.cast("bigint").alias("pos"), F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("image_id"),
+        F.lit("dinov3_cls.npy").alias("file"), "content")
+    folder = shared_folder(t.spark)
+    tar.write_tars(rows, folder)
+    return tar.read_tars(t.spark, folder).select("shard", "pos", "key", "member", F.length("content").cast("bigint").alias("bytes"))
+
+
+@query("SELECT p_partkey, 3 AS channels, 24 AS height, 16 AS width, round((p_size * 5) / 255.0, 2) AS value FROM part")
+def pixel_tensor(t):
+    """A grey image per part through the pixel pass."""
+
+    def run(parts):
+        for pdf in parts:
+            rows = []
+            for key, size in zip(pdf["p_partkey"], pdf["p_size"], strict=True):
+                x = D.pixels(D.cover_crop(np.full((30, 20, 3), size * 5, dtype=np.uint8), 16, 24))
+                rows.append((key, *x.shape, float(x.mean(dtype=np.float64))))
+            yield pd.DataFrame(rows, columns=["p_partkey", "channels", "height", "width", "value"])
+
+    return t.part.select("p_partkey", "p_size").mapInPandas(run, "p_partkey bigint, channels int, height int, width int, value double").withColumn("value", F.round("value", 2))
