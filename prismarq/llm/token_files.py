@@ -52,7 +52,7 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Vocabulary files whose tokenizers never let a token span or depend on a space or newline.
 SPLITS = frozenset(["word_bpe_49k.json"])
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 ROWS_PER_FILE = 4000
 
 _SLOTS = 4096  # contexts that orders 1 and 2 remember, each
@@ -340,6 +340,16 @@ class WordEncoder:
         return [np.frombuffer(b"".join(map(find, ws)), dtype="<u4") for ws in words]
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """The encoder of a vocabulary file, kept with its known words while the Python worker lives."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def _open(folder: str):
     """File system and path of a folder given as URI or local path."""
     from pyarrow import fs
@@ -352,7 +362,7 @@ def _writer(folder: str, vocabulary: str, end_id: int):
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
-        encoder = WordEncoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         bits = max(1, (max(encoder.size - 1, end_id)).bit_length())
         system, path = _open(folder)
         name = f"part-{number:06d}.ids"
