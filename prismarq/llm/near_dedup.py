@@ -43,7 +43,7 @@ SHINGLE = 5
 RECALL = 0.9999
 LEVELS = 3
 LEAF = 64
-#: Documents of a node at the last level that are compared in one go; larger nodes are cut and tied together.
+#: Documents of a node at the last level that are compared in one go; larger nodes are cut into chunks, which meet in pairs where needed.
 CHUNK = 512
 #: Documents that meet in one task at most (twice as many for pairs of blocks).
 BLOCK = 4096
@@ -177,7 +177,7 @@ def _coarse_links(ids: np.ndarray, sigs: np.ndarray, bar: int) -> list[tuple[int
 
 
 def _leaf_linker(bar: int):
-    """Links within consecutive rows of equal (key, chunk); and, between chunks of one key, from first row to first row."""
+    """Links within consecutive rows of equal (key, chunk)."""
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -237,16 +237,43 @@ def _coarse(reps: DataFrame, threshold: float, width: int) -> DataFrame:
     big3 = write_table(three.groupBy("key").count().where(F.col("count") > CHUNK).select("key", F.ceil(F.col("count") / CHUNK).alias("chunks")))
     ends = one.join(small(big1), "key", "left_anti").unionByName(two.join(small(big2), "key", "left_anti"))
     ends = ends.unionByName(three.join(small(big3), "key", "left_anti")).withColumn("chunk", F.lit(0).cast("long"))
-    split = three.join(small(big3), "key").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks"))).select("key", "rep", "chunk")
+    split = write_table(three.join(small(big3), "key").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks"))).select("key", "rep", "chunk", "chunks"))
     shared = ends.groupBy("key").count().where("count > 1").select("key")  # alone in a node: no partner there
-    ends = ends.join(shared, "key", "left_semi").select("key", "rep", "chunk").unionByName(split)
-    rows = ends.join(reps.select("rep", "sig"), "rep").select("key", "chunk", "rep", "sig")
-    rows = rows.repartition(F.col("key"), F.col("chunk")).sortWithinPartitions("key", "chunk", "rep")
-    links = rows.mapInPandas(_leaf_linker(bar), "a long, b long")
-    # Chunks of one node are tied by their first documents: coarse components may be too large, never too small.
+    ends = ends.join(shared, "key", "left_semi").select("key", "rep", "chunk").unionByName(split.drop("chunks"))
+
+    def links_in(groups: DataFrame) -> DataFrame:
+        rows = groups.join(reps.select("rep", "sig"), "rep").select("key", "chunk", "rep", "sig")
+        rows = rows.repartition(F.col("key"), F.col("chunk")).sortWithinPartitions("key", "chunk", "rep")
+        return rows.mapInPandas(_leaf_linker(bar), "a long, b long")
+
+    # Chunks of one node are tied by their first documents, which only adds candidates.
     heads = split.groupBy("key", "chunk").agg(F.min("rep").alias("b"))
     tops = heads.groupBy("key").agg(F.min("b").alias("a"))
-    return components(links.unionByName(heads.join(tops, "key").select("a", "b")))
+    tied = components(links_in(ends).unionByName(heads.join(tops, "key").select("a", "b")))
+    if big3.isEmpty():
+        return tied
+    across = links_in(_across(split, tied))
+    return components(across.unionByName(tied.select(F.col("v").alias("a"), F.col("label").alias("b"))))
+
+
+def _across(split: DataFrame, tied: DataFrame) -> DataFrame:
+    """(key, chunk, rep): groups in which all pairs of one node and different labels meet.
+
+    The first documents of a node's chunks have one label, so one of such a pair is outside
+    it: those documents, in parts of ``CHUNK``, meet every chunk, and ``chunk`` numbers the
+    pairs of part and chunk.
+    """
+    known = split.join(tied, split.rep == tied.v, "left").select("key", "rep", "chunk", "chunks", F.coalesce("label", "rep").alias("label"))
+    known = write_table(known)
+    tops = known.groupBy("key").agg(F.min_by("label", "rep").alias("top"))
+    outside = write_table(known.join(tops, "key").where("label <> top").select("key", "rep", "chunk", "chunks"))
+    parts = write_table(outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts")))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    pool = known.join(small(parts), "key").select("key", "rep", "chunk", "chunks", upto("parts").alias("part"))
+    probe = outside.join(small(parts), "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    probe = probe.withColumn("other", upto("chunks")).where("other <> chunk")  # it is in its own chunk's pool
+    groups = pool.unionByName(probe.select("key", "rep", F.col("other").alias("chunk"), "chunks", "part"))
+    return groups.select("key", (F.col("part") * F.col("chunks") + F.col("chunk")).alias("chunk"), "rep")
 
 
 def linked(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:

@@ -126,6 +126,36 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert all(got.component_id[i] == c for i, (_, c) in want.items())
 
 
+def test_near_duplicates_in_chunks(spark, monkeypatch):
+    """Pairs in different chunks of a node, next to many texts that share their frequent lines but are no near copies."""
+    rng = np.random.default_rng(5)
+    common, rows = rng.integers(0, 500, 45), []
+    for i in range(60):
+        w = np.concatenate([common, rng.integers(1000, 90000, 20)])
+        for j in range(2):
+            twin = w.copy()
+            twin[-1 - j] = 100_000 + 2 * i + j
+            rows.append((int(rng.integers(1 << 40)), " ".join(f"w{x}" for x in twin)))
+    monkeypatch.setattr(near_dedup, "LEAF", 2)
+    monkeypatch.setattr(near_dedup, "CHUNK", 2)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=2).toPandas().set_index("doc_id")
+    want = brute_components(dict(rows), 2)
+    assert len({c for _, c in want.values()}) == 60
+    assert all(got.component_id[i] == c for i, (_, c) in want.items())
+
+
+def test_chunks_of_one_node(spark, monkeypatch):
+    """All signatures in one last-level node: equal ones share a label, whichever chunks they are in."""
+    rng = np.random.default_rng(6)
+    sigs = rng.integers(0, 256, (40, 54), dtype=np.uint8)
+    reps = [(int(r), bytearray(sigs[i % 40].tobytes()), [1], [2], [3]) for i, r in enumerate(rng.permutation(80))]
+    monkeypatch.setattr(near_dedup, "LEAF", 2)
+    monkeypatch.setattr(near_dedup, "CHUNK", 2)
+    df = spark.createDataFrame(reps, "rep bigint, sig binary, n1 array<bigint>, n2 array<bigint>, n3 array<bigint>")
+    label = {r["v"]: r["label"] for r in near_dedup._coarse(df, 0.8, 54).collect()}
+    assert all(label.get(a[0], a[0]) == label.get(b[0], b[0]) for a, b in zip(reps[:40], reps[40:]))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 49), (50, 51)], "a bigint, b bigint")
     got = {r["v"]: r["label"] for r in components.components(links).collect()}
