@@ -25,18 +25,24 @@ from prismarq.sources.models import plug_in
 from prismarq.sources.shared import reach_workers, write_table
 
 
-def process(spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None) -> DataFrame | None:
-    """Run passes over the images of ``root``; OUTCOME rows, or None without images. Metadata is made where it is missing."""
+def process_all(spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """Run passes over the images of ``root``; OUTCOME rows of passes and of unreadable images, or None without images.
+
+    Metadata is made where it is missing; images whose size cannot be read have no passes and are named on stderr.
+    """
     reach_workers(spark)
     found = I.scan_images(spark, root) if listing is None else I.scan_list(spark, listing, root)
     if shard:
         found = positional.shard(found.select("path", "image_id"), *positional.parse_shard(shard), X.components(F.col("path")))
     content = I.read_images(spark, root).join(found.select("image_id").distinct(), "image_id", "left_semi")
-    sized = I.with_size(content.select("path", "image_id", "content"))
     if found.isEmpty():
         return None
+    sized = write_table(I.with_size(content.select("path", "image_id", "content")))
     old = I.scan_metadata(spark, output) if os.path.isdir(output) else I.scan_metadata(spark, root).where("false")
     meta = write_table(I.ensure_metadata(sized, old))
+    unread = sized.join(meta, "image_id", "left_anti")
+    for r in unread.toLocalIterator():
+        print(f"warning: cannot read dimensions for {r['path']}", file=sys.stderr)
 
     def keep(part):
         for pdf in part:
@@ -46,7 +52,14 @@ def process(spark: SparkSession, root: str, output: str, names: Sequence[str], d
 
     meta.where("made").drop("made").mapInPandas(keep, "image_id string").count()
     work = content.select("image_id", "content").join(meta.select("image_id", "aspect_bucket"), "image_id")
-    return passes.run_passes(work, lambda: I.scan_artifacts(spark, output), names, decode, backends, output)
+    errors = unread.select("image_id", F.lit("metadata").alias("pass"), F.lit("error").alias("outcome"), F.lit("unreadable image").alias("message"))
+    return passes.run_passes(work, lambda: I.scan_artifacts(spark, output), names, decode, backends, output), errors
+
+
+def process(spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None) -> DataFrame | None:
+    """OUTCOME rows of the passes alone."""
+    done = process_all(spark, root, output, names, decode, backends, shard, listing)
+    return done and done[0]
 
 
 def status(spark: SparkSession, dataset: str, names: Sequence[str] | None = None) -> DataFrame:
@@ -174,11 +187,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = SparkSession.builder.appName("prismarq").getOrCreate()
     if a.command == "process":
         names = passes.resolve_passes(a.passes, passes.DEFAULT_PASSES_2 if a.second else passes.DEFAULT_PASSES)
-        done = process(spark, a.root, a.output, names, *plug_in(a.backends), a.shard, a.image_list)
+        done = process_all(spark, a.root, a.output, names, *plug_in(a.backends), a.shard, a.image_list)
         if done is None:
             print("no images", file=sys.stderr)
             return 1
-        print({r["outcome"]: r["n"] for r in passes.counters(done).collect()})
+        print({r["outcome"]: r["n"] for r in passes.counters(done[0].unionByName(done[1])).collect()})
         return 0
     if a.command == "status":
         rows = status(spark, a.dataset).collect()

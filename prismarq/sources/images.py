@@ -37,7 +37,7 @@ def scan_list(spark: SparkSession, listing: str, root: str) -> DataFrame:
 
 # --- headers ----------------------------------------------------------------------------
 
-#: Bytes of a file that are enough for the size of PNG, GIF, BMP and WebP, and for most JPEGs.
+#: Bytes of a file that are enough for the size of PNG, GIF, BMP and WebP, and for most JPEGs; other files are parsed whole.
 HEADER_BYTES = 65_536
 
 
@@ -66,7 +66,8 @@ def image_size(content: bytes | None) -> tuple[int, int] | None:
     if b[:4] in (b"II*\x00", b"MM\x00*"):
         order = "little" if b[:2] == b"II" else "big"
         at, found = int.from_bytes(b[4:8], order), {}
-        for i in range(int.from_bytes(b[at : at + 2], order)):
+        n = int.from_bytes(b[at : at + 2], order)
+        for i in range(n if at + 2 + 12 * n <= len(b) else 0):  # a directory that is cut off tells nothing
             e = b[at + 2 + 12 * i : at + 14 + 12 * i]
             size = 2 if int.from_bytes(e[2:4], order) == 3 else 4
             found[int.from_bytes(e[:2], order)] = int.from_bytes(e[8 : 8 + size], order)
@@ -76,17 +77,21 @@ def image_size(content: bytes | None) -> tuple[int, int] | None:
 
 
 def with_size(images: DataFrame) -> DataFrame:
-    """``images`` (path) with width and height; null where the header cannot be read.
+    """``images`` (path, content) with width and height in place of the content; null where the file cannot be read.
 
-    Only the first bytes of each file cross to Python.
+    Only the first bytes of each file cross to Python, and the whole of those whose first bytes do not tell.
     """
 
-    def size(heads: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([image_size(bytes(h)) or (None, None) for h in heads], columns=["width", "height"]).astype("Int64")
+    def size(contents: pd.Series) -> pd.DataFrame:
+        sizes = [image_size(None if c is None else bytes(c)) or (None, None) for c in contents]
+        return pd.DataFrame(sizes, columns=["width", "height"]).astype("Int64")
 
     kind = T.StructType([T.StructField("width", T.LongType()), T.StructField("height", T.LongType())])
-    head = F.substring("content", 1, HEADER_BYTES)
-    return images.withColumn("s", F.pandas_udf(size, kind)(head)).drop("content").select("*", "s.width", "s.height").drop("s")
+    sized = F.pandas_udf(size, kind)
+    tried = images.withColumn("s", sized(F.substring("content", 1, HEADER_BYTES)))
+    rest = F.when(F.col("s.width").isNull() & (F.octet_length("content") > HEADER_BYTES), F.col("content"))
+    tried = tried.withColumn("whole", sized(rest)).drop("content")
+    return tried.select("*", *[F.coalesce(f"s.{k}", f"whole.{k}").alias(k) for k in ("width", "height")]).drop("s", "whole")
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:

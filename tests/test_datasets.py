@@ -61,6 +61,32 @@ def test_image_sizes():
     assert images.image_size(b"junk") is None and images.image_size(None) is None
 
 
+def late_tiff(w, h, pixels):
+    """A TIFF whose directory stands after ``pixels`` bytes of pixel data."""
+    entries = [(256, 3, 1, w), (257, 4, 1, h), (258, 3, 1, 8)]
+    return b"II*\0" + struct.pack("<I", 8 + pixels) + bytes(pixels) + struct.pack("<H", 3) + b"".join(struct.pack("<HHII", *x) for x in entries) + bytes(4)
+
+
+def test_sizes_beyond_the_header(spark, tmp_path, capsys):
+    root, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    put(f"{root}/late.tif", late_tiff(70, 80, 200_000))
+    put(f"{root}/cut.tif", late_tiff(300, 400, images.HEADER_BYTES - 8 - 2 - 20))  # the first bytes end within the height's entry
+    segments = (b"\xff\xe1" + struct.pack(">H", 60_002) + bytes(60_000)) * 2
+    put(f"{root}/exif.jpg", b"\xff\xd8" + segments + b"\xff\xc0\x00\x11\x08" + struct.pack(">HH", 50, 60) + b"0" * 9)
+    put(f"{root}/bad.png", b"not an image" * 9000)
+    done, errors = commands.process_all(spark, root, out, ["caption"], decode, {"caption": lambda image, n: "a"})
+    assert [tuple(r) for r in errors.collect()] == [("bad", "metadata", "error", "unreadable image")]
+    assert {(r["image_id"], r["outcome"]) for r in done.collect()} == {(i, "processed") for i in ("late", "cut", "exif")}
+    sizes = {}
+    for i in ("late", "cut", "exif"):
+        with open(f"{out}/{i}/metadata.json") as f:
+            made = json.load(f)
+        sizes[i] = (made["width"], made["height"])
+    assert sizes == {"late": (70, 80), "cut": (300, 400), "exif": (60, 50)}
+    warned = [x for x in capsys.readouterr().err.splitlines() if "warning: cannot read dimensions" in x]
+    assert len(warned) == 1 and warned[0].endswith("bad.png")
+
+
 def test_process_resumes(spark, tmp_path):
     root, out = f"{tmp_path}/in", f"{tmp_path}/out"
     put(f"{root}/a.png", png(200, 300))
