@@ -44,6 +44,15 @@ def test_classifier(spark):
     assert compression_classifier.classify(nothing(spark), model).count() == 0
 
 
+def test_sample_is_filled_in_hash_order(spark):
+    """A byte budget that runs out takes the first labels of the hash order, not of the ids."""
+    docs = spark.createDataFrame([(i, f"{i:05d}" * 20) for i in range(400)], "doc_id bigint, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    free = labels.where(~compression_classifier.held_out(F.col("doc_id"))).withColumn("o", F.xxhash64("doc_id", "quality"))
+    want = [f"{r['doc_id']:05d}".encode() * 20 for r in free.orderBy("o").limit(30).collect()]
+    assert [t for t, _, _ in compression_classifier.labelled_sample(docs, labels, most_bytes=3000)] == want
+
+
 def test_mixing(spark):
     got = mixing.mix_sources(odd(spark).withColumnRenamed("n_words", "taken")).toPandas()
     assert len(got) == 16 and (got.taken == got.copies * got["size"]).all() and (got.taken <= 3 * got["size"]).all()
