@@ -200,7 +200,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         return 0 if rows and rows[0]["total"] else 1
     if a.command == "verify":
         found, counts = verify(spark, a.dataset, a.fix)
-        for r in found.limit(1000).collect():
+        for r in found.orderBy("image_id", "artifact", "kind", "detail").toLocalIterator():
             print(f"{r['image_id']}: {r['artifact']}: {r['kind']}: {r['detail']}")
         print(counts)
         return 1 if counts["issues"] else 0

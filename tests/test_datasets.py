@@ -121,6 +121,13 @@ def test_dependencies(spark, tmp_path):
     assert passes.resolve_passes("all") == list(passes.DEFAULT_PASSES) and passes.resolve_passes(" a, ,b") == ["a", "b"]
 
 
+def test_verify_prints_every_issue(spark, tmp_path, monkeypatch, capsys):
+    found = spark.range(1200).selectExpr("lpad(id, 5, '0') AS image_id", "'seg' AS artifact", "'dtype' AS kind", "'x' AS detail")
+    monkeypatch.setattr(commands, "verify", lambda *_: (found, {"issues": 1200}))
+    assert commands.main(["verify", str(tmp_path)]) == 1
+    assert capsys.readouterr().out.splitlines() == [f"{i:05d}: seg: dtype: x" for i in range(1200)] + ["{'issues': 1200}"]
+
+
 def test_verify_fix(spark, tmp_path):
     top = str(tmp_path)
     dataset(top, 2, dinov3_cls=np.zeros(1024, dtype=np.float32), seg=np.zeros((512, 512), dtype=np.uint8))
