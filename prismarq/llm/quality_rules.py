@@ -3,8 +3,8 @@
 Each text is measured on its own; failures of each rule are summed by host, the
 failure rates are shrunk toward the corpus by a beta prior that is fitted to all
 hosts by the method of moments, and a host whose shrunken rate of any rule is
-above ``HOST_LIMIT`` loses all its documents.  Texts are read twice, measured in
-place both times, and never shuffled: only sums per host are, after partial
+above ``HOST_LIMIT`` loses all its documents.  Texts are measured once, in place,
+into a written table, and never shuffled: only sums per host are, after partial
 aggregation, so a host with a third of all rows costs no more than another.
 
 Defined cases: null text counts as empty; a null host is one more host; equal
@@ -17,11 +17,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prismarq.llm.common import ByteBatch, WORD_PATTERN, as_bytes, batches, fresh, mix64, small, write_table
+from prismarq.llm.common import _SPACE, WORD_PATTERN, Texts, Words, fresh, give_back, mix64, small, write_table
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -37,49 +37,56 @@ _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS.encode())] = True
 
 
-def _repeated(b: ByteBatch) -> np.ndarray:
+def _repeated(w: Words) -> np.ndarray:
     """For each text, words inside windows of REPEAT_WINDOW words that it holds twice or more."""
-    at, hashes = b.windows(b.word_hashes(), REPEAT_WINDOW)
+    at, hashes = w.windows(REPEAT_WINDOW)
     if not len(at):
-        return np.zeros(len(b.counts), dtype=np.int64)
-    keys = hashes ^ mix64(b.owner[at].astype(np.uint64) + np.uint64(1))
+        return np.zeros(len(w.counts), dtype=np.int64)
+    keys = hashes ^ mix64(w.owner[at].astype(np.uint64) + np.uint64(1))
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     twice = np.zeros(len(at), dtype=bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    cover = np.zeros(len(b.starts) + 1, dtype=np.int32)
+    cover = np.zeros(len(w.hashes) + 1, dtype=np.int32)
     np.add.at(cover, at[twice], 1)
     np.add.at(cover, at[twice] + REPEAT_WINDOW, -1)
     hit = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
-    return hit[b.first[1:]] - hit[b.first[:-1]]
+    return hit[w.first[1:]] - hit[w.first[:-1]]
 
 
-def _duplicate_lines(text: str) -> tuple[int, int]:
+def _duplicate_lines(text: bytes) -> tuple[int, int]:
     """Lines with a word, and those of them equal to an earlier line."""
-    lines = [x for x in text.split("\n") if x.strip(" \t\v\f\r")]
+    lines = [x for x in text.split(b"\n") if x.strip(b" \t\v\f\r")]
     return len(lines), len(lines) - len(set(lines))
 
 
-def measure_texts(texts: list[bytes]) -> pd.DataFrame:
-    """MEASURES of each text."""
+def measure_texts(texts: Texts) -> dict[str, np.ndarray]:
+    """MEASURES of each text, in pieces of about 1 MB (or one longer text's words)."""
     out = {m: np.zeros(len(texts), dtype=np.int64) for m in MEASURES}
-    for i, j in batches(texts):
-        b = ByteBatch(texts[i:j])
-        head = (b.raw & 0xC0) != 0x80
-        for name, mask in (("word_chars", b.inside & head), ("n_symbols", _SYMBOL[b.raw])):
-            upto = np.concatenate([[0], np.cumsum(mask)])
-            out[name][i:j] = upto[b.offsets[1:] - 1] - upto[b.offsets[:-1]]
-        out["n_words"][i:j] = b.counts
-        out["n_repeat_words"][i:j] = _repeated(b)
-    for i, t in enumerate(texts):
-        out["n_lines"][i], out["n_dup_lines"][i] = _duplicate_lines(t.decode("utf-8", "surrogatepass"))
-    return pd.DataFrame(out)
-
-
-def _measure(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for s in texts:
-        yield measure_texts(as_bytes(s))
+    for part in texts.groups():
+        rows = slice(part.first, part.first + len(part))
+        for at, raw in part.pieces():
+            owner = lambda mask: np.bincount(np.searchsorted(part.offsets, np.flatnonzero(mask) + at, side="right") - 1, minlength=len(part))  # noqa: B023, E731
+            out["n_symbols"][rows] += owner(_SYMBOL[raw])
+            chars = np.concatenate([[0], np.cumsum(((raw & 0xC0) != 0x80) & ~_SPACE[raw], dtype=np.int32)])
+            ends = np.clip(part.offsets - at, 0, len(raw))
+            out["word_chars"][rows] += np.diff(chars[ends])
+        words = part.words()
+        out["n_words"][rows] = words.counts
+        out["n_repeat_words"][rows] = _repeated(words)
+        for i in range(len(part)):
+            x = part.first + i
+            out["n_lines"][x], out["n_dup_lines"][x] = _duplicate_lines(part[i])
+    return out
+
+
+def _measure(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in columns:
+        found = measure_texts(Texts(column))
+        yield pa.StructArray.from_arrays([pa.array(found[m]) for m in MEASURES], list(MEASURES))
+        del column, found
+    give_back()
 
 
 def base_failed() -> Column:
@@ -113,23 +120,34 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     return write_table(per.withColumn("rejected", worst > HOST_LIMIT))
 
 
-def apply_rules(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """``docs`` with MEASURES, ``base_failed``, ``host_rejected`` and ``kept``."""
-    (m, h) = fresh(docs, "m", "h")
-    docs = docs.drop(*MEASURES, "base_failed", "host_rejected", "kept")
-    fields = [F.col(m)[k].alias(k) for k in MEASURES]
-    measure = F.pandas_udf(_measure, ", ".join(f"{k} long" for k in MEASURES))
-    measured = docs.withColumn(m, measure(F.col(text))).select(*docs.columns, *fields)
+def measure(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with MEASURES."""
+    (m,) = fresh(docs, "m")
+    docs = docs.drop(*MEASURES)
+    found = F.arrow_udf(_measure, ", ".join(f"{k} long" for k in MEASURES))
+    return docs.withColumn(m, found(F.col(text))).select(*docs.columns, *[F.col(m)[k].alias(k) for k in MEASURES])
+
+
+def judge(measured: DataFrame, host: str = "source") -> DataFrame:
+    """``measured`` (a written table with MEASURES) with ``base_failed``, ``host_rejected`` and ``kept``."""
+    (h,) = fresh(measured, "h")
+    measured = measured.drop("base_failed", "host_rejected", "kept")
     bad = host_rates(measured, host).where("rejected").select(F.col("host").alias(h), F.lit(True).alias("host_rejected"))
     out = measured.join(small(bad), F.col(host).eqNullSafe(F.col(h)), "left").drop(h)
     out = out.withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False))).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
 
 
+def apply_rules(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """``docs`` with MEASURES, ``base_failed``, ``host_rejected`` and ``kept``."""
+    return judge(write_table(measure(docs, text)), host)
+
+
 def op9_host_rules(spark, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document; its source stands for the host."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    measured = write_table(measure(docs).drop("text"))
+    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def _oracle() -> str:
