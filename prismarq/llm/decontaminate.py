@@ -1,16 +1,15 @@
 """Benchmark decontamination by a broadcast hash set of normalised n-grams.
 
 Benchmark items become windows of ``WINDOW`` words (an item of fewer words is one
-window).  A training text is scanned in its own row: every window holds a seed of
-up to ``SEED_WORDS`` words that starts at a multiple of the stride, so only those
-seeds are hashed and looked up in a bit set of the benchmark's seeds.  Windows
-around seeds that pass are joined, as whole strings, with the windows of the
-benchmark: the join verifies, the bit set only saves work.  All of it is
-DataFrame expressions; texts are never shuffled and never leave the JVM.
+window).  The 64-bit hashes of all distinct windows are the hash set: one broadcast
+table, or several of at most ``SLICE`` hashes of which each scans the texts by
+itself, so no task ever holds more.  A training text is scanned in its own row:
+words are hashed once, every window of a length that the benchmark has is hashed
+from them and looked up in the set by a broadcast semi-join.  Windows that are
+found are verified as whole strings against the benchmark's windows.
 
-The bit set travels with each task; its size follows the benchmark, and beyond
-``MAX_SEED_BITS`` it is left out, so that every seed passes.  The windows table
-is broadcast only if counted small.
+Only found windows and one narrow row per document leave the scan; texts are never
+shuffled by it.  All of it is DataFrame expressions.
 
 Defined cases: null and empty texts have no words, no hits and are clean; items
 without words match nothing; items that share an id count once; an item with a
@@ -21,128 +20,133 @@ and those named like an output are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prismarq.llm.common import fresh, lower_ascii, small, write_table
 
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased.
+RAW_TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A word with what stands before it, or what stands after the last word.
-PIECE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x60\x7B-\x7F]+\z"
+PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+\z"
 WINDOW = 13
-SEED_WORDS = 6
-MAX_SEED_BITS = 1 << 26
+#: Hashes of benchmark windows that one broadcast holds: 16 bytes each.
+SLICE = 1 << 21
 #: A document is contaminated if hits are at least 1 in so many of its words.
 SHARE = 20
+#: Stands after a document's windows and is in the set, so that every document leaves the scan.
+_LAST = 0x5DEECE66D
+
+
+def raw_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RAW_TOKEN), F.lit(0))
 
 
-def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+def _plain(word: Column) -> Column:
+    """A word with A-Z lower-cased; the quick way where it is all ASCII."""
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(lower_ascii(word))
 
 
-def _gram(words: Column, start: Column, n: int) -> Column:
+def _gram(words: Column, start: Column, n: Column) -> Column:
     """``n`` words from position ``start`` (from 0) as one string; words hold no spaces."""
-    return F.array_join(F.slice(words, start + 1, n), " ")
+    return F.array_join(F.transform(F.slice(words, start + 1, n), _plain), " ")
+
+
+def _starts(last: Column) -> Column:
+    """0, 1, ... up to ``last``; empty if that is negative."""
+    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
 
 
-def _starts(last: Column, step: int = 1) -> Column:
-    """0, step, ... up to ``last``; empty if that is negative."""
-    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(step))).otherwise(F.expr("cast(array() as array<int>)"))
+def _codes(words: Column, size: Column, n: int) -> Column:
+    """Hashes of all windows of ``n`` words, given the hashes of all ``size`` words."""
+    return F.transform(_starts(size - n), lambda i: F.xxhash64(F.lit(n), F.slice(words, i + 1, n)))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct (gram, n, items): each window's words, their number, and the ids of the items that hold it."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
+    """Distinct (code, n, gram, item): each window's hash, number of words, words, and an item that holds it."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), raw_tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
     n = F.least(F.size("w"), F.lit(window))
     at = items.select("item", "w", n.alias("n"), F.explode(_starts(F.size("w") - n)).alias("i"))
-    grams = at.select("item", "n", F.array_join(F.slice("w", F.col("i") + 1, F.col("n")), " ").alias("gram"))
-    return grams.groupBy("gram", "n").agg(F.collect_set("item").alias("items"))
-
-
-def _seed_plan(n: int) -> tuple[int, int]:
-    """Seed length and stride with which each window of ``n`` words holds a whole seed."""
-    g = min(SEED_WORDS, n)
-    return g, n - g + 1
-
-
-def _bit_set(windows: DataFrame, n: int) -> tuple[list[int], int] | None:
-    """Bits of the hashes of all seeds in windows of ``n`` words; None if too many."""
-    g, _ = _seed_plan(n)
-    w = windows.where(F.col("n") == n).select(F.split("gram", " ").alias("w"))
-    seeds = w.select(F.explode(_starts(F.lit(n - g))).alias("i"), "w").select(F.xxhash64(_gram(F.col("w"), F.col("i"), g)).alias("h")).distinct()
-    bits = 1 << max(12, (64 * windows.where(F.col("n") == n).count()).bit_length())
-    if bits > MAX_SEED_BITS:
-        return None
-    spread = seeds.select(F.explode(F.array(*_probes(F.col("h"), bits))).alias("p"))
-    found = spread.groupBy(F.call_function("shiftright", "p", F.lit(6)).cast("int").alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("b"))
-    words = [0] * (bits // 64)
-    for i, b in found.collect():  # at most bits / 64 rows
-        words[i] = b
-    return words, bits
-
-
-def _probes(h: Column, bits: int) -> list[Column]:
-    """Three bit positions from disjoint parts of a 64-bit hash (up to 21 bits each) or its overlap beyond."""
-    mask = F.lit(bits - 1).cast("long")
-    return [F.call_function("shiftrightunsigned", h, F.lit(s)).bitwiseAND(mask) for s in (0, 19, 38)]
-
-
-def _passes(h: Column, words: list[int], bits: int) -> Column:
-    held = F.lit(words).cast("array<bigint>")
-    out = F.lit(True)
-    for p in _probes(h, bits):
-        word = F.get(held, F.call_function("shiftright", p, F.lit(6)).cast("int"))
-        out = out & (F.call_function("shiftrightunsigned", word, (p % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    return out
-
-
-def _suspects(words: Column, n: int, held: tuple[list[int], int] | None) -> Column:
-    """Structs (at, n, gram) of the windows of ``n`` words around seeds that pass."""
-    g, step = _seed_plan(n)
-    last = F.size(words) - n
-    seeds = _starts(F.size(words) - g, step)
-    if held is not None:
-        seeds = F.filter(seeds, lambda i: _passes(F.xxhash64(_gram(words, i, g)), *held))
-    near = F.filter(seeds, lambda i: F.greatest(i - (n - g), F.lit(0)) <= F.least(i, last))
-    starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.sequence(F.greatest(i - (n - g), F.lit(0)), F.least(i, last)))))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), _gram(words, i, n).alias("gram")))
-
-
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (doc_id, digest, n_words, hits, items): one for each distinct (doc_id, text) of ``docs``.
+    grams = at.select("item", "n", F.transform(F.slice("w", F.col("i") + 1, F.col("n")), _plain).alias("w"))
+    code = F.xxhash64("n", F.transform("w", lambda x: F.xxhash64(x)))
+    return grams.select(code.alias("code"), "n", F.array_join("w", " ").alias("gram"), "item").distinct()
+
+
+def _found(words: DataFrame, windows: DataFrame, lengths: list[int], size: int) -> DataFrame:
+    """(doc_id, digest, n_words, at, n, gram): windows of documents whose hash is in the set, and for each row of ``words`` one with null ``at``."""
+    codes = windows.select("code").distinct()
+    slices = max(1, -(-codes.count() // size))
+    m = F.size("w")
+    every = F.concat(*[_codes(F.col("h"), m, n) for n in lengths], F.array(F.lit(_LAST).cast("long")))
+    hashed = words.withColumn("h", F.transform("w", lambda x: F.xxhash64(_plain(x))))
+    scanned = hashed.select("doc_id", "digest", "w", F.posexplode(every).alias("place", "code"))
+    n, at, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
+    for k in lengths:
+        here = F.col("place") < before + F.greatest(m - k + 1, F.lit(0))
+        n, at = F.when(n.isNull() & here, F.lit(k)).otherwise(n), F.when(n.isNull() & here, F.col("place") - before).otherwise(at)
+        before = before + F.greatest(m - k + 1, F.lit(0))
+    last = codes.sparkSession.range(1).select(F.lit(_LAST).cast("long").alias("code"))
+    parts = []
+    for i in range(slices):
+        some = codes.where(F.pmod("code", F.lit(slices)) == i)
+        some = F.broadcast(some.unionByName(last) if i == 0 else some)  # hashes are spread evenly: about ``size`` rows
+        hit = scanned.join(some, "code", "left_semi").withColumn("n", n).withColumn("at", at)
+        parts.append(hit.select("doc_id", "digest", m.alias("n_words"), "at", "n", F.when(F.col("at").isNotNull(), _gram(F.col("w"), F.col("at"), F.col("n"))).alias("gram")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SLICE) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, digest, n_words) of all ``docs``, and (doc_id, digest, hits, items) of those with hits.
 
     ``digest`` is the text's MD5 (null for null), ``hits`` the sorted positions of
     hit words, ``items`` the sorted ids of items with occurring windows.
     """
     windows = write_table(benchmark_windows(benchmark, window))
     lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most ``window`` rows
-    words = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), tokens(F.col("text")).alias("w"))
-    none = F.expr("cast(array() as array<struct<at:int,n:int,gram:string>>)")
-    found = [F.when(F.size("w") >= n, _suspects(F.col("w"), n, _bit_set(windows, n))).otherwise(none) for n in lengths]
-    lean = write_table(words.select("doc_id", "digest", F.size("w").alias("n_words"), (F.concat(*found) if found else none).alias("near")))
-    grams = lean.where(F.size("near") > 0).select("doc_id", "digest", F.explode("near").alias("x")).select("doc_id", "digest", "x.at", "x.n", "x.gram")
-    true = grams.join(small(windows), ["gram", "n"])
-    marks = true.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("at", "n")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-    marks = marks.select(
-        F.col("doc_id").alias("d"), F.col("digest").alias("g"),
-        F.sort_array(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1))))).alias("hits"),
-        F.sort_array("items").alias("items"))
-    rows = lean.select("doc_id", "digest", "n_words").distinct()
+    words = docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), raw_tokens(F.col("text")).alias("w"))
+    found = write_table(_found(words, windows, lengths, size))
+    rows = found.where("at is null").select("doc_id", "digest", "n_words")
+    near = found.where("at is not null").select("doc_id", "digest", "at", "n", "gram").distinct()
+    true = write_table(near.join(small(windows.select("gram", "n").distinct()), ["gram", "n"], "left_semi"))
+    spans = true.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    spans = spans.select("doc_id", "digest", F.sort_array(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1))))).alias("hits"))
+    named = windows.where("item is not null").select("gram", "n", "item")
+    held = true.select("doc_id", "digest", "gram", "n").distinct().join(small(named), ["gram", "n"]).select("doc_id", "digest", "item").distinct()
+    items = held.groupBy(F.col("doc_id").alias("d"), F.col("digest").alias("g")).agg(F.sort_array(F.collect_list("item")).alias("items"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))
+    none = F.expr("cast(array() as array<string>)")
+    marks = spans.join(items, same, "left").select("doc_id", "digest", "hits", F.coalesce("items", none).alias("items"))
+    return rows, write_table(marks)
+
+
+def _marked(rows: DataFrame, marks: DataFrame, digest: Column, share: int) -> DataFrame:
+    """``rows`` (doc_id, n_words, ...) with ``hits, items, contaminated``; documents with hits are broadcast only if counted few."""
+    d, g, n = fresh(rows, "doc", "digest", "n")
+    marks = marks.select(F.col("doc_id").alias(d), F.col("digest").alias(g), "hits", "items")
+    out = rows.join(small(marks), F.col("doc_id").eqNullSafe(F.col(d)) & (digest == F.col(g)), "left").drop(d, g)
     empty = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
-    return rows.join(marks, same, "left").select("doc_id", "digest", "n_words", F.coalesce("hits", empty("int")).alias("hits"), F.coalesce("items", empty("string")).alias("items"))
+    out = out.withColumn("hits", F.coalesce("hits", empty("int"))).withColumn("items", F.coalesce("items", empty("string"))).withColumn(n, F.size("hits"))
+    return out.withColumn("contaminated", (F.col(n) > 0) & (share * F.col(n) >= F.col("n_words"))).drop(n)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
     """``docs`` with ``n_words, hits, items, contaminated``: contaminated if hits are at least 1 in ``share`` words."""
     docs = docs.drop("n_words", "hits", "items", "contaminated")
-    found = scan(docs, benchmark, window)
+    _, marks = scan(docs, benchmark, window)
+    counted = docs.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(RAW_TOKEN)), F.lit(0)))
+    return _marked(counted, marks, F.unhex(F.md5(F.col("text").cast("binary"))), share)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
+    """``docs`` without contaminated rows; texts move only if those are many."""
+    rows, marks = scan(docs, benchmark, window)
     d, g = fresh(docs, "doc", "digest")
-    found = found.withColumnsRenamed({"doc_id": d, "digest": g})
-    same = F.col("doc_id").eqNullSafe(F.col(d)) & F.md5(F.col("text").cast("binary")).eqNullSafe(F.col(g))
-    out = docs.join(found, same).drop(d, g)
-    n_hit = F.size("hits")
-    return out.withColumn("contaminated", (n_hit > 0) & (share * n_hit >= F.col("n_words")))
+    gone = _marked(rows, marks, F.col("digest"), share).where("contaminated").select(F.col("doc_id").alias(d), F.col("digest").alias(g)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.unhex(F.md5(F.col("text").cast("binary"))) == F.col(g))
+    return docs.join(small(write_table(gone)), same, "left_anti")
 
 
 def remove_spans(found: DataFrame) -> DataFrame:
@@ -159,7 +163,8 @@ def remove_documents(found: DataFrame) -> DataFrame:
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Hits of benchmark windows in every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    rows, marks = scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = _marked(rows, marks, F.col("digest"), SHARE)
     return found.select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"), F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
