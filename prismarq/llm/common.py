@@ -258,35 +258,6 @@ def batches(texts: list[bytes], most: int = BATCH_BYTES):
         yield at, len(texts)
 
 
-class ByteBatch:
-    """Words of a batch of UTF-8 texts: their bounds, text numbers and hashes."""
-
-    def __init__(self, texts: list[bytes], lower: bool = False):
-        self.raw = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
-        self.bytes = _LOWER[self.raw] if lower else self.raw
-        self.lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        self.offsets = np.zeros(len(texts) + 1, dtype=np.int64)
-        np.cumsum(self.lengths + 1, out=self.offsets[1:])
-        inside = np.zeros(len(self.raw) + 1, dtype=np.int8)
-        inside[:-1] = ~_SPACE[self.raw]
-        edge = np.diff(inside, prepend=np.int8(0))
-        self.inside = inside[:-1].astype(bool)
-        self.starts = np.flatnonzero(edge == 1)
-        self.stops = np.flatnonzero(edge == -1)
-        self.first = np.searchsorted(self.starts, self.offsets)  # of each text's words
-        self.counts = np.diff(self.first)
-        self.owner = np.repeat(np.arange(len(texts)), self.counts)
-
-    def word_hashes(self) -> np.ndarray:
-        return Rolling(_BYTE_CODES[self.bytes]).slices(self.starts, self.stops)
-
-    def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the first words of all k-word windows within a text, and the windows' hashes."""
-        at = np.arange(len(hashes))
-        at = at[at + k <= self.first[1:][self.owner]] if len(at) else at
-        return at, Rolling(hashes).slices(at, at + k)
-
-
 def as_bytes(column) -> list[bytes]:
     """UTF-8 of an Arrow or pandas column of strings; null becomes empty."""
     values = column.to_pylist() if hasattr(column, "to_pylist") else column
