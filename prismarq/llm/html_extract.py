@@ -1,13 +1,17 @@
 """Main text of HTML pages by tree scoring.
 
 One pass over the tags builds a tree of block elements.  Elements that are
-furniture by tag, role, class or id (menus, page headers and footers, sidebars,
-notices, adverts, forms, reader comments, scripts, styles, hidden parts) give no
-text.  Each remaining block of text is a paragraph that passes points for its
-length and commas to its parent, half of them to the grandparent, and less to
-those above; a container's score is its points times the share of its text that
-is not link text.  The best container, or the article around it, is kept, with
-those siblings that score close to it or are plain paragraphs and headings.
+furniture by tag or role, or whose class or id says so and nothing else (menus,
+page headers and footers, sidebars, notices, adverts, forms, reader comments,
+scripts, styles, hidden parts) give no text.  A name that holds such a word beside
+others ("related-work") only weighs: it costs its element points.  Each remaining
+block of text is a paragraph that passes points for its length and commas to its
+parent, half of them to the grandparent, a sixth to the next and two thirds of that
+to each one above; a container's score is its points times the share of its text
+that is not link text.  The best container, or the article around it, is kept, with
+those siblings that score close to it or are plain paragraphs and headings; inside
+it, an element that only weighs is kept if it reads like text.  The work is
+proportional to the page, whatever its nesting.
 
 White space inside a block becomes one space (``br`` counts as white space),
 blocks are joined by one newline.  Pages are treated one by one: no shuffle.
@@ -53,6 +57,12 @@ FURNITURE_WORDS = frozenset(
     " share sharing social follow comment comments commentlist disqus discussion respond reply replies responses feedback"
     " related recommended recommendations trending outbrain taboola skip skiplink print hidden".split()
 )
+#: Words that say nothing of their own beside a furniture word.
+PLAIN_WORDS = frozenset(
+    "site page main top bottom left right center box block container wrapper wrap inner outer section list lists area bar item items link links post posts article articles"
+    " story stories content text form unit slot holder module panel button buttons icon icons col column global primary secondary fixed sticky only view mobile desktop js id"
+    " area zone group set row body title heading the and for of in to my our your".split()
+)
 COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion respond reply replies responses".split())
 GOOD_WORDS = frozenset("article body content entry main page post text blog story".split())
 TAG_POINTS = {"article": 30, "main": 20, "div": 5, "section": 5, "td": 3, "pre": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "li": -3, "address": -3, "th": -5}
@@ -73,15 +83,23 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(rest)}
 
 
+def _name_words(a: dict[str, str]) -> list[set[str]]:
+    """Lower-case words of each class and of the id."""
+    return [{w.lower() for w in _WORD.findall(name) if len(w) > 1} for name in f"{a.get('class', '')} {a.get('id', '')}".split()]
+
+
 class _Tree:
     """Block elements in page order with their text blocks; parents precede children."""
 
     def __init__(self):
         self.tag, self.parent, self.points = ["html"], [-1], [0.0]
-        self.text_size, self.link_size, self.good = [0], [0], [False]
+        self.text_size, self.link_size, self.weight, self.weak = [0], [0], [0], [False]
         self.blocks: list[tuple[int, str]] = []
-        #: Open elements: (tag, node, furniture, heading only, link).
-        self.stack: list[tuple[str, int, bool, bool, bool]] = [("html", 0, False, False, False)]
+        #: Open elements: (tag, node, furniture, headings only, link, in a heading, in an article).
+        self.stack: list[tuple[str, int, bool, bool, bool, bool, bool]] = [("html", 0, False, False, False, False, False)]
+        #: How often each block tag is open, and each other tag above the last open block.
+        self.open_blocks: dict[str, int] = {"html": 1}
+        self.open_inline: list[dict[str, int]] = [{}]
         self.parts: list[str] = []
         self.links: int = 0
 
@@ -97,8 +115,8 @@ class _Tree:
             self.parts, self.links = [], 0
 
     def text(self, raw: str) -> None:
-        _, _, furniture, headings, link = self.stack[-1]
-        if furniture or not raw or headings and not any(t[0] in HEADING for t in self.stack[-4:]):
+        _, _, furniture, headings, link, in_heading, _ = self.stack[-1]
+        if furniture or not raw or headings and not in_heading:
             return
         raw = html.unescape(raw) if "&" in raw else raw
         self.parts.append(raw)
@@ -116,10 +134,10 @@ class _Tree:
             self.parts and self.parts.append(" ")
         if tag in VOID:
             return
-        _, node, furniture, headings, link = self.stack[-1]
-        words: set[str] = set()
+        _, node, furniture, headings, link, in_heading, inside = self.stack[-1]
+        weight, weak = 0, False
         if not furniture:
-            furniture, header, words = self._judge(tag, rest)
+            furniture, header, weight, weak = self._judge(tag, rest, inside)
             headings = headings or header
         if tag in BLOCK and tag != "html":
             self.tag.append(tag)
@@ -127,33 +145,57 @@ class _Tree:
             self.points.append(0.0)
             self.text_size.append(0)
             self.link_size.append(0)
-            self.good.append(bool(words & GOOD_WORDS))
+            self.weight.append(weight)
+            self.weak.append(weak)
             node = len(self.tag) - 1
-        self.stack.append((tag, node, furniture, headings, link or tag == "a"))
+        if tag in BLOCK:
+            self.open_blocks[tag] = self.open_blocks.get(tag, 0) + 1
+            self.open_inline.append({})
+        else:
+            here = self.open_inline[-1]
+            here[tag] = here.get(tag, 0) + 1
+        self.stack.append((tag, node, furniture, headings, link or tag == "a", in_heading or tag in HEADING, inside or tag in ("article", "main")))
 
-    def _judge(self, tag: str, rest: str) -> tuple[bool, bool, set[str]]:
-        """Whether an element is furniture, whether only its headings count, and the words of its class and id."""
+    def _judge(self, tag: str, rest: str, inside: bool) -> tuple[bool, bool, int, bool]:
+        """Whether an element is furniture, whether only its headings count, the weight of its names, and whether they speak against it."""
         a = _attributes(rest)
-        words = {w.lower() for w in _WORD.findall(f"{a.get('class', '')} {a.get('id', '')}")}
-        inside = any(t[0] in ("article", "main") for t in self.stack)
+        names = _name_words(a)
+        words = set().union(*names)
+        good = 25 if words & GOOD_WORDS else 0
         if tag in ("html", "body", "main"):
-            return False, False, words
+            return False, False, good, False
         if tag == "article":
-            return bool(words & COMMENT_WORDS), False, words
+            return bool(words & COMMENT_WORDS), False, good, False
         if tag == "header" or words & {"header", "masthead"} and inside:
-            return not inside, inside, words
+            return not inside, inside, good, False
         hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDING.search(a.get("style", "")))
+        bad = FURNITURE_WORDS
         if words & {"has", "with", "no", "without"}:  # a layout that says what stands beside it
-            words -= FURNITURE_WORDS - COMMENT_WORDS
-        named = bool(words & FURNITURE_WORDS) and (tag in BLOCK or bool(words & COMMENT_WORDS) or bool(words & {"ad", "ads", "advert"}))
-        return hidden or tag in FURNITURE_TAGS or a.get("role", "").lower() in FURNITURE_ROLES or named, False, words
+            bad = COMMENT_WORDS
+        against = [n for n in names if n & bad]
+        named = any(n <= bad | PLAIN_WORDS for n in against)  # a name that says so and nothing else
+        named = named and (tag in BLOCK or bool(words & COMMENT_WORDS) or bool(words & {"ad", "ads", "advert"}))
+        weak = bool(against) and tag in BLOCK
+        return hidden or tag in FURNITURE_TAGS or a.get("role", "").lower() in FURNITURE_ROLES or named, False, -25 if weak else good, weak
+
+    def _cut(self, i: int) -> None:
+        """Close the open elements from place ``i`` of the stack on."""
+        for tag, *_ in reversed(self.stack[i:]):
+            if tag in BLOCK:
+                self.open_blocks[tag] -= 1
+                self.open_inline.pop()
+            else:
+                self.open_inline[-1][tag] -= 1
+        del self.stack[i:]
 
     def _close_open(self, tag: str) -> None:
         """Close the innermost open ``tag`` unless a scope lies between."""
+        if not self.open_blocks.get(tag):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == tag:
                 self.flush()
-                del self.stack[i:]
+                self._cut(i)
                 return
             if self.stack[i][0] in SCOPE or self.stack[i][0] in ("td", "th", "li") and tag == "p":
                 return
@@ -161,38 +203,48 @@ class _Tree:
     def close(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
+            if not self.open_blocks.get(tag):
+                return
+        elif not self.open_inline[-1].get(tag):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == tag:
                 if tag not in ("html", "body"):
-                    del self.stack[i:]
+                    self._cut(i)
                 return
-            if tag not in BLOCK and self.stack[i][0] in BLOCK or self.stack[i][0] in ("article", "main", "body", "table") and tag in ("p", "li", "div", "span") and tag != self.stack[i][0] and tag != "div":
+            if self.stack[i][0] in ("article", "main", "body", "table") and tag in ("p", "li"):
                 return
 
     def score(self) -> list[float]:
         """Points of the blocks, passed upward, with what tag and names add, less link density."""
+        n = len(self.tag)
+        direct, half, far = [0.0] * n, [0.0] * n, [0.0] * n
         for node, text in self.blocks:
             points = (1.0 if len(text) >= 25 else len(text) / 50) + text.count(",") + text.count("、") + text.count("，") + min(len(text) / 100, 3.0)
-            at, share = (node, 1.0) if self.tag[node] not in ("p", "li", "td", "pre", "blockquote", "dd", "dt", *HEADING) else (self.parent[node], 1.0)
-            level = 0
-            while at >= 0:
-                self.points[at] += points * share
-                level += 1
-                share = 0.5 if level == 1 else 1 / (3 * level)
-                at = self.parent[at]
-        for i in range(len(self.tag) - 1, 0, -1):
-            self.text_size[self.parent[i]] += self.text_size[i]
-            self.link_size[self.parent[i]] += self.link_size[i]
+            at = self.parent[node] if self.tag[node] in ("p", "li", "td", "pre", "blockquote", "dd", "dt", *HEADING) else node
+            direct[max(at, 0)] += points
+        for i in range(n - 1, 0, -1):  # children come after their parents
+            up = self.parent[i]
+            self.text_size[up] += self.text_size[i]
+            self.link_size[up] += self.link_size[i]
+            half[up] += direct[i] / 2
+            far[up] += half[i] / 3 + far[i] * 2 / 3
         out = []
-        for i, points in enumerate(self.points):
+        for i in range(n):
+            points = direct[i] + half[i] + far[i]
             if points > 0:
-                points += TAG_POINTS.get(self.tag[i], 0) + 25 * self.good[i]
+                points += TAG_POINTS.get(self.tag[i], 0) + self.weight[i]
+            self.points[i] = points
             out.append(points * (1 - self.density(i)))
         return out
 
     def density(self, node: int) -> float:
         return min(1.0, self.link_size[node] / self.text_size[node]) if self.text_size[node] else 0.0
 
+    def reads_like_text(self, node: int) -> bool:
+        """Whether an element whose name speaks against it has the points of prose, by itself, and few links."""
+        return self.points[node] - TAG_POINTS.get(self.tag[node], 0) - self.weight[node] >= 2 and self.density(node) < 0.25
+
     def main_text(self) -> str:
         self.flush()
         if not self.blocks:
@@ -209,10 +261,10 @@ class _Tree:
         bar = max(10.0, 0.2 * scores[around])
         for i in range(1, len(self.tag)):
             if keep[self.parent[i]]:
-                keep[i] = True
+                keep[i] = not self.weak[i] or self.reads_like_text(i)
             elif i != around and around and self.parent[i] == self.parent[around] and self.text_size[i]:
                 plain = self.tag[i] == "p" or self.tag[i] in HEADING
-                keep[i] = self.density(i) < 0.25 if plain else scores[i] >= bar and self.density(i) < 0.5
+                keep[i] = not self.weak[i] and self.density(i) < 0.25 if plain else scores[i] >= bar and self.density(i) < 0.5
         return "\n".join(text for node, text in self.blocks if keep[node])
 
 
