@@ -10,6 +10,9 @@ IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tiff", ".tif")
 #: White space of Python's ``str.isspace``; Java's Unicode class lacks 0x1c to 0x1f.
 WHITE = r"(?U)[\s\x{1c}-\x{1f}]+"
 
+# What messages of passing network errors contain, in lower case.
+PASSING = ("connection reset", "connection abort", "broken pipe", "timed out", "timeout", "errno 104", "errno 110", "errno 32")
+
 
 def suffix(path: Column) -> Column:
     """Last suffix of a path in lower case, with its dot; empty if none."""
@@ -73,6 +76,14 @@ def human_size(n: Column) -> Column:
     return F.when(n < 1024, F.format_string("%d B", n)).otherwise(out)
 
 
+def human_bytes(n: int) -> str:
+    """``human_size`` of a plain number."""
+    if n < 1024:
+        return f"{n} B"
+    power = next((p for p in (1, 2, 3) if n < 1024 ** (p + 1)), 4)
+    return f"{n / 1024.0**power:.1f} {('KB', 'MB', 'GB', 'TB')[power - 1]}"
+
+
 def megabytes(mb: Column) -> Column:
     """Bytes of decimal megabytes."""
     return (mb * 1_000_000).cast("bigint")
@@ -103,10 +114,8 @@ def safe_repo(repo: Column) -> Column:
 
 def error_class(message: Column) -> Column:
     """rate_limited, transient or fatal, by the message of an error."""
-    # What messages of passing network errors contain, in lower case.
-    needles = ("connection reset", "connection abort", "broken pipe", "timed out", "timeout", "errno 104", "errno 110", "errno 32")
     low = F.lower(F.coalesce(message, F.lit("")))
     passing = F.lit(False)
-    for needle in needles:
+    for needle in PASSING:
         passing = passing | F.contains(low, F.lit(needle))
     return F.when(F.contains(low, F.lit("429")), "rate_limited").when(passing, "transient").otherwise("fatal")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prismarq.functions import text as X
+
 # Modality directory of the old layout -> artifact of the catalogue.
 MODALITIES = {"dinov3": "dinov3_cls", "dinov3_patches": "dinov3_patches", "t5_hidden": "t5_hidden", "images": "pixel", "pose": "pose"}
 RECORD = "image_id string, image_path string, width bigint, height bigint, aspect_bucket string, caption string, t5_attention_mask array<int>"
@@ -15,8 +17,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     Without an id, the image's file name without its last suffix stands in.
     """
-    rows = lines.where(F.trim("value") != "")
-    is_object = F.startswith(F.trim("value"), F.lit("{"))
+    value = X.strip(F.col("value"))
+    rows = lines.withColumn("value", value).where("value <> ''")
+    is_object = F.startswith("value", F.lit("{"))
     rows = rows.withColumn("r", F.when(is_object, F.from_json("value", RECORD + ", _bad string", {"columnNameOfCorruptRecord": "_bad"})))
     good = F.col("r").isNotNull() & F.col("r._bad").isNull()
     stem = F.regexp_replace(F.regexp_extract("r.image_path", "[^/]*$", 0), r"(?<=.)\.[^.]+$", "")

@@ -9,8 +9,6 @@ complete and a task that runs twice does no harm.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -23,6 +21,7 @@ from pyspark.sql import functions as F
 from prismarq.functions import dense as D
 from prismarq.functions.tensor import decode_npy, encode_npy
 from prismarq.operators import catalog as C
+from prismarq.sources.files import read_bytes, write_bytes
 
 # Passes that run by default, in both generations of the catalogue.
 DEFAULT_PASSES = ("caption", "dinov3", "t5", "pose", "seg", "depth", "normal")
@@ -52,12 +51,10 @@ class Inputs:
         return self.crop_
 
     def tensor(self, artifact: str) -> np.ndarray:
-        with open(os.path.join(self.folder, C.ARTIFACTS[artifact]), "rb") as f:
-            return decode_npy(f.read())
+        return decode_npy(read_bytes(f"{self.folder}/{C.ARTIFACTS[artifact]}"))
 
     def caption(self) -> str:
-        with open(os.path.join(self.folder, C.ARTIFACTS["caption"]), encoding="utf-8") as f:
-            return f.read().strip()
+        return read_bytes(f"{self.folder}/{C.ARTIFACTS['caption']}").decode("utf-8").strip()
 
 
 Backend = Callable[..., Any]
@@ -86,7 +83,7 @@ def _pose(x: Inputs, backend: Backend) -> dict[str, Any]:
 
 
 def _pose2(x: Inputs, backend: Backend) -> dict[str, Any]:
-    """Keypoints of every person in image pixels; no person found means the whole image is one."""
+    """Keypoints of every person in image pixels (``persons.PersonPose`` takes the whole image where it finds none)."""
     points, scores = backend(x.image)
     return {"pose2": np.concatenate([points, np.asarray(scores)[..., None]], axis=-1).astype(np.float32)}
 
@@ -129,12 +126,7 @@ def levels(passes: Sequence[str]) -> list[list[str]]:
 
 def write_artifact(folder: str, artifact: str, value: Any) -> None:
     """Atomic write of text or of a tensor."""
-    os.makedirs(folder, exist_ok=True)
-    final = os.path.join(folder, C.ARTIFACTS[artifact])
-    part = f"{final}.{uuid.uuid4().hex}.part"
-    with open(part, "wb") as f:
-        f.write(value.encode("utf-8") if isinstance(value, str) else encode_npy(value))
-    os.replace(part, final)
+    write_bytes(f"{folder}/{C.ARTIFACTS[artifact]}", value.encode("utf-8") if isinstance(value, str) else encode_npy(value))
 
 
 def _runner(decode: Callable[[bytes], np.ndarray | None], backends: dict[str, Backend], output: str):
@@ -147,10 +139,10 @@ def _runner(decode: Callable[[bytes], np.ndarray | None], backends: dict[str, Ba
                     try:
                         if x is None:
                             w, h = (int(v) for v in r.aspect_bucket.removeprefix("bucket_").split("x"))
-                            image = decode(bytes(r.content)) if r.content is not None else None
+                            image = decode(read_bytes(r.path))
                             if image is None:
                                 raise ValueError("unreadable image")
-                            x = Inputs(image, (w, h), os.path.join(output, r.image_id))
+                            x = Inputs(image, (w, h), f"{output.rstrip('/')}/{r.image_id}")
                         for artifact, value in PASSES[name](x, backends.get(name)).items():
                             write_artifact(x.folder, artifact, value)
                         rows.append((r.image_id, name, "processed", None))
@@ -175,8 +167,9 @@ def plan_level(images: DataFrame, artifacts: DataFrame, names: Sequence[str]) ->
 
 
 def run_passes(images: DataFrame, scan: Callable[[], DataFrame], passes: Sequence[str], decode: Callable[[bytes], np.ndarray | None], backends: dict[str, Backend], output: str) -> DataFrame:
-    """Run passes over ``images`` (image_id, content, aspect_bucket); OUTCOME rows of everything done, skipped or waiting.
+    """Run passes over ``images`` (image_id, path, aspect_bucket); OUTCOME rows of everything done, skipped or waiting.
 
+    Plans hold paths alone; the task that runs an image's passes reads its bytes, once a level.
     ``scan`` reads the artifacts that exist, anew for every level.
     """
     from prismarq.sources.shared import write_table
@@ -184,7 +177,7 @@ def run_passes(images: DataFrame, scan: Callable[[], DataFrame], passes: Sequenc
     done: DataFrame | None = None
     for names in levels(passes):
         plan = write_table(plan_level(images, scan(), names))
-        work = images.join(plan.where(F.size("todo") > 0).select("image_id", "todo"), "image_id").select("image_id", "content", "aspect_bucket", "todo")
+        work = images.join(plan.where(F.size("todo") > 0).select("image_id", "todo"), "image_id").select("image_id", "path", "aspect_bucket", "todo")
         ran = write_table(work.mapInPandas(_runner(decode, backends, output), OUTCOME))
         idle = [plan.select("image_id", F.explode(c).alias("pass"), F.lit(o).alias("outcome"), F.lit(None).cast("string").alias("message")) for c, o in (("skipped", "skipped"), ("waiting", "skipped_dependency"))]
         level = ran.unionByName(idle[0]).unionByName(idle[1])

@@ -20,6 +20,7 @@ from prismarq.operators import verify as R
 from prismarq.operators.passes import write_artifact
 from prismarq.sources import images as I
 from prismarq.sources import npy
+from prismarq.sources.files import exists
 from prismarq.sources.hub import FolderHub
 from prismarq.sources.models import plug_in
 from prismarq.sources.shared import reach_workers, write_table
@@ -34,11 +35,11 @@ def process_all(spark: SparkSession, root: str, output: str, names: Sequence[str
     found = I.scan_images(spark, root) if listing is None else I.scan_list(spark, listing, root)
     if shard:
         found = positional.shard(found.select("path", "image_id"), *positional.parse_shard(shard), X.components(F.col("path")))
-    content = I.read_images(spark, root).join(found.select("image_id").distinct(), "image_id", "left_semi")
     if found.isEmpty():
         return None
-    sized = write_table(I.with_size(content.select("path", "image_id", "content")))
-    old = I.scan_metadata(spark, output) if os.path.isdir(output) else I.scan_metadata(spark, root).where("false")
+    once = found.groupBy("image_id").agg(F.min("path").alias("path"))
+    sized = write_table(I.with_size(once.select("path", "image_id")))
+    old = I.scan_metadata(spark, output) if exists(output) else I.scan_metadata(spark, root).where("false")
     meta = write_table(I.ensure_metadata(sized, old))
     unread = sized.join(meta, "image_id", "left_anti")
     for r in unread.toLocalIterator():
@@ -47,11 +48,11 @@ def process_all(spark: SparkSession, root: str, output: str, names: Sequence[str
     def keep(part):
         for pdf in part:
             for r in pdf.itertuples(index=False):
-                write_artifact(os.path.join(output, r.image_id), "metadata", json.dumps(r._asdict(), indent=2, ensure_ascii=False))
+                write_artifact(f"{output.rstrip('/')}/{r.image_id}", "metadata", json.dumps(r._asdict(), indent=2, ensure_ascii=False))
             yield pdf[["image_id"]]
 
     meta.where("made").drop("made").mapInPandas(keep, "image_id string").count()
-    work = content.select("image_id", "content").join(meta.select("image_id", "aspect_bucket"), "image_id")
+    work = sized.select("image_id", "path").join(meta.select("image_id", "aspect_bucket"), "image_id")
     errors = unread.select("image_id", F.lit("metadata").alias("pass"), F.lit("error").alias("outcome"), F.lit("unreadable image").alias("message"))
     return passes.run_passes(work, lambda: I.scan_artifacts(spark, output), names, decode, backends, output), errors
 
@@ -109,7 +110,7 @@ def migrate(spark: SparkSession, jsonl: str, derived: str, output: str, dry_run:
     lines = spark.read.text(jsonl).select("value").withColumn("line", F.monotonically_increasing_id())
     records = write_table(importer.parse_lines(lines))
     counts = importer.counters(records).first().asDict()
-    have = I.scan_metadata(spark, output).select(F.col("rel").alias("image_id")) if os.path.isdir(output) else spark.createDataFrame([], "image_id string")
+    have = I.scan_metadata(spark, output).select(F.col("rel").alias("image_id")) if exists(output) else spark.createDataFrame([], "image_id string")
     new = importer.new_records(records, have)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy").load(derived).select("path")
     rel = I.relative(F.col("path"), derived)

@@ -6,6 +6,7 @@ import hashlib
 import json
 import os
 import shutil
+import sys
 import tempfile
 from collections.abc import Sequence
 from datetime import UTC, datetime
@@ -21,6 +22,7 @@ from prismarq.operators.positional import pack_greedy
 from prismarq.sources import images as I
 from prismarq.sources import tar
 from prismarq.sources.hub import Hub, upload, with_retries
+from prismarq.sources.shared import shared_folder
 
 MARKER = "staging.json"
 MANIFEST, CARD = "manifest.json", "README.md"
@@ -45,10 +47,10 @@ def load_manifest(hub: Hub) -> dict:
         return dict(M.EMPTY)
 
 
-def staging_folder(params: dict, top: str | None = None) -> str:
+def staging_folder(params: dict, top: str) -> str:
     """A folder that belongs to these parameters alone; what an earlier run with the same left there is kept."""
     text = json.dumps(params, sort_keys=True)
-    folder = os.path.join(top or tempfile.gettempdir(), f"publish-{params['repo'].replace('/', '--')}-{hashlib.sha256(text.encode()).hexdigest()[:12]}")
+    folder = os.path.join(top, f"publish-{params['repo'].replace('/', '--')}-{hashlib.sha256(text.encode()).hexdigest()[:12]}")
     marker = os.path.join(folder, MARKER)
     try:
         with open(marker, encoding="utf-8") as f:
@@ -63,6 +65,25 @@ def staging_folder(params: dict, top: str | None = None) -> str:
     return folder
 
 
+def staging_top(spark: SparkSession) -> str:
+    """Where tasks and the driver can both stage files: beside the shared tables, as a mounted path."""
+    top = shared_folder(spark).rpartition("/")[0].removeprefix("file://").removeprefix("file:")
+    if "://" in top:
+        raise ValueError(f"publishing stages files in a mounted folder; give one, as {top} is none")
+    return top
+
+
+def log_sizes(payload: Sequence[tuple[str, str]]) -> int:
+    """Name every file that goes up with its size, and their total, on stderr; the total in bytes."""
+    total = 0
+    for local, path in sorted(payload, key=lambda x: x[1]):
+        size = os.path.getsize(local)
+        total += size
+        print(f"  {path}  ({X.human_bytes(size)})", file=sys.stderr)
+    print(f"  total: {X.human_bytes(total)}", file=sys.stderr)
+    return total
+
+
 def dataset_card(manifest: dict, repo: str, license_id: str, attribution: str) -> str:
     """Markdown card: front matter, totals, and one line per layer by name."""
     rows = "\n".join(f"| {name} | {x['format']} | {len(x['chunks'])} | {x['count']:,} |" for name, x in sorted(manifest["layers"].items()))
@@ -93,7 +114,7 @@ def publish(
     if n == 0:
         return manifest
     params = {"repo": repo, "offset": offset, "limit": limit, "layers": sorted(layers), "max_tar_mb": max_tar_mb, "max_files": max_files}
-    folder = staging_folder(params, staging)
+    folder = staging_folder(params, staging or staging_top(spark))
     files = I.scan_artifacts(spark, dataset)
     files = files.join(records.select("image_id"), "image_id", "left_semi")
     page_label = f"{offset:05d}-{offset + n - 1:05d}"
@@ -125,6 +146,7 @@ def publish(
     merged = M.merge(M.from_manifest(spark, manifest), spark.createDataFrame(chunks, M.CHUNKS))
     new = M.to_manifest(merged, M.bump(manifest["version"]), max(manifest["total_images"], offset + n), datetime.now(UTC).isoformat())
     payload += _documents(folder, new, repo, license_id, attribution)
+    log_sizes(payload)
     for local, path in payload:
         with_retries(lambda local=local, path=path: upload(hub, local, path, stall))
     shutil.rmtree(folder)  # only after everything went up: a failed run goes on from here

@@ -10,9 +10,10 @@ from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as Stalled
 from typing import Protocol
 
+from prismarq.functions.text import PASSING
+
 # Fixed values of the retry rule and of the stall limit.
 ATTEMPTS, FIRST_WAIT, STALL = 5, 10.0, 300.0
-PASSING = ("connection reset", "connection abort", "broken pipe", "timed out", "timeout", "errno 104", "errno 110", "errno 32")
 
 
 class Hub(Protocol):

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from prismarq.functions import text as X
 from prismarq.functions.geometry import nearest_bucket
 from prismarq.operators.catalog import ARTIFACTS
+from prismarq.sources.files import read_bytes, with_heads
 
 METADATA = "image_id string, source_path string, width bigint, height bigint, aspect_bucket string"
 _BAD = "_bad string"
@@ -77,25 +79,34 @@ def image_size(content: bytes | None) -> tuple[int, int] | None:
 
 
 def with_size(images: DataFrame) -> DataFrame:
-    """``images`` (path, content) with width and height in place of the content; null where the file cannot be read.
+    """``images`` (path, ...) with width and height; null where the file cannot be read.
 
-    Only the first bytes of each file cross to Python, and the whole of those whose first bytes do not tell.
+    Tasks fetch the first bytes of each file, and the whole of those whose first bytes do not tell.
     """
 
-    def size(contents: pd.Series) -> pd.DataFrame:
-        sizes = [image_size(None if c is None else bytes(c)) or (None, None) for c in contents]
-        return pd.DataFrame(sizes, columns=["width", "height"]).astype("Int64")
+    def size(path: str, head: bytes | None) -> tuple[int | None, int | None]:
+        found = image_size(head)
+        if found is None and head is not None and len(head) == HEADER_BYTES:
+            try:
+                found = image_size(read_bytes(path))
+            except OSError:
+                found = None
+        return found or (None, None)
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [size(*x) for x in zip(batch.column("path").to_pylist(), batch.column("head").to_pylist(), strict=True)]
+            batch = batch.drop_columns(["head"])
+            for i, name in enumerate(("width", "height")):
+                batch = batch.append_column(name, pa.array([x[i] for x in found], pa.int64()))
+            yield batch
 
-    kind = T.StructType([T.StructField("width", T.LongType()), T.StructField("height", T.LongType())])
-    sized = F.pandas_udf(size, kind)
-    tried = images.withColumn("s", sized(F.substring("content", 1, HEADER_BYTES)))
-    rest = F.when(F.col("s.width").isNull() & (F.octet_length("content") > HEADER_BYTES), F.col("content"))
-    tried = tried.withColumn("whole", sized(rest)).drop("content")
-    return tried.select("*", *[F.coalesce(f"s.{k}", f"whole.{k}").alias(k) for k in ("width", "height")]).drop("s", "whole")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in images.schema.fields)
+    return with_heads(images, HEADER_BYTES).mapInArrow(sizes, f"{kinds}, width long, height long")
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length, image_id, content) of image files, for passes that decode them."""
+    """(path, length, image_id, content) of image files, for work that takes whole files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
     return files.where(X.is_image(F.col("path"))).withColumn("image_id", X.image_id(relative(F.col("path"), root)))
 

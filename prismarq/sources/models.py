@@ -7,7 +7,8 @@ import importlib
 import json
 import os
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 # Fixed values of the caption request.
 TEMPERATURE, TIMEOUT = 0.7, 120.0
@@ -72,7 +73,33 @@ def config_name(task: str, size: str, names: list[str]) -> str:
     return found[0]
 
 
-def plug_in(spec: str) -> tuple[Callable, dict[str, Callable]]:
-    """(decode, backends) from ``module:factory``; the factory runs on the driver, its results travel to the tasks."""
-    module, _, name = spec.partition(":")
-    return getattr(importlib.import_module(module), name)()
+_LOADED: dict[str, tuple[Callable, Mapping[str, Callable]]] = {}
+
+
+@dataclass(frozen=True)
+class PlugIn:
+    """``module:factory`` that gives (decode, backends); called where it is first used, once in each Python worker.
+
+    Only the name travels to the tasks, never a model.
+    """
+
+    spec: str
+
+    def load(self) -> tuple[Callable, Mapping[str, Callable]]:
+        if self.spec not in _LOADED:
+            module, _, name = self.spec.partition(":")
+            _LOADED[self.spec] = getattr(importlib.import_module(module), name)()
+        return _LOADED[self.spec]
+
+    def __call__(self, content: bytes):
+        """Decode an image."""
+        return self.load()[0](content)
+
+    def get(self, name: str) -> Callable | None:
+        """The backend of a pass."""
+        return self.load()[1].get(name)
+
+
+def plug_in(spec: str) -> tuple[PlugIn, PlugIn]:
+    """(decode, backends) of ``module:factory``, to be loaded by the tasks."""
+    return PlugIn(spec), PlugIn(spec)

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 
 #: Rows that may be broadcast: tables are counted against this before they are.
 BROADCAST_ROWS = 200_000
+#: Bytes, as JSON, that columns of varying width may have then; tables of few rows are not measured.
+BROADCAST_BYTES, FEW_ROWS = 64 << 20, 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder path below the one that the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset (tests, one machine) a temporary folder takes its place.
+    Where that is unset and there is one machine (tests), a temporary folder takes its place.
     """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = getattr(shared_folder, "own", None)
         if top is None:
             top = shared_folder.own = tempfile.mkdtemp(prefix="prismarq-")
@@ -32,9 +36,17 @@ def write_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast only if it is counted to have at most ``limit`` rows; give a written table."""
-    return F.broadcast(df) if df.count() <= limit else df
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast only if it has at most ``limit`` rows, and its columns of varying width ``most_bytes``; give a written table."""
+    rows = df.count()
+    if rows > limit:
+        return df
+    wide = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct", "string", "binary")]
+    if wide and rows > FEW_ROWS:
+        size = sum((F.sum(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`"))))) for c in wide), F.lit(0))
+        if (df.select(size.alias("n")).first()["n"] or 0) > most_bytes:
+            return df
+    return F.broadcast(df)
 
 
 def reach_workers(spark: SparkSession) -> None:
