@@ -30,13 +30,32 @@ def resize(x: np.ndarray, height: int, width: int) -> np.ndarray:
     return rows[..., a] * (1 - t) + rows[..., b] * t
 
 
+def _cubic_weights(n: int, out: int, a: float = -0.5) -> np.ndarray:
+    """(out, n) weights of a cubic resize; the kernel widens when it shrinks, so nothing is skipped."""
+    scale = max(1.0, n / out)
+    centre = (np.arange(out) + 0.5) * n / out
+    x = np.abs((np.arange(n) + 0.5 - centre[:, None]) / scale)
+    near, far = (a + 2) * x**3 - (a + 3) * x**2 + 1, a * (x**3 - 5 * x**2 + 8 * x - 4)
+    w = np.where(x < 1, near, np.where(x < 2, far, 0.0))
+    return (w / w.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def resize_cubic(x: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Antialiased bicubic resize of (..., H, W)."""
+    h, w = x.shape[-2:]
+    x = x.astype(np.float32)
+    if w != width:
+        x = x @ _cubic_weights(w, width).T
+    return _cubic_weights(h, height) @ x if h != height else x
+
+
 def cover_crop(image: np.ndarray, width: int, height: int) -> np.ndarray:
-    """An (H, W, 3) image resized to cover (width, height) and cropped at its centre."""
+    """An (H, W, 3) image resized to cover (width, height), bicubic, and cropped at its centre."""
     h, w = image.shape[:2]
     scale = max(width / w, height / h)
     new_w, new_h = int(np.ceil(w * scale)), int(np.ceil(h * scale))
     left, top = max(0, (new_w - width) // 2), max(0, (new_h - height) // 2)
-    big = resize(image.transpose(2, 0, 1), new_h, new_w)[:, top : top + height, left : left + width]
+    big = resize_cubic(image.transpose(2, 0, 1), new_h, new_w)[:, top : top + height, left : left + width]
     return np.clip(np.round(big), 0, 255).astype(np.uint8).transpose(1, 2, 0)
 
 
@@ -112,7 +131,7 @@ def letterbox(image: np.ndarray, size: int = 640) -> tuple[np.ndarray, float]:
     h, w = image.shape[:2]
     ratio = min(size / h, size / w)
     out = np.full((size, size, 3), PAD_VALUE, dtype=np.float32)
-    small = resize(image.transpose(2, 0, 1), int(h * ratio), int(w * ratio)).transpose(1, 2, 0)
+    small = np.rint(resize(image.transpose(2, 0, 1), int(h * ratio), int(w * ratio))).transpose(1, 2, 0)
     out[: small.shape[0], : small.shape[1]] = small
     return out, ratio
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -9,8 +12,13 @@ from pyspark.sql import functions as F
 from prismarq.functions import dense as D
 from prismarq.functions.tensor import decode_npy, encode_npy, npy_header
 from prismarq.operators import verify as R
+from prismarq.operators.persons import PersonPose
 from prismarq.plans.catalogue import query
+from prismarq.plans.commands import process_all
+from prismarq.sources import images as I
 from prismarq.sources import tar
+from prismarq.sources.decode import decode_bgr, decode_rgb
+from prismarq.sources.files import read_bytes, write_bytes
 from prismarq.sources.shared import shared_folder
 
 
@@ -111,3 +119,70 @@ def pixel_tensor(t):
             yield pd.DataFrame(rows, columns=["p_partkey", "channels", "height", "width", "value"])
 
     return t.part.select("p_partkey", "p_size").mapInPandas(run, "p_partkey bigint, channels int, height int, width int, value double").withColumn("value", F.round("value", 2))
+
+
+def _png(image) -> bytes:
+    """An RGB image as a PNG file, rows unfiltered."""
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    h, w = image.shape[:2]
+    rows = np.concatenate([np.zeros((h, 1), dtype=np.uint8), image.reshape(h, -1)], axis=1).tobytes()
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(rows)) + part(b"IEND", b"")
+
+
+def _picture_files(rows, key: str, value: str) -> str:
+    """A folder of one picture per row, p<key>.png: red and green tell the value, blue is 7; every tenth is broken."""
+    folder = shared_folder(rows.sparkSession)
+
+    def write(parts):
+        for pdf in parts:
+            for k, v in zip(pdf["k"], pdf["v"], strict=True):
+                image = np.empty((3 + k % 5, 4 + k % 7, 3), dtype=np.uint8)
+                image[...] = (v, 2 * v, 7)
+                write_bytes(f"{folder}/p{k}.png", b"no picture" if k % 10 == 0 else _png(image))
+            yield pdf[["k"]]
+
+    rows.select(F.col(key).cast("long").alias("k"), F.col(value).cast("long").alias("v")).mapInPandas(write, "k bigint").count()
+    return folder
+
+
+@query("SELECT 'p' || s_suppkey AS image_id, CASE WHEN s_suppkey % 10 <> 0 THEN 4 + s_suppkey % 7 END AS width, CASE WHEN s_suppkey % 10 <> 0 THEN 3 + s_suppkey % 5 END AS height FROM supplier")
+def image_headers(t):
+    """Sizes of pictures in the shared folder, from the first bytes that tasks fetch."""
+    folder = _picture_files(t.supplier, "s_suppkey", "s_nationkey")
+    return I.with_size(I.scan_images(t.spark, folder).select("path", "image_id")).select("image_id", "width", "height")
+
+
+@query("SELECT 'p' || s_suppkey AS image_id, CASE WHEN s_suppkey % 10 <> 0 THEN s_nationkey END AS red, CASE WHEN s_suppkey % 10 <> 0 THEN 7 END AS blue_first FROM supplier")
+def image_decode(t):
+    """Pictures decoded as RGB and as BGR; an unreadable one is a row of nulls."""
+
+    def read(parts):
+        for pdf in parts:
+            rows = []
+            for image_id, path in zip(pdf["image_id"], pdf["path"], strict=True):
+                data = read_bytes(path)
+                rgb, bgr = decode_rgb(data), decode_bgr(data)
+                rows.append((image_id, None, None) if rgb is None else (image_id, int(rgb[0, 0, 0]), int(bgr[0, 0, 0])))
+            yield pd.DataFrame(rows, columns=["image_id", "red", "blue_first"]).astype({"red": "Int64", "blue_first": "Int64"})
+
+    folder = _picture_files(t.supplier, "s_suppkey", "s_nationkey")
+    return I.scan_images(t.spark, folder).select("image_id", "path").mapInPandas(read, "image_id string, red long, blue_first long")
+
+
+@query("""SELECT 'p' || n_nationkey AS image_id, p AS "pass", CASE WHEN n_nationkey % 10 = 0 THEN 'error' WHEN p = 'depth' THEN 'skipped_dependency' ELSE 'processed' END AS outcome
+FROM nation, (SELECT unnest(['caption', 'pixel', 'depth', 'pose2', 'metadata']) AS p) WHERE (p = 'metadata') = (n_nationkey % 10 = 0)""")
+def passes_run(t):
+    """Passes with small stand-in models over pictures in the shared folder: outcomes, unreadable pictures among them."""
+    backends = {"caption": lambda image, n: "a picture", "pose2": PersonPose(_nobody, _whole_crop)}
+    root, output = _picture_files(t.nation, "n_nationkey", "n_regionkey"), shared_folder(t.spark)
+    done, errors = process_all(t.spark, root, output, ["caption", "pixel", "depth", "pose2"], decode_rgb, backends)
+    return done.unionByName(errors).select("image_id", "pass", "outcome")
+
+
+def _nobody(image):
+    return np.zeros(0), np.zeros(0), np.zeros((0, 4))
+
+
+def _whole_crop(image, box):
+    size = np.array([image.shape[1], image.shape[0]])
+    return np.zeros((308, 2)), np.ones(308), size, size / 2, size

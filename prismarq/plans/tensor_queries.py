@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from prismarq.functions import charts as C
 from prismarq.functions import tensor as V
 from prismarq.plans.catalogue import query
 
@@ -66,6 +69,7 @@ def register_detect(t):
 @query("""WITH b AS (SELECT event_type, quantile_cont(value, 0.02) AS lo, quantile_cont(value, 0.98) AS hi FROM events GROUP BY event_type)
 SELECT event_id, round(CASE WHEN hi > lo THEN greatest(0, least(1, (value - lo) / (hi - lo))) ELSE 0 END, 6) AS clipped FROM events JOIN b USING (event_type)""")
 def percentile_clip(t):
+    # Exact: the aggregate's buffer counts distinct values, and its partial form merges them before the shuffle.
     bounds = t.events.groupBy("event_type").agg(F.percentile("value", F.lit([0.02, 0.98])).alias("q"))
     rows = t.events.join(bounds, "event_type")
     return rows.select("event_id", F.round(V.clip_range(F.col("value"), F.get("q", F.lit(0)), F.get("q", F.lit(1))), 6).alias("clipped"))
@@ -149,3 +153,56 @@ def patch_heatmap(t):
     heat = V.clip_range(F.col("s"), F.get("q", F.lit(0)), F.get("q", F.lit(1)))
     out = cos.join(grid, "label")
     return out.select("label", F.floor(F.col("p") / F.col("side")).alias("row"), (F.col("p") % F.col("side")).alias("col"), F.round(heat, 5).alias("heat"))
+
+
+_IMAGES = f"n AS (SELECT vec_id, label, {_V} AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos FROM embeddings)"
+
+
+def _by_image(vectors, work, schema):
+    """``work`` on the vectors of each label, in order of vec_id: tokens of one image, as many as a model has."""
+
+    def run(pdf):
+        pdf = pdf.sort_values("vec_id")
+        return work(int(pdf["label"].iloc[0]), np.stack(pdf["embedding"].to_numpy()).astype(np.float64))
+
+    return vectors.select("label", "vec_id", "embedding").groupBy("label").applyInPandas(run, schema)
+
+
+@query(f"""WITH {_IMAGES}, c AS (SELECT label, v AS c FROM n WHERE pos = 0), tok AS (SELECT label, v, pos - 1 AS p, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM n WHERE pos > 0),
+r AS (SELECT label, CASE WHEN count(*) > 8 AND avg(norm) FILTER (p < 4) > 1.4::DOUBLE * avg(norm) FILTER (p >= 4) THEN 4 ELSE 0 END AS r FROM tok GROUP BY label),
+s AS (SELECT tok.label, p - r AS p, list_sum(list_transform(list_zip(v, c), lambda q: q[1] * q[2])) / ((norm + 1e-8::DOUBLE) * (sqrt(list_sum(list_transform(c, lambda x: x * x))) + 1e-8::DOUBLE)) AS s
+  FROM tok JOIN c ON tok.label = c.label JOIN r ON tok.label = r.label WHERE p >= r),
+g AS (SELECT label, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM s GROUP BY label),
+cells AS (SELECT g.label, side, i AS cell, coalesce(s.s, 0) AS s FROM (SELECT label, side, unnest(range(side * side)) AS i FROM g) g LEFT JOIN s ON g.label = s.label AND g.i = s.p),
+q AS (SELECT label, quantile_cont(s, 0.02) AS lo, quantile_cont(s, 0.98) AS hi FROM cells GROUP BY label)
+SELECT cells.label, 2 * (cell // side) + dy AS y, 2 * (cell % side) + dx AS x, round(greatest(0, least(1, (s - lo) / (hi - lo + 1e-8::DOUBLE))), 5) AS heat
+FROM cells JOIN q ON cells.label = q.label, (SELECT unnest([0, 1]) AS dy), (SELECT unnest([0, 1]) AS dx)""")
+def similarity_map(t):
+    """Class token against patches of each image: registers found and dropped, square grid, percentiles, blocks of two by two."""
+
+    def work(label, tokens):
+        patches = tokens[1:]
+        n = len(patches) - (C.REGISTERS if C.has_registers(patches) else 0)
+        side = 2 * int(np.ceil(np.sqrt(n)))
+        heat = C.similarity_map(tokens[0], patches, side, side)
+        y, x = np.divmod(np.arange(side * side), side)
+        return pd.DataFrame({"label": label, "y": y, "x": x, "heat": heat.ravel()})
+
+    return _by_image(t.embeddings, work, "label bigint, y bigint, x bigint, heat double").withColumn("heat", F.round("heat", 5))
+
+
+@query(f"""WITH {_IMAGES}, k AS (SELECT label, count(*) * 3 // 4 AS r FROM n GROUP BY label), m AS (SELECT n.label, pos, r, (1 + vec_id % 7) * CAST(sqrt(list_sum(list_transform(v, lambda x: x * x))) AS DOUBLE) AS norm FROM n JOIN k ON n.label = k.label),
+b AS (SELECT label, min(norm) FILTER (pos < r) AS lo, max(norm) FILTER (pos < r) AS hi FROM m GROUP BY label)
+SELECT m.label, pos, r AS "real", round(norm, 3) AS norm, round(CASE WHEN pos < r THEN (norm - lo) / (hi - lo + 1e-8::DOUBLE) END, 3) AS scaled FROM m JOIN b ON m.label = b.label""")
+def token_chart(t):
+    """Strength of every token of each image (vectors of seven lengths), scaled over the real ones: three quarters of them."""
+
+    def work(label, tokens):
+        mask = (np.arange(len(tokens)) < len(tokens) * 3 // 4).astype(int)
+        chart = C.token_chart(mask, "", tokens)
+        scaled = pd.Series(chart["scaled"].astype(np.float64)).reindex(range(len(tokens)))
+        return pd.DataFrame({"label": label, "pos": range(len(tokens)), "real": chart["real"], "norm": chart["norms"].astype(np.float64), "scaled": scaled})
+
+    strong = t.embeddings.withColumn("embedding", F.transform("embedding", lambda x: x * (1 + F.col("vec_id") % 7)))
+    out = _by_image(strong, work, "label bigint, pos bigint, real bigint, norm double, scaled double")
+    return out.withColumn("norm", F.round("norm", 3)).withColumn("scaled", F.when(~F.isnan("scaled"), F.round("scaled", 3)))
