@@ -6,21 +6,23 @@ the anchor of a window (a string of LENGTH bytes) is the place of the least hash
 among its ``GRAM``-byte grams, so equal windows have equal anchors at equal
 offsets.  Windows of a text that share an anchor are consecutive: a run.
 
-1. Splitters, sampled from the leading bytes of suffixes at anchors, cut the order
-   of suffixes into buckets; where splitters repeat, a hash of the gram decides
-   among their buckets.  A run goes to the bucket of its anchor.
-2. A bucket is sorted by (leading bytes, gram, context).  A gram met once settles
-   its run: no window of it repeats.  Runs with one and the same context repeat
-   as a whole.  Only where a gram has several contexts are windows compared.
-3. For those, one run of each context brings its bytes; the windows of a gram are
-   suffixes that meet in one bucket, sorted by multikey quicksort, eight bytes at
-   a level, refining only what is still tied.  Neighbours that stay tied over all
-   of LENGTH bytes are equal.  Grams with more than ``GIANT`` contexts are
-   spread over several buckets by their windows' own leading bytes and hash.
+1. Sampled splitters cut the order of the suffixes at anchors (leading bytes, gram,
+   context) into buckets, and a run goes to the bucket of its anchor.  A gram that
+   very many texts share takes several buckets, not one.
+2. A bucket is sorted in that order.  A gram met once settles its run: no window of
+   it repeats.  Runs with one and the same context repeat as a whole.  Each bucket
+   hands its first and last gram over; a gram that goes on beyond a boundary is
+   compared there too.
+3. Where a gram has several contexts, one run of each brings its bytes to the bucket
+   of its suffix, the first one where the gram begins.  There the windows are suffixes,
+   sorted by multikey quicksort, eight bytes at a level, refining only what is still
+   tied.  Neighbours that stay tied over all of LENGTH bytes are equal.
 4. Runs and windows found to repeat become spans; each text loses their union.
 
-Texts move twice (to give the bytes of contexts, and to be cut).  Equality of
-grams and whole contexts is that of 64-bit hashes; windows are compared as bytes.
+No bucket should hold all windows of a gram with more than ``GIANT`` contexts: those
+windows are counted over all buckets by 128-bit digests.  Texts move twice (to give
+the bytes of contexts, and to be cut).  Grams and whole contexts are told apart by
+64-bit hashes of their bytes; windows are compared as bytes.
 
 Defined cases: null text is empty; matches never cross texts; a text shorter than
 LENGTH keeps everything; equal rows lose everything if long enough; a row without
@@ -38,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prismarq.llm.common import _BYTE_CODES, Rolling, as_bytes, batches, fresh, mix64, write_table
+from prismarq.llm.common import Rolling, as_bytes, batches, fresh, give_back, mix64, small, write_table
 
 LENGTH = 200
 GRAM = 50
@@ -52,6 +54,8 @@ GIANT = 20_000
 SORT_WINDOWS = 60_000
 
 _POSITION = np.uint64((1 << 24) - 1)
+#: The order of suffixes at anchors.
+_ORDER = ("lead", "gram", "context")
 _RUN = "doc long, bucket int, lead long, gram long, context long, start int, n int, off int, many boolean"
 #: Buffers hold fewer bytes than positions in a packed key can count.
 _BUFFER = 1 << 20
@@ -75,9 +79,10 @@ def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dic
     none = {k: np.zeros(0, dtype=np.int64) for k in ("owner", "start", "n", "off", "lead", "gram", "context")}
     if len(raw) < length:
         return none
-    rolling = Rolling(_BYTE_CODES[raw])
+    # Eight bytes make a code: sums of codes of single bytes are too alike in texts of few letters.
+    rolling = Rolling(mix64(_eights(raw)))
     at = np.arange(len(raw) - gram + 1)
-    hashes = rolling.slices(at, at + gram)
+    hashes = rolling.slices(at, at + gram - 7)
     if len(raw) <= int(_POSITION):
         least = _sliding_min((hashes & ~_POSITION) | at.astype(np.uint64), length - gram + 1)
         anchor = (least & _POSITION).astype(np.int64)
@@ -105,18 +110,28 @@ def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dic
     owner = np.searchsorted(ends, begin, side="right")
     place = anchor[begin]
     n, off = stop - begin, place - begin
-    context = rolling.slices(begin, stop - 1 + length) ^ mix64((n << 20 | off).astype(np.uint64))
-    lead = np.zeros(len(begin), dtype=np.uint64)
-    for i in range(8):
-        lead = lead << np.uint64(8) | raw[place + i]
+    context = rolling.slices(begin, stop - 8 + length) ^ mix64((n << 20 | off).astype(np.uint64))
+    lead = _eights(raw)[place].byteswap()
     return {"owner": owner, "start": begin - (ends - sizes)[owner], "n": n, "off": off, "lead": (lead ^ np.uint64(1 << 63)).view(np.int64), "gram": hashes[place].view(np.int64), "context": context.view(np.int64)}
 
 
-def buckets_of(lead: np.ndarray, tie: np.ndarray, splitters: np.ndarray) -> np.ndarray:
-    """Bucket of each suffix; among the buckets of equal splitters, ``tie`` chooses."""
-    low = np.searchsorted(splitters, lead, side="left")
-    high = np.searchsorted(splitters, lead, side="right")
-    return low + (mix64(tie.view(np.uint64)) % (high - low + 1).astype(np.uint64)).astype(np.int64)
+def _eights(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one little-endian number; zeros follow the end."""
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray(len(raw), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def buckets_of(keys: list[np.ndarray], splitters: list[np.ndarray]) -> np.ndarray:
+    """Number of splitters below each suffix; both in the order of their columns, the first one first."""
+    low = np.searchsorted(splitters[0], keys[0], side="left")
+    if len(keys) == 1:
+        return low
+    high = np.searchsorted(splitters[0], keys[0], side="right")
+    out, tied = low.copy(), np.flatnonzero(low < high)
+    for a in np.unique(low[tied]):
+        rows = tied[low[tied] == a]
+        out[rows] += buckets_of([k[rows] for k in keys[1:]], [x[a : high[rows[0]]] for x in splitters[1:]])
+    return out
 
 
 def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -133,7 +148,7 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf
 
 
-def _run_maker(splitters: np.ndarray):
+def _run_maker(splitters: list[np.ndarray]):
     def make(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             texts, out = as_bytes(pdf["text"]), []
@@ -141,9 +156,10 @@ def _run_maker(splitters: np.ndarray):
             for i, j in batches(texts, _BUFFER):
                 r = find_runs(texts[i:j])
                 doc = docs[i:j][r.pop("owner")] if len(r["start"]) else np.zeros(0, dtype=np.int64)
-                out.append(pd.DataFrame({"doc": doc, "bucket": buckets_of(r["lead"], r["gram"], splitters), **r}))
+                out.append(pd.DataFrame({"doc": doc, "bucket": buckets_of([r[x] for x in _ORDER], splitters), **r}))
             if out:
                 yield _settle(pd.concat(out, ignore_index=True))[[x.split()[0] for x in _RUN.split(", ")]]
+        give_back()
 
     return make
 
@@ -173,33 +189,40 @@ def _whole_groups(parts: Iterator[pd.DataFrame], columns: list[str], least: int
         yield pd.concat(held, ignore_index=True)
 
 
-_JUDGED = "doc long, start int, n int, off int, gram long, again boolean, ask boolean, contexts long"
+_JUDGED = "doc long, start int, n int, off int, bucket int, gram long, again boolean, ask boolean, contexts long, edge boolean"
 
 
 def _judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs that repeat (``again``), and one run of each context of grams that have several (``ask``)."""
+    """Runs that repeat (``again``), one run of each context of grams that have several (``ask``), and one of each context of grams that may go on beyond a boundary (``edge``)."""
     for pdf in _whole_groups(parts, ["bucket", "lead", "gram"]):
         done = pdf["bucket"].to_numpy() < 0  # results already, with no part in the comparison
         if done.any():
-            yield pdf[done][["doc", "start", "n", "off", "gram"]].assign(again=True, ask=False, contexts=1)
+            yield pdf[done][["doc", "start", "n", "off", "bucket", "gram"]].assign(again=True, ask=False, contexts=1, edge=False)
             pdf = pdf[~done].reset_index(drop=True)
             if not len(pdf):
                 continue
-        gram, context = pdf["gram"].to_numpy(), pdf["context"].to_numpy()
-        new_gram = np.ones(len(pdf), dtype=bool)
-        new_gram[1:] = (gram[1:] != gram[:-1]) | (pdf["lead"].to_numpy()[1:] != pdf["lead"].to_numpy()[:-1])
+        gram, context, bucket = (pdf[x].to_numpy() for x in ("gram", "context", "bucket"))
+        new_bucket = np.ones(len(pdf), dtype=bool)
+        new_bucket[1:] = bucket[1:] != bucket[:-1]
+        new_gram = new_bucket.copy()
+        new_gram[1:] |= (gram[1:] != gram[:-1]) | (pdf["lead"].to_numpy()[1:] != pdf["lead"].to_numpy()[:-1])
         new_context = new_gram.copy()
         new_context[1:] |= context[1:] != context[:-1]
         which = np.cumsum(new_context) - 1
         many = (np.bincount(which) > 1) | (np.bincount(which, weights=pdf["many"].to_numpy()) > 0)
         group = np.cumsum(new_gram) - 1
         contexts = np.bincount(group, weights=new_context).astype(np.int64)[group]
+        first = np.flatnonzero(new_bucket)
+        outer = np.zeros(group[-1] + 1, dtype=bool)  # first and last grams of buckets, as far as these rows tell
+        outer[group[first]] = outer[group[np.append(first[1:], len(pdf)) - 1]] = True
         again, ask = many[which], new_context & (contexts > 1)
-        out = pd.DataFrame({"doc": pdf["doc"], "start": pdf["start"], "n": pdf["n"], "off": pdf["off"], "gram": gram, "again": again, "ask": ask, "contexts": contexts})
-        yield out[again | ask]
+        edge = outer[group] & new_context
+        out = pd.DataFrame({"doc": pdf["doc"], "start": pdf["start"], "n": pdf["n"], "off": pdf["off"], "bucket": bucket, "gram": gram, "again": again, "ask": ask, "contexts": contexts, "edge": edge})
+        yield out[again | ask | edge]
+    give_back()
 
 
-_SLICE = "doc long, start int, n int, gram long, again boolean, contexts long, bytes binary"
+_SLICE = "doc long, start int, n int, home int, gram long, again boolean, contexts long, bytes binary"
 
 
 def _slicer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,19 +231,23 @@ def _slicer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for doc, text, asked in zip(pdf["doc"], as_bytes(pdf["text"]), pdf["asked"], strict=True):
             for a in asked:
-                rows.append((doc, a["start"], a["n"], a["gram"], a["again"], a["contexts"], text[a["start"] : a["start"] + a["n"] - 1 + LENGTH]))
+                rows.append((doc, a["start"], a["n"], a["home"], a["gram"], a["again"], a["contexts"], text[a["start"] : a["start"] + a["n"] - 1 + LENGTH]))
         yield pd.DataFrame(rows, columns=[x.split()[0] for x in _SLICE.split(", ")])
 
 
-def equal_windows(windows: np.ndarray) -> np.ndarray:
-    """Which rows of a byte matrix occur twice or more: multikey quicksort, eight bytes at a level, tied rows only."""
-    n, width = windows.shape
-    keys = np.ascontiguousarray(np.pad(windows, ((0, 0), (0, -width % 8)))).view(">u8")
-    rows, group = np.arange(n), np.zeros(n, dtype=np.int64)
-    for level in range(keys.shape[1]):
+def equal_windows(flat: np.ndarray, at: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Which of the suffixes of ``flat`` that begin ``at`` agree with another one in their first ``length`` bytes.
+
+    Multikey quicksort: eight bytes at a level, in byte order, and from level to level only suffixes still tied.
+    """
+    eights = _eights(flat)
+    rows, group = np.arange(len(at)), np.zeros(len(at), dtype=np.int64)
+    for depth in range(0, length, 8):
         if not len(rows):
             break
-        k = keys[rows, level].astype(np.uint64)
+        k = eights[at[rows] + depth].byteswap()
+        if length - depth < 8:
+            k >>= np.uint64(8 * (8 - length + depth))
         order = np.lexsort((k, group))
         rows, group, k = rows[order], group[order], k[order]
         new = np.ones(len(rows), dtype=bool)
@@ -228,25 +255,25 @@ def equal_windows(windows: np.ndarray) -> np.ndarray:
         group = np.cumsum(new) - 1
         tied = np.bincount(group)[group] > 1
         rows, group = rows[tied], group[tied]
-    out = np.zeros(n, dtype=bool)
+    out = np.zeros(len(at), dtype=bool)
     out[rows] = True
     return out
 
 
-def _windows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(row, byte matrix) of all windows of these runs."""
+def _windows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of these runs: row, place in ``flat``, place in the text; and ``flat``, all bytes."""
     flat = np.frombuffer(b"".join(pdf["bytes"]), dtype=np.uint8)
     n = pdf["n"].to_numpy().astype(np.int64)
     sizes = n - 1 + LENGTH
     begin = np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(pdf)), n)
-    at = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    return row, np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at]
+    step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return row, begin[row] + step, pdf["start"].to_numpy()[row] + step, flat
 
 
 def _compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs of windows that occur in another context of the same gram."""
-    for frame in _whole_groups(parts, ["gram"]):
+    for frame in _whole_groups(parts, ["home", "gram"]):
         total = np.cumsum(frame["n"].to_numpy())
         gram = frame["gram"].to_numpy()
         ends = np.append(np.flatnonzero(gram[1:] != gram[:-1]) + 1, len(frame))
@@ -256,16 +283,15 @@ def _compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stop = fit[-1] if len(fit) else ends[ends > begin][0]
             pdf = frame.iloc[begin:stop]
             begin = stop
-            row, windows = _windows(pdf)
-            hit = equal_windows(windows) & ~pdf["again"].to_numpy()[row]
+            row, begin_at, at, flat = _windows(pdf)
+            hit = equal_windows(flat, begin_at) & ~pdf["again"].to_numpy()[row]
             where = np.flatnonzero(hit)
-            n = pdf["n"].to_numpy()
-            at = pdf["start"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             new = np.ones(len(where), dtype=bool)
             new[1:] = (np.diff(where) > 1) | (row[where][1:] != row[where][:-1])
             first = where[new]
             count = np.diff(np.append(np.flatnonzero(new), len(where)))
             yield pd.DataFrame({"doc": pdf["doc"].to_numpy()[row[first]], "start": at[first], "n": count})
+    give_back()
 
 
 def _expand(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,10 +299,8 @@ def _expand(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in parts:
         for i in range(0, len(pdf), 256):
             part = pdf.iloc[i : i + 256]
-            row, windows = _windows(part)
-            n = part["n"].to_numpy()
-            at = part["start"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            keys = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() for w in windows]
+            row, begin, at, flat = _windows(part)
+            keys = [hashlib.blake2b(flat[x : x + LENGTH], digest_size=16).digest() for x in begin]
             yield pd.DataFrame({"doc": part["doc"].to_numpy()[row], "start": at, "window": keys, "again": part["again"].to_numpy()[row]})
 
 
@@ -301,10 +325,10 @@ def _cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]
         yield pd.DataFrame(rows, columns=["kept_bytes", "removed"])
 
 
-def splitters_of(texts: DataFrame, n: int, buckets: int) -> np.ndarray:
-    """``buckets - 1`` splitters between the leading bytes of suffixes, sampled from about SAMPLE_DOCS of ``n`` rows: they only balance the buckets."""
+def splitters_of(texts: DataFrame, n: int, buckets: int) -> list[np.ndarray]:
+    """``buckets - 1`` splitters (columns of _ORDER) of the suffixes at anchors, sampled from about SAMPLE_DOCS of ``n`` rows: they only balance the buckets."""
 
-    def leads(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sample(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             t = as_bytes(pdf["text"])
             for i, j in batches(t, _BUFFER):
@@ -313,14 +337,14 @@ def splitters_of(texts: DataFrame, n: int, buckets: int) -> np.ndarray:
                 first = np.searchsorted(r["owner"][order], np.arange(j - i + 1))
                 pick = [order[a : min(a + SAMPLE_EACH, b)] for a, b in zip(first[:-1], first[1:], strict=True)]
                 pick = np.concatenate(pick) if pick else np.zeros(0, dtype=np.int64)
-                yield pd.DataFrame({"lead": r["lead"][pick]})
+                yield pd.DataFrame({x: r[x][pick] for x in _ORDER})
 
     every = max(1, n // SAMPLE_DOCS)
     some = texts.where(F.pmod(F.col("doc"), F.lit(every)) == 0).select("text")
-    found = np.sort(np.array([r[0] for r in some.mapInPandas(leads, "lead long").limit(4 * SAMPLE_DOCS * SAMPLE_EACH).collect()], dtype=np.int64))
-    if not len(found):
-        return found
-    return found[(np.arange(1, buckets) * len(found)) // buckets]
+    found = some.mapInPandas(sample, ", ".join(f"{x} long" for x in _ORDER)).limit(4 * SAMPLE_DOCS * SAMPLE_EACH).collect()
+    found = np.array(sorted(tuple(r) for r in found), dtype=np.int64).reshape(-1, len(_ORDER))
+    cuts = (np.arange(1, buckets) * len(found)) // buckets if len(found) else np.zeros(0, dtype=np.int64)
+    return [found[cuts, i] for i in range(len(_ORDER))]
 
 
 def document_key(doc_id: Column, text: Column) -> Column:
@@ -335,14 +359,19 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     buckets = min(MOST_BUCKETS, max(64, n // ROWS_PER_BUCKET))
     runs = texts.mapInPandas(_run_maker(splitters_of(texts, n, buckets)), _RUN)
     runs = runs.repartition(buckets, F.col("bucket"), F.when(F.col("bucket") < 0, F.col("doc")))
-    judged = write_table(runs.sortWithinPartitions("bucket", "lead", "gram", "context", "doc", "start").mapInPandas(_judge, _JUDGED))
-    asked = judged.where("ask").groupBy("doc").agg(F.collect_list(F.struct("start", "n", "gram", "again", "contexts")).alias("asked"))
+    judged = write_table(runs.sortWithinPartitions("bucket", *_ORDER, "doc", "start").mapInPandas(_judge, _JUDGED))
+    # Grams that buckets handed over and that more than one bucket knows: at most two a bucket, and two a batch of rows.
+    beyond = judged.where("edge").select("gram", "bucket", "contexts").distinct().groupBy("gram")
+    beyond = beyond.agg(F.min("bucket").alias("home"), F.sum("contexts").alias("all"), F.countDistinct("bucket").alias("n")).where("n > 1").select("gram", "home", "all")
+    ask = judged.where("ask or edge").join(small(write_table(beyond)), "gram", "left").where("ask or home is not null")
+    ask = ask.select("doc", "start", "n", "gram", "again", F.coalesce("home", "bucket").alias("home"), F.coalesce("all", "contexts").alias("contexts"))
+    asked = write_table(ask.groupBy("doc").agg(F.collect_list(F.struct("start", "n", "home", "gram", "again", "contexts")).alias("asked")))
     slices = texts.join(asked, "doc").select("doc", "text", "asked").mapInPandas(_slicer, _SLICE)
-    giant = not judged.where(F.col("contexts") > GIANT).isEmpty()
+    giant = not asked.where(F.exists("asked", lambda a: a["contexts"] > GIANT)).isEmpty()
     if giant:
         slices = write_table(slices)
     near = slices.where(F.col("contexts") <= GIANT) if giant else slices
-    found = near.repartition(buckets, "gram").sortWithinPartitions("gram").mapInPandas(_compare, "doc long, start int, n int")
+    found = near.repartition(buckets, "home").sortWithinPartitions("home", "gram").mapInPandas(_compare, "doc long, start int, n int")
     out = judged.where("again").select("doc", "start", "n").unionByName(found)
     if giant:
         windows = write_table(slices.where(F.col("contexts") > GIANT).mapInPandas(_expand, "doc long, start int, window binary, again boolean"))
