@@ -14,6 +14,9 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES, FEW_ROWS = 64 << 20, 1000
 
 
+_MADE: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder path below the one that the cluster names in ``spark.checkpoint.dir``.
 
@@ -26,7 +29,17 @@ def shared_folder(spark: SparkSession) -> str:
         top = getattr(shared_folder, "own", None)
         if top is None:
             top = shared_folder.own = tempfile.mkdtemp(prefix="prismarq-")
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    _MADE.append(f"{top.rstrip('/')}/{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the folders that this process has made, when no DataFrame that reads them is needed any more; how many were there."""
+    found = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        found += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return found
 
 
 def write_table(df: DataFrame) -> DataFrame:

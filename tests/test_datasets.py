@@ -205,6 +205,15 @@ def test_migrate(spark, tmp_path):
     assert commands.migrate(*args)["new"] == 0
 
 
+def test_tables_are_cleaned(spark):
+    from prismarq.sources import shared
+
+    shared.clean(spark)
+    table = shared.write_table(spark.range(5))
+    path = table.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(path) and shared.clean(spark) == 1 and not os.path.exists(path) and shared.clean(spark) == 0
+
+
 def test_streams(spark, tmp_path):
     put(f"{tmp_path}/in/a.png", b"x")
     seen: list[list[str]] = []
