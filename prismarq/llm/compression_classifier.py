@@ -113,9 +113,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     order = F.xxhash64("id", "label")
     picked = named.withColumn("o", order).orderBy("o", "id", "label").limit(most)  # a top-k, never a full sort
     joined = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("id"))
-    sizes = joined.select("id", "label", "o", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
+    # One row per label, however often its document is there: of repeated documents the shortest.
+    sizes = joined.groupBy("id", "label", "o").agg(F.min(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n"))
     wanted, room = set(), most_bytes
-    for r in sorted(sizes.collect(), key=lambda r: (r["o"], r["id"], r["label"], r["n"]))[:most] if most else ():  # at most ``most`` labels; of repeated documents the first
+    for r in sorted(sizes.collect(), key=lambda r: (r["o"], r["id"], r["label"])):  # at most ``most`` rows
         pass_on = (r["id"], r["label"], r["o"], r["n"])
         if pass_on not in wanted and r["n"] <= room:
             wanted.add(pass_on)
