@@ -19,6 +19,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +75,7 @@ def _build(keys: DataFrame, n: int, rate: float, salt: int) -> Level:
 
 
 def _passes(level: Level, key: Column) -> Column:
-    words = F.lit(level.words).cast("array<bigint>")
+    words = F.lit(np.array(level.words, dtype=np.int64))  # one literal, however long
     test = lambda p: F.call_function("shiftrightunsigned", F.get(words, (p / 64).cast("int")), (p % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
     return F.forall(_positions(key, level.bits, level.probes, level.salt), test)
 
@@ -120,10 +121,11 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return lower_ascii(F.regexp_extract(rest, r"^[^/?#]*", 0)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def domains_of(host: Column) -> Column:
-    """The host and each of its parent domains, longest first."""
+def domains_of(host: Column, labels: int) -> Column:
+    """The host and its parent domains that have at most ``labels`` labels, longest first."""
     parts = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    n = F.size(parts)
+    return F.transform(F.sequence(F.greatest(F.lit(1), n - (labels - 1)), n), lambda i: F.array_join(F.slice(parts, i, n), "."))
 
 
 def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -139,13 +141,15 @@ def filter_urls(df: DataFrame, url: str = "url", rules: Sequence[tuple[str, str,
     """``df`` with ``host, path, rule, verdict``: the longest fitting rule's verdict, else ``block`` for listed domains and ``allow`` for others."""
     if not isinstance(listed, DataFrame):
         listed = df.sparkSession.createDataFrame([(k,) for k in listed], "key string")
+    # No longer name can be listed, so longer ones need not be looked up.
+    labels = listed.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first()["n"] or 1
     host, path = url_parts(F.col(url))
     hosts = df.select(host.alias("host")).distinct()
-    universe = hosts.select(F.explode(domains_of(F.col("host"))).alias("key"))
+    universe = hosts.select(F.explode(domains_of(F.col("host"), labels)).alias("key"))
     levels = build_cascade(listed, universe)
     (best,) = fresh(df, "best")
     out = df.withColumns({"host": host, "path": path})
-    blocked = F.exists(domains_of(F.col("host")), lambda k: listed_by(levels, k))
+    blocked = F.exists(domains_of(F.col("host"), labels), lambda k: listed_by(levels, k))
     out = out.withColumn(best, best_rule(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce(F.col(best)["verdict"], F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
     return out.withColumns({"rule": F.col(best)["rule"], "verdict": verdict}).drop(best)
