@@ -1,6 +1,6 @@
 """Connected components of a link table.
 
-Every task first reduces its links to a spanning forest, so a group that is linked
+Every task first reduces its links to a spanning forest (or those that make them do), so a group that is linked
 many times over costs each task one link per vertex.  A table that is then counted
 to have at most ``ONE_TASK`` links (16 bytes each) is settled by union-find in one
 task; a larger one by minimum labels with pointer jumping: each round hands every
@@ -49,10 +49,15 @@ def _forest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     give_back()
 
 
-def components(links: DataFrame, most_rounds: int = 100, one_task: int = ONE_TASK) -> DataFrame:
-    """(v, label) for every vertex of ``links`` (a, b: bigint; vertices linked only to themselves left out); the label is the smallest vertex of its component."""
-    links = links.where("a <> b").select("a", "b").mapInPandas(_forest, "a long, b long")
-    links = write_table(links.where("a <> b").distinct())
+def components(links: DataFrame, most_rounds: int = 100, one_task: int = ONE_TASK, forests: bool = False) -> DataFrame:
+    """(v, label) for every vertex of ``links`` (a, b: bigint; vertices linked only to themselves left out); the label is the smallest vertex of its component.
+
+    ``forests``: the tasks that make ``links`` send forests already, and need no second Python worker beside them.
+    """
+    links = links.where("a <> b").select("a", "b")
+    if not forests:
+        links = links.mapInPandas(_forest, "a long, b long").where("a <> b")
+    links = write_table(links.distinct())
     if links.count() <= one_task:
         return write_table(links.coalesce(1).mapInPandas(_forest, "a long, b long").toDF("v", "label"))
     both = write_table(links.union(links.select("b", "a")))

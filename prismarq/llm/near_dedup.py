@@ -321,7 +321,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 def _merge(links: DataFrame, labels: DataFrame | None) -> DataFrame:
     """(v, label): components of ``links`` together with what ``labels`` connect."""
     links = links.select("a", "b")
-    return components(links if labels is None else links.unionByName(labels.select(F.col("v").alias("a"), F.col("label").alias("b"))))
+    return components(links if labels is None else links.unionByName(labels.select(F.col("v").alias("a"), F.col("label").alias("b"))), forests=True)
 
 
 def _chunks_together(large: DataFrame, links_in: Callable[[DataFrame], DataFrame], labels: DataFrame) -> DataFrame:
@@ -441,7 +441,7 @@ def _confirmed(texts: DataFrame, reps: DataFrame, coarse: DataFrame, k: int, per
     columns = ("key", "chunk", "rep", "label", "sig", "shingles")
     links = confirm(sets(members.where("chunks = 1")).withColumn("label", F.col("rep")).select(*columns))
     if members.where("chunks > 1").isEmpty():
-        return components(links)
+        return components(links, forests=True)
     large = write_table(sets(members.where("chunks > 1")))
     known = large.select("rep", "sig", "shingles")
     inside = _merge(confirm(large.withColumn("label", F.col("rep")).select(*columns)), None)
