@@ -1,43 +1,47 @@
 """Token-id files: an adaptive context-mixing range coder over independent blocks.
 
-Ids are coded four bits at a time.  The chance of each next four bits mixes three
-predictions of the id: order 0 counts how often each prefix of an id went on so;
-orders 1 and 2 remember, per hashed context of the last one or two ids, the id
-that followed, with a confidence.  A remembered id lends its four bits a weight
-that follows, for each order and confidence, how often such predictions have come
-true.  A carry-less range coder turns the mixture into bytes.
-
-A block has at most ``BLOCK`` ids and starts from an empty model, so blocks are
-independent; ``LANES`` of them are coded side by side as NumPy vectors, which is
-what makes a pure Python coder bearable.  Each block carries CRC-32 checksums of
-its bytes and of its ids.
+The chance of each id mixes three predictions.  Orders 1 and 2 remember, per hashed
+context of the last one or two ids, the id that followed, with a trust; each lends
+its id a weight that follows, for each order and trust, how often such predictions
+have come true.  What the two leave is order 0: the ids' frequencies in the group
+of blocks.  One or two steps of a carry-less range coder turn an id into bytes.
+
+A block has at most ``BLOCK`` ids and starts with empty memories and fresh weights,
+so blocks are independent but for the group's order-0 frequencies, which stand in
+its head; ``LANES`` of them are coded side by side as NumPy vectors, which is what
+makes a Python coder bearable.  Each block carries CRC-32 checksums of its bytes
+and of its ids, the frequencies one of their own.
 
 File (integers little-endian; one file per partition, in ascending doc_id order)::
 
-    b"PRSMIDS1"  bits per id: u32
-    group, repeated:   b"GRP1"  documents: u32  blocks: u32
+    b"PRSMIDS2"
+    group, repeated:   b"GRP1"  documents: u32  blocks: u32  ids in use: u32  log2 of the frequencies' sum: u32
+        frequencies: bytes u32, CRC-32 u32, then zlib of the ids in use (each less the one before, u32) and of their frequencies (u32)
         documents: has id u8, doc_id i64, ids u32 (each)
         blocks: ids u32, bytes u32, CRC-32 of the bytes u32, CRC-32 of the ids as u32 u32 (each), then the bytes of all
     b"END1"  documents: u64  ids: u64
 
 Texts are split at spaces and newlines before the tokenizers library encodes
-them, each distinct word once per batch of work; only for tokenizers that drop
-white space (``SPLITS``) is that the encoding of the whole text, so others encode
-whole texts.  Files are written under a temporary name and renamed, and the same
-rows give the same file, so a task that is run again does no harm.
+them, each distinct word once while a worker lives; only for tokenizers that drop
+white space (``drops_spaces``) is that the encoding of the whole text, so others
+encode whole texts.  Files are written under a temporary name and renamed, and the
+same rows give the same file, so a task that is run again does no harm.
 
 Defined cases: null text is empty and gives the end id alone; null doc_ids come
-first; equal rows are separate documents; an empty table gives no file with
-documents and an empty result; other columns of the input are not stored.
+first; rows of one doc_id are separate documents, in no stated order, and may be
+spread over files; an empty table gives no file with documents and an empty
+result; other columns of the input are not stored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -46,211 +50,230 @@ from pyspark.sql import functions as F
 
 from prismarq.llm.common import shared_folder
 
-BLOCK = 4096
-LANES = 1024
+BLOCK = 2048
+LANES = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Vocabulary files whose tokenizers never let a token span or depend on a space or newline.
-SPLITS = frozenset(["word_bpe_49k.json"])
-CACHED_WORDS = 600_000
-ROWS_PER_FILE = 4000
+CACHED_WORDS = 800_000
+ROWS_PER_FILE = 6000
+
+#: Contexts that orders 1 and 2 remember, each, per block; as a power of two.
+_SLOTS = 256
+#: Weights are parts of 2**16; none grows beyond _MOST, at a rate of 1 in 2**_RATE.
+_WHOLE, _MOST, _RATE = 16, 63_488, 5
+#: The coder's state: bits, a settled top word, and the least range to go on with.
+_BITS, _TOP, _LEAST = 60, 44, 40
+_MASK = np.int64((1 << _BITS) - 1)
+
+
+@dataclass(frozen=True)
+class Frequencies:
+    """Order 0 of a group: the ids in use, ascending, and their frequencies, which add up to 2**``bits``."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+    bits: int
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Frequencies:
+        used, counts = np.unique(ids, return_counts=True)
+        bits = max(16, int(max(1, len(used)) - 1).bit_length() + 3)
+        room = (1 << bits) - len(used)
+        scaled = 1 + counts * room // max(1, counts.sum())
+        if len(used):
+            scaled[np.argmax(scaled)] += (1 << bits) - scaled.sum()
+        return cls(used.astype(np.int64), scaled.astype(np.int64), bits)
+
+    @property
+    def below(self) -> np.ndarray:
+        return np.cumsum(self.counts) - self.counts
+
+    def pack(self) -> bytes:
+        packed = zlib.compress(np.diff(self.ids, prepend=0).astype("<u4").tobytes() + self.counts.astype("<u4").tobytes(), 6)
+        return struct.pack("<IIII", len(self.ids), self.bits, len(packed), zlib.crc32(packed)) + packed
+
+    @classmethod
+    def unpack(cls, take) -> Frequencies:
+        n, bits, size, crc = struct.unpack("<IIII", take(16))
+        packed = take(size)
+        if zlib.crc32(packed) != crc:
+            raise CorruptFile("frequencies have a wrong checksum")
+        table = np.frombuffer(zlib.decompress(packed), dtype="<u4").astype(np.int64)
+        return cls(np.cumsum(table[:n]), table[n:], bits)
 
-_SLOTS = 4096  # contexts that orders 1 and 2 remember, each
-_TAIL = 2048  # shared order-0 rows for prefixes of three or more nibbles
-_HEAD = 1 + 16 + 256
-_ROW_LIMIT, _STEP, _TOP = 2048, 24, 12
-_MASK = np.int64(0xFFFFFFFF)
+
+class CorruptFile(ValueError):
+    """A token-id file is damaged."""
+
+
+class _Memory:
+    """One order of each lane: the id that followed each context, with a trust from 1 to 7 (0: nothing yet), and the weight of each trust."""
+
+    def __init__(self, lanes: int):
+        self.held = np.zeros(lanes * _SLOTS, dtype=np.int64)  # (number + 1) * 8 + trust
+        self.weights = np.full((lanes, 8), 1 << _WHOLE - 2, dtype=np.int64)
+        self.weights[:, 0] = 0
+        self.weights = self.weights.reshape(-1)
+
+    def recall(self, slot: np.ndarray, cells: np.ndarray) -> None:
+        self.slot = slot
+        self.entry = self.held.take(slot)
+        self.trust = self.entry & 7
+        self.cell = cells + self.trust
+        self.said = (self.entry >> 3) - 1
+        self.weight = self.weights.take(self.cell)
+
+    def learn(self, number: np.ndarray, fresh: np.ndarray) -> None:
+        right = self.said == number
+        self.weights[self.cell] = self.weight + ((right * _MOST - self.weight) >> _RATE)
+        other = np.where(self.trust > 2, self.entry - 2, fresh)
+        self.held[self.slot] = np.where(right, self.entry + (self.trust < 7), other)
 
 
 class _Mixer:
-    """The model of each lane: distributions over the next four bits, and updates."""
-
-    def __init__(self, lanes: int, nibbles: int):
-        self.nibbles = nibbles
-        self.lanes, self.lane = lanes, np.arange(lanes)
-        self.counts = np.ones((lanes * (_HEAD + _TAIL), 16), dtype=np.uint16)
-        self.totals = np.full(lanes * (_HEAD + _TAIL), 16, dtype=np.int32)
-        self.flat_counts = self.counts.reshape(-1)
-        self.rows = np.empty((lanes, 16), dtype=np.uint16)
-        self.weights, self.sums = np.empty((16, lanes), dtype=np.int32), np.zeros((17, lanes), dtype=np.int32)
-        self.flat_weights, self.flat_sums = self.weights.reshape(-1), self.sums.reshape(-1)
-        self.base = self.lane * (_HEAD + _TAIL)
-        self.stats = self.lane * 16
-        self.guess = [np.full(lanes * _SLOTS, -1, dtype=np.int32) for _ in range(2)]
-        self.trust = [np.zeros(lanes * _SLOTS, dtype=np.int8) for _ in range(2)]
-        #: Hits and misses by lane, trust and whether earlier nibbles already agreed.
-        self.hits = [np.ones(lanes * 16, dtype=np.int32) for _ in range(2)]
-        self.misses = [np.full(lanes * 16, 2, dtype=np.int32) for _ in range(2)]
-        self.last = np.zeros((2, lanes), dtype=np.int64)
+    """The predictions of each lane for its next id."""
+
+    def __init__(self, lanes: int):
+        self.one, self.two = _Memory(lanes), _Memory(lanes)
+        self.base, self.cells = np.arange(lanes) * _SLOTS, np.arange(lanes) * 8
+        self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
 
     def start(self, k: int) -> None:
-        """Look up the predictions for the next id of the first ``k`` lanes."""
-        self.k = k
-        one, two = self.last[0, :k], self.last[1, :k]
-        self.slot = [self.lane[:k] * _SLOTS + (one * 40503 >> 3) % _SLOTS, self.lane[:k] * _SLOTS + ((one * 40503 ^ two * 51787 + (two << 7)) >> 2) % _SLOTS]
-        self.said = [g[s] for g, s in zip(self.guess, self.slot, strict=True)]
-        self.sure = [t[s] for t, s in zip(self.trust, self.slot, strict=True)]
-        self.live = [s >= 0 for s in self.said]
-        self.prefix = np.zeros(k, dtype=np.int64)
-        self.at = 0
-
-    def cumulative(self) -> np.ndarray:
-        """Cumulative frequencies (17, k) of the next four bits."""
-        k, j = self.k, self.at
-        node = self.prefix + (0, 1, 17)[j] if j < 3 else _HEAD + (self.prefix * 0x9E3779B1 >> 7) % _TAIL
-        self.row = self.base[:k] + node
-        weights, lane = self.weights[:, :k], self.lane[:k]
-        np.take(self.counts, self.row, axis=0, out=self.rows[:k])
-        weights[...] = self.rows[:k].T
-        total = self.totals[self.row]
-        most = total * _TOP
-        shift = 4 * (self.nibbles - 1 - j)
-        self.cell, self.bits = [], []
-        for o in range(2):
-            cell = self.stats[:k] + self.sure[o] * 2
-            cell += j > 0
-            bits = self.said[o] >> shift & 15
-            lent = np.minimum(total * self.hits[o][cell] // self.misses[o][cell], most) * self.live[o]
-            self.flat_weights[bits * self.lanes + lane] += lent
-            self.cell.append(cell)
-            self.bits.append(bits)
-        self.total = total
-        sums = self.sums[:, :k]
-        for i in range(16):  # far faster than cumsum along the long axis
-            np.add(sums[i], weights[i], out=sums[i + 1])
-        return sums
-
-    def bounds(self, nibble: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cumulative frequency below each lane's four bits, and their own frequency."""
-        at = nibble * self.lanes
-        at += self.lane[: self.k]
-        return self.flat_sums[at], self.flat_weights[at]
-
-    def update(self, nibble: np.ndarray) -> None:
-        for o in range(2):
-            right, cell, live = self.bits[o] == nibble, self.cell[o], self.live[o]
-            right &= live
-            self.hits[o][cell] += right
-            self.misses[o][cell] += live ^ right
-            self.live[o] = right
-        self.flat_counts[self.row * 16 + nibble] += np.uint16(_STEP)
-        total = self.total + _STEP
-        if total.max(initial=0) > _ROW_LIMIT:
-            heavy = np.flatnonzero(total > _ROW_LIMIT)
-            halved = self.counts[self.row[heavy]]
-            halved -= halved >> 1
-            self.counts[self.row[heavy]] = halved
-            total[heavy] = halved.sum(axis=1)
-        self.totals[self.row] = total
-        self.prefix = self.prefix << 4 | nibble
-        self.at += 1
-
-    def finish(self) -> np.ndarray:
-        """The id that was coded; remember it."""
-        ids = self.prefix
-        for o in range(2):
-            slot, said, sure = self.slot[o], self.said[o], self.sure[o]
-            right = said == ids
-            self.guess[o][slot] = np.where(right | (sure > 0), said, ids)
-            self.trust[o][slot] = np.where(right, np.minimum(sure + 1, 7), np.maximum(sure - 2, 0))
-        self.last[1, : self.k] = self.last[0, : self.k]
-        self.last[0, : self.k] = ids
-        return ids
-
-
-def _renormalise(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Lanes whose top byte is settled, or whose range must be cut at a carry."""
-    settled = (low ^ (low + width)) < (1 << 24)
-    short = ~settled & (width < (1 << 16))
-    if short.any():
-        width[short] = -low[short] & 0xFFFF
-    return np.flatnonzero(settled | short)
-
-
-def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
-    """Bytes of each block of ids below 2**bits; blocks are coded side by side, longest first."""
-    nibbles = -(-bits // 4)
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    sizes = np.array([len(blocks[i]) for i in order])
-    n, longest = len(blocks), int(sizes[0]) if len(sizes) else 0
-    ids = np.zeros((n, longest), dtype=np.int64)
+        """Mix the predictions for the next id of the first ``k`` lanes: order 2 has the weights below ``a``, order 1 those from there below ``b``."""
+        base, cells = self.base[:k], self.cells[:k]
+        near = self.last[:k] * 40_503
+        self.one.recall(base + ((near >> 3) & (_SLOTS - 1)), cells)
+        self.two.recall(base + (((near ^ self.before[:k] * 51_787) >> 2) & (_SLOTS - 1)), cells)
+        self.a = self.two.weight
+        rest = (1 << _WHOLE) - self.a
+        self.b = self.a + ((rest * self.one.weight) >> _WHOLE) * (self.one.said != self.two.said)
+
+    def learn(self, number: np.ndarray) -> None:
+        k = len(number)
+        fresh = (number + 1) * 8 + 1
+        self.one.learn(number, fresh)
+        self.two.learn(number, fresh)
+        self.before[:k] = self.last[:k]
+        self.last[:k] = number
+
+
+def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Lanes whose top word is settled, or whose range must be cut at a carry (which cuts it)."""
+    settled = (low ^ (low + width)) < (1 << _TOP)
+    go = settled | (width < (1 << _LEAST))
+    if not go.any():
+        return np.zeros(0, dtype=np.int64)
+    go = np.flatnonzero(go)
+    cut = go[~settled[go]]
+    if len(cut):
+        width[cut] = -low[cut] & ((1 << _LEAST) - 1)
+    return go
+
+
+def _longest_first(sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Order of blocks by falling size, and for each step how many still have ids."""
+    order = np.argsort(-np.array(sizes, dtype=np.int64), kind="stable")
+    sorted_ = np.array(sizes, dtype=np.int64)[order]
+    longest = int(sorted_[0]) if len(sorted_) else 0
+    return order, np.searchsorted(-sorted_, -np.arange(longest), side="left")
+
+
+def encode_blocks(blocks: list[np.ndarray], table: Frequencies) -> list[bytes]:
+    """Bytes of each block of ids that ``table`` knows; blocks are coded side by side."""
+    order, active = _longest_first([len(b) for b in blocks])
+    n, longest = len(blocks), len(active)
+    numbers = np.zeros((longest, n), dtype=np.int64)
     for x, i in enumerate(order):
-        ids[x, : sizes[x]] = blocks[i]
-    mixer = _Mixer(n, nibbles)
-    low, width = np.zeros(n, dtype=np.int64), np.full(n, 0xFFFFFFFF, dtype=np.int64)
-    out, used = np.zeros((n, longest * nibbles * 2 + 8), dtype=np.uint8), np.zeros(n, dtype=np.int64)
+        numbers[: len(blocks[i]), x] = np.searchsorted(table.ids, blocks[i])
+    counts, below, mixer = table.counts, table.below, _Mixer(n)
+    low, width = np.zeros(n, dtype=np.int64), np.full(n, _MASK, dtype=np.int64)
+    out, used = np.zeros((n, longest * 3 + 8), dtype=np.uint16), np.zeros(n, dtype=np.int64)
     for step in range(longest):
-        k = int(np.searchsorted(-sizes, -step, side="left"))  # lanes that still have ids
+        k = int(active[step])
+        number = numbers[step, :k]
         mixer.start(k)
+        a, b = mixer.a, mixer.b
+        two = (mixer.two.said == number) & (a > 0)
+        one = (mixer.one.said == number) & (b > a)
+        neither = ~(one | two)
+        begin = np.where(neither, b, np.where(two, 0, a))
+        size = np.where(neither, (1 << _WHOLE) - b, np.where(two, a, b - a))
         lo, wi = low[:k], width[:k]
-        for j in range(nibbles):
-            nibble = ids[:k, step] >> 4 * (nibbles - 1 - j) & 15
-            c = mixer.cumulative()
-            here, own = mixer.bounds(nibble)
-            wi //= c[16]
-            lo += wi * here
-            wi *= own
-            lo &= _MASK
-            go = _renormalise(lo, wi)
-            while len(go):
-                out[go, used[go]] = lo[go] >> 24
-                used[go] += 1
-                lo[go] = lo[go] << 8 & _MASK
-                wi[go] = wi[go] << 8 & _MASK
-                part_low, part_width = lo[go], wi[go]
-                again = _renormalise(part_low, part_width)
-                wi[go] = part_width
-                go = go[again]
-            mixer.update(nibble)
-        mixer.finish()
+        part = wi >> _WHOLE
+        lo += part * begin
+        part *= size
+        inner = part >> table.bits
+        lo += inner * below.take(number) * neither
+        wi[...] = np.where(neither, inner * counts.take(number), part)
+        lo &= _MASK
+        go = _unsettled(lo, wi)
+        while len(go):
+            some = lo[go]
+            out[go, used[go]] = some >> _TOP
+            used[go] += 1
+            some = some << 16 & _MASK
+            wide = wi[go] << 16
+            lo[go] = some
+            again = _unsettled(some, wide)
+            wi[go] = wide
+            go = go[again]
+        mixer.learn(number)
     result: list[bytes] = [b""] * n
     for x, i in enumerate(order):
-        result[i] = out[x, : used[x]].tobytes() + struct.pack(">I", int(low[x]))
+        result[i] = out[x, : used[x]].astype(">u2").tobytes() + (int(low[x]) << 4).to_bytes(8, "big")
     return result
 
 
-def decode_blocks(coded: list[bytes], sizes: list[int], bits: int) -> list[np.ndarray]:
+def decode_blocks(coded: list[bytes], sizes: list[int], table: Frequencies) -> list[np.ndarray]:
     """Ids of each block, given its bytes and number of ids."""
-    nibbles = -(-bits // 4)
-    order = sorted(range(len(coded)), key=lambda i: -sizes[i])
-    lengths = np.array([sizes[i] for i in order])
-    n, longest = len(coded), int(lengths[0]) if len(lengths) else 0
-    data = np.zeros((n, max((len(c) for c in coded), default=0) + 8), dtype=np.uint8)
+    order, active = _longest_first(sizes)
+    n, longest = len(coded), len(active)
+    data = np.zeros((n, max((len(c) for c in coded), default=0) // 2 + 8), dtype=np.int64)
     for x, i in enumerate(order):
-        data[x, : len(coded[i])] = np.frombuffer(coded[i], dtype=np.uint8)
-    mixer = _Mixer(n, nibbles)
-    low, width = np.zeros(n, dtype=np.int64), np.full(n, 0xFFFFFFFF, dtype=np.int64)
-    code = data[:, :4].astype(np.int64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1])
-    used = np.full(n, 4, dtype=np.int64)
-    ids = np.zeros((n, longest), dtype=np.int64)
+        words = np.frombuffer(coded[i], dtype=">u2")
+        data[x, : len(words)] = words
+    counts, below, mixer = table.counts, table.below, _Mixer(n)
+    place = np.repeat(np.arange(len(counts), dtype=np.int64), counts)
+    low, width = np.zeros(n, dtype=np.int64), np.full(n, _MASK, dtype=np.int64)
+    # The state has 60 bits, three words and twelve bits of a fourth: the rest of that one is kept for the next shift.
+    code = data[:, 0] << 44 | data[:, 1] << 28 | data[:, 2] << 12 | data[:, 3] >> 4
+    used = np.full(n, 3, dtype=np.int64)
+    numbers = np.zeros((longest, n), dtype=np.int64)
     for step in range(longest):
-        k = int(np.searchsorted(-lengths, -step, side="left"))
+        k = int(active[step])
         mixer.start(k)
+        a, b = mixer.a, mixer.b
         lo, wi, co = low[:k], width[:k], code[:k]
-        for _ in range(nibbles):
-            c = mixer.cumulative()
-            wi //= c[16]
-            target = np.minimum(((co - lo) & _MASK) // np.maximum(wi, 1), c[16] - 1)
-            nibble = (c[1:] <= target).view(np.uint8).sum(axis=0, dtype=np.uint8).astype(np.int64)
-            here, own = mixer.bounds(nibble)
-            lo += wi * here
-            wi *= own
-            lo &= _MASK
-            go = _renormalise(lo, wi)
-            while len(go):
-                co[go] = (co[go] << 8 & _MASK) | data[go, used[go]]
-                used[go] += 1
-                lo[go] = lo[go] << 8 & _MASK
-                wi[go] = wi[go] << 8 & _MASK
-                part_low, part_width = lo[go], wi[go]
-                again = _renormalise(part_low, part_width)
-                wi[go] = part_width
-                go = go[again]
-            mixer.update(nibble)
-        ids[:k, step] = mixer.finish()
+        part = wi >> _WHOLE
+        target = np.minimum(((co - lo) & _MASK) // np.maximum(part, 1), (1 << _WHOLE) - 1)
+        neither, two = target >= b, target < a
+        begin = np.where(neither, b, np.where(two, 0, a))
+        size = np.where(neither, (1 << _WHOLE) - b, np.where(two, a, b - a))
+        lo += part * begin
+        part *= size
+        inner = part >> table.bits
+        deep = np.minimum(((co - lo) & _MASK) // np.maximum(inner, 1), (1 << table.bits) - 1)
+        number = np.where(neither, place.take(deep), np.where(two, mixer.two.said, mixer.one.said))
+        lo += inner * below.take(number) * neither
+        wi[...] = np.where(neither, inner * counts.take(number), part)
+        lo &= _MASK
+        go = _unsettled(lo, wi)
+        while len(go):
+            at = used[go]
+            used[go] = at + 1
+            next_ = (data[go, at] & 15) << 12 | data[go, at + 1] >> 4
+            co[go] = (co[go] << 16 & _MASK) | next_
+            some = lo[go] << 16 & _MASK
+            wide = wi[go] << 16
+            lo[go] = some
+            again = _unsettled(some, wide)
+            wi[go] = wide
+            go = go[again]
+        mixer.learn(number)
+        numbers[step, :k] = number
     result: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * n
     for x, i in enumerate(order):
-        result[i] = ids[x, : lengths[x]].astype(np.uint32)
+        result[i] = table.ids[numbers[: sizes[i], x]].astype(np.uint32)
     return result
 
 
@@ -261,23 +284,20 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def group_bytes(documents: list[tuple[int | None, np.ndarray]], bits: int) -> bytes:
+def group_bytes(documents: list[tuple[int | None, np.ndarray]]) -> bytes:
     """One group of documents (doc_id, ids) as bytes."""
     ids = np.concatenate([d[1] for d in documents]) if documents else np.zeros(0, dtype=np.uint32)
     blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
+    table = Frequencies.of(ids)
     coded: list[bytes] = []
     for i in range(0, len(blocks), LANES):
-        coded.extend(encode_blocks(blocks[i : i + LANES], bits))
-    head = [b"GRP1", struct.pack("<II", len(documents), len(blocks))]
+        coded.extend(encode_blocks(blocks[i : i + LANES], table))
+    head = [b"GRP1", struct.pack("<II", len(documents), len(blocks)), table.pack()]
     head += [struct.pack("<BqI", d is not None, d or 0, len(x)) for d, x in documents]
     head += [struct.pack("<IIII", len(b), len(c), zlib.crc32(c), _crc(b)) for b, c in zip(blocks, coded, strict=True)]
     return b"".join(head + coded)
 
 
-class CorruptFile(ValueError):
-    """A token-id file is damaged."""
-
-
 def read_groups(stream, name: str = "file") -> Iterator[list[tuple[int | None, np.ndarray]]]:
     """Groups of documents (doc_id, ids) of one open file, verified."""
 
@@ -287,12 +307,12 @@ def read_groups(stream, name: str = "file") -> Iterator[list[tuple[int | None, n
             raise CorruptFile(f"{name} ends early")
         return b
 
-    if take(8) != b"PRSMIDS1":
+    if take(8) != b"PRSMIDS2":
         raise CorruptFile(f"{name} is not a token-id file")
-    (bits,) = struct.unpack("<I", take(4))
     n_docs = n_ids = 0
     while (kind := take(4)) == b"GRP1":
         docs, blocks = struct.unpack("<II", take(8))
+        table = Frequencies.unpack(take)
         heads = [struct.unpack("<BqI", take(13)) for _ in range(docs)]
         sizes = [struct.unpack("<IIII", take(16)) for _ in range(blocks)]
         coded = [take(s[1]) for s in sizes]
@@ -301,7 +321,7 @@ def read_groups(stream, name: str = "file") -> Iterator[list[tuple[int | None, n
                 raise CorruptFile(f"{name}: block {i} has a wrong checksum")
         found: list[np.ndarray] = []
         for i in range(0, blocks, LANES):
-            found.extend(decode_blocks(coded[i : i + LANES], [s[0] for s in sizes[i : i + LANES]], bits))
+            found.extend(decode_blocks(coded[i : i + LANES], [s[0] for s in sizes[i : i + LANES]], table))
         for i, (s, b) in enumerate(zip(sizes, found, strict=True)):
             if _crc(b) != s[3]:
                 raise CorruptFile(f"{name}: block {i} decodes to other ids")
@@ -313,6 +333,30 @@ def read_groups(stream, name: str = "file") -> Iterator[list[tuple[int | None, n
         raise CorruptFile(f"{name} has no right end")
 
 
+#: Normalizers that change each character by itself, or by its neighbours of the same word.
+_LOCAL = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+#: Characters of every kind a pre-tokenizer may tell apart.
+_KINDS = "aZ1'sé漢\u0301!_-<"
+
+
+def _steps(part: dict | None, key: str) -> list[dict]:
+    """The steps of a tokenizer's part, one or a sequence."""
+    return [] if part is None else part[key] if part["type"] == "Sequence" else [part]
+
+
+def drops_spaces(tokenizer) -> bool:
+    """Whether no token of ``tokenizer`` spans or depends on a space or newline, by its normalizer, pre-tokenizer and added tokens."""
+    parts = json.loads(tokenizer.to_str())
+    for n in _steps(parts["normalizer"], "normalizers"):
+        spaces = n["type"] == "Replace" and n["pattern"] in ({"Regex": r"\s+"}, {"Regex": r"\s"}) and n["content"] == " "
+        if n["type"] not in _LOCAL and not spaces:
+            return False
+    if any(c in t["content"] for t in parts["added_tokens"] for c in " \n") or tokenizer.pre_tokenizer is None:
+        return False
+    cut = lambda text: [piece for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+    return all(cut(f"{a}{gap}{b}") == cut(a) + cut(b) for a in ("", *_KINDS) for b in ("", *_KINDS) for gap in (" ", "  "))
+
+
 class WordEncoder:
     """Ids of whole texts, by way of their words where the vocabulary allows it."""
 
@@ -321,23 +365,79 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
-        self.splits = os.path.basename(path) in SPLITS
+        self.splits = drops_spaces(self.tokenizer)
+        #: Known words: those of late, and those of the time before, as both kinds come back.
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        #: Ids that end a piece, where the vocabulary marks them.
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool) if suffix and self.splits else None
+        self.tails: dict[str, bytes] = {}
+        if self.ends is not None:
+            for token, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = token.endswith(suffix)
+            cut = lambda text: [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+            kinds = {n["type"] for n in _steps(json.loads(self.tokenizer.to_str())["normalizer"], "normalizers")}
+            tails = [t for t in ".,;:!?" if kinds <= {"NFC", "Lowercase", "Replace"} and all(cut(x + t) == cut(x) + cut(t) for x in "aéσ漢")]
+            self.tails = dict(zip(tails, self._encode(tails), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters: many in one text, cut where pieces end, if each word is one piece."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 2000):
+            some = words[i : i + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(some) or stops[-1] != len(ids):  # each word ends a piece at least: some have more
+                out += self._encode(some)
+                continue
+            data, at = ids.tobytes(), 0
+            for stop in (4 * stops).tolist():
+                out.append(data[at:stop])
+                at = stop
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Make ``words`` known."""
+        if len(self.known) > CACHED_WORDS // 2:
+            self.known, self.older = {"": b""}, self.known
+        known = self.known
+        fresh = []
+        for w in words:
+            ids = self.older.get(w)
+            if ids is None:
+                fresh.append(w)
+            else:
+                known[w] = ids
+        if self.ends is None:
+            known.update(zip(fresh, self._encode(fresh), strict=True))
+            return
+        plain = [w for w in fresh if w.isalpha()]
+        other = [w for w in fresh if not w.isalpha()]
+        # A letter may become letter and mark in lower case, and marks stay with what follows.
+        tailed = [w for w in other if w[-1] in self.tails and w[:-1].isalpha() and (w.isascii() or w[:-1].lower().isalpha())]
+        cores = list({w[:-1] for w in tailed}.difference(known).difference(plain))
+        plain += cores
+        known.update(zip(plain, self._encode_plain(plain), strict=True))
+        for w in tailed:
+            known[w] = known[w[:-1]] + self.tails[w[-1]]
+        rest = [w for w in other if w not in known]
+        known.update(zip(rest, self._encode(rest), strict=True))
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.splits:
             return [np.frombuffer(b, dtype="<u4") for b in self._encode(texts)]
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        new = list({w for ws in words for w in ws}.difference(self.known))
-        self.known.update(zip(new, self._encode(new), strict=True))
-        find = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(find, ws)), dtype="<u4") for ws in words]
+        ids = [list(map(self.known.get, w)) for w in words]
+        open_ = [i for i, x in enumerate(ids) if None in x]
+        if open_:
+            self._learn({w for i in open_ for w, x in zip(words[i], ids[i], strict=True) if x is None})
+            for i in open_:
+                ids[i] = [self.known.get(w) if x is None else x for w, x in zip(words[i], ids[i], strict=True)]
+        return [np.frombuffer(b"".join(x), dtype="<u4") for x in ids]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -363,7 +463,6 @@ def _writer(folder: str, vocabulary: str, end_id: int):
 
         number = TaskContext.get().partitionId()
         encoder = encoder_of(vocabulary)
-        bits = max(1, (max(encoder.size - 1, end_id)).bit_length())
         system, path = _open(folder)
         name = f"part-{number:06d}.ids"
         n_docs = n_ids = held = 0
@@ -379,12 +478,12 @@ def _writer(folder: str, vocabulary: str, end_id: int):
                     documents.append((d, np.concatenate([x, end])))
                     held += len(x) + 1
                     if held >= BLOCK * LANES:
-                        out = out or _begin(system, partial, bits)
-                        out.write(group_bytes(documents, bits))
+                        out = out or _begin(system, partial)
+                        out.write(group_bytes(documents))
                         n_docs, n_ids, held, documents = n_docs + len(documents), n_ids + held, 0, []
         if documents:
-            out = out or _begin(system, partial, bits)
-            out.write(group_bytes(documents, bits))
+            out = out or _begin(system, partial)
+            out.write(group_bytes(documents))
             n_docs, n_ids = n_docs + len(documents), n_ids + held
         if out is not None:
             out.write(b"END1" + struct.pack("<QQ", n_docs, n_ids))
@@ -395,9 +494,9 @@ def _writer(folder: str, vocabulary: str, end_id: int):
     return write
 
 
-def _begin(system, path: str, bits: int):
+def _begin(system, path: str):
     out = system.open_output_stream(path)
-    out.write(b"PRSMIDS1" + struct.pack("<I", bits))
+    out.write(b"PRSMIDS2")
     return out
 
 
@@ -410,7 +509,10 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_I
     system.create_dir(path, recursive=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     files = files or max(1, -(-rows.count() // ROWS_PER_FILE))
-    ordered = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # Rows of one id, or of none, may be very many: their texts, and the place of equal rows, spread them.
+    spread = rows.withColumn("t", F.xxhash64("text")).withColumn("p", F.monotonically_increasing_id())
+    keys = [F.col("doc_id").asc_nulls_first(), "t", "p"]
+    ordered = spread.repartitionByRange(files, *keys).sortWithinPartitions(*keys).drop("t", "p")
     done = ordered.mapInPandas(_writer(folder, vocabulary, end_id), "file string, documents long, ids long")
     return sorted((r["file"], r["documents"], r["ids"]) for r in done.collect())
 
