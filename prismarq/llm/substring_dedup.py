@@ -333,7 +333,8 @@ def splitters_of(texts: DataFrame, n: int, buckets: int) -> list[np.ndarray]:
             t = as_bytes(pdf["text"])
             for i, j in batches(t, _BUFFER):
                 r = find_runs(t[i:j])
-                order = np.lexsort((r["gram"], r["owner"]))
+                chance = mix64((r["owner"].astype(np.uint64) << np.uint64(32)) + r["start"].astype(np.uint64))
+                order = np.lexsort((chance, r["owner"]))  # not by gram: frequent grams must be sampled as often as they are
                 first = np.searchsorted(r["owner"][order], np.arange(j - i + 1))
                 pick = [order[a : min(a + SAMPLE_EACH, b)] for a, b in zip(first[:-1], first[1:], strict=True)]
                 pick = np.concatenate(pick) if pick else np.zeros(0, dtype=np.int64)
