@@ -110,14 +110,15 @@ _WORD_SEED = np.uint64(0xA0761D6478BD642F)
 _LONG_WORD = 512
 
 
-def hash_slices(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte slices: eight bytes at a time, each scrambled into the state by a bijection."""
+def hash_slices(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int | None = None) -> np.ndarray:
+    """64-bit hashes of byte slices: eight bytes at a time, each scrambled into the state, which begins with ``seed``, by a bijection."""
+    begin, key = (_WORD_SEED, b"") if seed is None else (np.uint64(seed), seed.to_bytes(8, "little"))
     padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
     eights = np.ndarray(len(raw) + 1, dtype="<u8", buffer=padded, strides=(1,))
     left = stops - starts
-    out = _WORD_SEED ^ left.astype(np.uint64)
+    out = begin ^ left.astype(np.uint64)
     for i in np.flatnonzero(left > _LONG_WORD):
-        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : stops[i]].tobytes(), digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : stops[i]].tobytes(), digest_size=8, key=key).digest(), "little")
     rows = np.flatnonzero((left > 0) & (left <= _LONG_WORD))
     at, left = starts[rows], left[rows]
     while len(rows):

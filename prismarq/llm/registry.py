@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismarq.llm import compression_classifier, decontaminate, html_extract, mixing, near_dedup, near_dedup_sql, prefix_tree, quality_rules, sharding, substring_dedup, token_files, url_filter, warc
+from prismarq.llm import compression_classifier, decontaminate, html_extract, lexical_search, mixing, near_dedup, near_dedup_sql, prefix_tree, quality_rules, sharding, substring_dedup, token_files, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hypergeometric_shards": sharding.op8_hypergeometric_shards,
         "op9_host_rules": quality_rules.op9_host_rules,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_wavelet_search": lexical_search.op11_wavelet_search,
         "op12_capture_index": warc.op12_capture_index,
         "op13_prefix_tree": prefix_tree.op13_prefix_tree,
     }
@@ -33,6 +34,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_filter": url_filter.ORACLE_SQL,
         "op9_host_rules": quality_rules.ORACLE_SQL,
         "op10_decontaminate": decontaminate.ORACLE_SQL,
+        "op11_wavelet_search": lexical_search.ORACLE_SQL,
         "op12_capture_index": warc.ORACLE_SQL,
         "op13_prefix_tree": prefix_tree.ORACLE_SQL,
     }
