@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import json
-import os
-import shutil
 import sys
-import tempfile
+import tarfile
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
@@ -20,8 +19,9 @@ from prismarq.operators import manifest as M
 from prismarq.operators.positional import page as page_of
 from prismarq.operators.positional import pack_greedy
 from prismarq.sources import images as I
+from prismarq.sources import files as S
 from prismarq.sources import tar
-from prismarq.sources.hub import Hub, upload, with_retries
+from prismarq.sources.hub import FIRST_WAIT, Hub, upload_all, with_retries
 from prismarq.sources.shared import shared_folder
 
 MARKER = "staging.json"
@@ -50,36 +50,24 @@ def load_manifest(hub: Hub) -> dict:
 def staging_folder(params: dict, top: str) -> str:
     """A folder that belongs to these parameters alone; what an earlier run with the same left there is kept."""
     text = json.dumps(params, sort_keys=True)
-    folder = os.path.join(top, f"publish-{params['repo'].replace('/', '--')}-{hashlib.sha256(text.encode()).hexdigest()[:12]}")
-    marker = os.path.join(folder, MARKER)
-    try:
-        with open(marker, encoding="utf-8") as f:
-            valid = f.read() == text
-    except OSError:
-        valid = False
-    if not valid:
-        shutil.rmtree(folder, ignore_errors=True)
-        os.makedirs(folder)
-        with open(marker, "w", encoding="utf-8") as f:
-            f.write(text)
+    folder = f"{top.rstrip('/')}/publish-{params['repo'].replace('/', '--')}-{hashlib.sha256(text.encode()).hexdigest()[:12]}"
+    marker = f"{folder}/{MARKER}"
+    if not S.exists(marker) or S.read_bytes(marker).decode() != text:
+        S.delete_folder(folder)
+        S.write_bytes(marker, text.encode())
     return folder
 
 
 def staging_top(spark: SparkSession) -> str:
-    """Where tasks and the driver can both stage files: beside the shared tables, as a mounted path."""
-    top = shared_folder(spark).rpartition("/")[0].removeprefix("file://").removeprefix("file:")
-    if "://" in top:
-        raise ValueError(f"publishing stages files in a mounted folder; give one, as {top} is none")
-    return top
+    """Where tasks and the driver can both stage files: beside the shared tables."""
+    return shared_folder(spark).rpartition("/")[0]
 
 
-def log_sizes(payload: Sequence[tuple[str, str]]) -> int:
+def log_sizes(payload: Sequence[tuple[str, str]], sizes: dict[str, int]) -> int:
     """Name every file that goes up with its size, and their total, on stderr; the total in bytes."""
-    total = 0
     for local, path in sorted(payload, key=lambda x: x[1]):
-        size = os.path.getsize(local)
-        total += size
-        print(f"  {path}  ({X.human_bytes(size)})", file=sys.stderr)
+        print(f"  {path}  ({X.human_bytes(sizes[local])})", file=sys.stderr)
+    total = sum(sizes[local] for local, _ in payload)
     print(f"  total: {X.human_bytes(total)}", file=sys.stderr)
     return total
 
@@ -104,8 +92,12 @@ def split_layer(files: DataFrame, records: DataFrame, layer: str, most_bytes: in
 
 def publish(
     spark: SparkSession, dataset: str, hub: Hub, repo: str, layers: Sequence[str], limit: int | None = None, offset: int = 0, max_tar_mb: int | None = None,
-    max_files: int | None = None, license_id: str = "other", attribution: str = "", staging: str | None = None, stall: float = 300.0) -> dict:
-    """Publish one page of images: payload first, then manifest and card. The new manifest, or the old one if the page is empty."""
+    max_files: int | None = None, license_id: str = "other", attribution: str = "", staging: str | None = None, stall: float = 300.0, wait: float = FIRST_WAIT, index: bool = False) -> dict:
+    """Publish one page of images: payload first, then card and manifest. The new manifest, or the old one if the page is empty.
+
+    Archives are staged in ``staging``, a folder or URI that driver and tasks reach, where a run that failed goes on;
+    tasks upload them.  With ``index`` each archive has its index beside it.
+    """
     check_layers(layers)
     meta = I.scan_metadata(spark, dataset).where("ok").withColumn("image_id", F.col("rel"))
     records = page_of(meta.drop("dir", "rel", "ok"), offset, limit, X.components(F.col("image_id")))
@@ -113,7 +105,7 @@ def publish(
     manifest = load_manifest(hub)
     if n == 0:
         return manifest
-    params = {"repo": repo, "offset": offset, "limit": limit, "layers": sorted(layers), "max_tar_mb": max_tar_mb, "max_files": max_files}
+    params = {"repo": repo, "offset": offset, "limit": limit, "layers": sorted(layers), "max_tar_mb": max_tar_mb, "max_files": max_files} | ({"index": True} if index else {})
     folder = staging_folder(params, staging or staging_top(spark))
     files = I.scan_artifacts(spark, dataset)
     files = files.join(records.select("image_id"), "image_id", "left_semi")
@@ -121,38 +113,44 @@ def publish(
     chunks, payload = [], []
     for layer in layers:
         if layer == "caption":
-            out = os.path.join(folder, "data", f"{page_label}.parquet")
-            if not os.path.exists(out):
+            out = f"{folder}/data/{page_label}.parquet"
+            if not S.exists(out):
                 _one_parquet(_captions(spark, dataset, records), out)
             chunks.append((layer, offset, offset + n - 1, page_label, spark.read.parquet(out).count()))
             payload.append((out, f"data/{page_label}.parquet"))
             continue
-        where = os.path.join(folder, layer)
+        where = f"{folder}/{layer}"
         labels = split_layer(files, records, layer, None if max_tar_mb is None else max_tar_mb * 1_000_000, max_files)
         if max_tar_mb is None and max_files is None:  # one archive for the page, even if nothing is complete
             labels = labels.withColumn("label", F.lit(page_label))
         counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per archive
-        missing = [x for x in counts if not os.path.exists(os.path.join(where, f"{x}.tar"))]
+        staged = S.list_files(where)
+        missing = [x for x in counts if f"{x}.tar" not in staged]
         if missing:
-            tar.write_tars(_members(spark, dataset, files, labels.where(F.col("label").isin(missing)), layer), where, len(missing))
+            tar.write_tars(_members(spark, dataset, files, labels.where(F.col("label").isin(missing)), layer), where, len(missing), index)
         if not counts and max_tar_mb is None and max_files is None:
-            os.makedirs(where, exist_ok=True)
-            tar.tarfile.open(os.path.join(where, f"{page_label}.tar"), "w").close()
+            S.write_bytes(f"{where}/{page_label}.tar", _empty_tar())
             counts = {page_label: 0}
         for label in sorted(counts):
             start, _, end = label.partition("-")
             chunks.append((layer, int(start), int(end), label, counts[label]))
-            payload.append((os.path.join(where, f"{label}.tar"), f"{layer}/{label}.tar"))
+            payload.append((f"{where}/{label}.tar", f"{layer}/{label}.tar"))
+        payload += [(f"{where}/{name}", f"{layer}/{name}") for name in S.list_files(where) if name.endswith(".tar.index") and index]
     merged = M.merge(M.from_manifest(spark, manifest), spark.createDataFrame(chunks, M.CHUNKS))
     new = M.to_manifest(merged, M.bump(manifest["version"]), max(manifest["total_images"], offset + n), datetime.now(UTC).isoformat())
-    payload += _documents(folder, new, repo, license_id, attribution)
-    log_sizes(payload)
-    for local, path in payload:
-        with_retries(lambda local=local, path=path: upload(hub, local, path, stall))
-    shutil.rmtree(folder)  # only after everything went up: a failed run goes on from here
+    documents = _documents(folder, new, repo, license_id, attribution)
+    log_sizes(payload + documents, {f"{folder}/{k}": v for k, v in S.list_files(folder).items()})
+    upload_all(spark, hub, payload, documents, stall, wait=wait)
+    S.delete_folder(folder)  # only after everything went up: a failed run goes on from here
     return new
 
 
+def _empty_tar() -> bytes:
+    out = io.BytesIO()
+    tarfile.open(fileobj=out, mode="w").close()
+    return out.getvalue()
+
+
 def _captions(spark: SparkSession, dataset: str, records: DataFrame) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "caption.txt").load(dataset)
     text = files.select(X.parent_dir(I.relative(F.col("path"), dataset)).alias("image_id"), X.strip(F.decode("content", "UTF-8")).alias("caption"))
@@ -164,9 +162,10 @@ def _captions(spark: SparkSession, dataset: str, records: DataFrame) -> DataFram
 def _one_parquet(df: DataFrame, path: str) -> None:
     """One Parquet file of exactly this name: a page of images is small."""
     df.coalesce(1).write.mode("overwrite").parquet(f"{path}.dir")
-    (part,) = [f for f in os.listdir(f"{path}.dir") if f.startswith("part-") and f.endswith(".parquet")]
-    os.replace(os.path.join(f"{path}.dir", part), path)
-    shutil.rmtree(f"{path}.dir")
+    (part,) = [f for f in S.list_files(f"{path}.dir") if f.startswith("part-") and f.endswith(".parquet")]
+    system, bare = S.locate(path)
+    system.move(f"{bare}.dir/{part}", bare)
+    S.delete_folder(f"{path}.dir")
 
 
 def _members(spark: SparkSession, dataset: str, files: DataFrame, labels: DataFrame, layer: str) -> DataFrame:
@@ -179,12 +178,10 @@ def _members(spark: SparkSession, dataset: str, files: DataFrame, labels: DataFr
 
 def _documents(folder: str, manifest: dict, repo: str, license_id: str, attribution: str) -> list[tuple[str, str]]:
     """Write card and manifest; the manifest goes up last."""
-    out = []
-    for name, text in ((CARD, dataset_card(manifest, repo, license_id, attribution)), (MANIFEST, json.dumps(manifest, indent=2, ensure_ascii=False))):
-        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
-            f.write(text)
-        out.append((os.path.join(folder, name), name))
-    return out
+    texts = {CARD: dataset_card(manifest, repo, license_id, attribution), MANIFEST: json.dumps(manifest, indent=2, ensure_ascii=False)}
+    for name, text in texts.items():
+        S.write_bytes(f"{folder}/{name}", text.encode())
+    return [(f"{folder}/{name}", name) for name in texts]
 
 
 def reconcile(spark: SparkSession, hub: Hub, repo: str, license_id: str = "other", attribution: str = "", dry_run: bool = False) -> dict:
@@ -195,7 +192,7 @@ def reconcile(spark: SparkSession, hub: Hub, repo: str, license_id: str = "other
     old = load_manifest(hub)
     new = M.to_manifest(chunks, M.bump(old["version"]), total, datetime.now(UTC).isoformat())
     if not dry_run:
-        with tempfile.TemporaryDirectory() as folder:
-            for local, path in _documents(folder, new, repo, license_id, attribution):
-                with_retries(lambda local=local, path=path: upload(hub, local, path))
+        folder = shared_folder(spark)
+        upload_all(spark, hub, [], _documents(folder, new, repo, license_id, attribution))
+        S.delete_folder(folder)
     return new

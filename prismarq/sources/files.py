@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 
 
 def locate(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path on it; ``file:`` and plain paths are local."""
+    """File system and path on it; ``file:`` and plain paths are local, ``s3a:`` is Hadoop's name for ``s3:``."""
     if path.startswith("file:"):
         path = "/" + path.removeprefix("file:").lstrip("/")
+    path = path.replace("s3a://", "s3://", 1) if path.startswith("s3a://") else path
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
@@ -47,6 +48,33 @@ def delete(path: str) -> None:
         system.delete_file(bare)
 
 
+def list_files(folder: str) -> dict[str, int]:
+    """Bytes of every file below ``folder`` by its path from there; nothing if there is no folder."""
+    system, bare = locate(folder)
+    found = system.get_file_info(fs.FileSelector(bare, recursive=True, allow_not_found=True))
+    return {i.path[len(bare.rstrip("/")) + 1 :]: i.size for i in sorted(found, key=lambda i: i.path) if i.type == fs.FileType.File}
+
+
+def delete_folder(folder: str) -> None:
+    """Delete a folder and what it holds, if it is there."""
+    system, bare = locate(folder)
+    if system.get_file_info(bare).type != fs.FileType.NotFound:
+        system.delete_dir(bare)
+
+
+def copy(source: str, target: str, piece: int = 8 << 20) -> int:
+    """Copy a file piece by piece, from one file system to another if need be, by way of a temporary name; its bytes."""
+    system, bare = locate(target)
+    system.create_dir(bare.rpartition("/")[0], recursive=True)
+    part, total = f"{bare}.{uuid.uuid4().hex}.part", 0
+    origin, path = locate(source)
+    with origin.open_input_file(path) as f, system.open_output_stream(part, compression=None) as out:
+        while data := f.read(piece):
+            total += out.write(data)
+    system.move(part, bare)
+    return total
+
+
 def with_heads(files: DataFrame, most: int, out: str = "head", path: str = "path") -> DataFrame:
     """``files`` with the first ``most`` bytes of each file as ``out``; null where it cannot be read.
 

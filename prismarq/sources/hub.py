@@ -2,45 +2,47 @@
 
 from __future__ import annotations
 
-import os
-import shutil
+import pickle
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as Stalled
 from typing import Protocol
 
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
+
 from prismarq.functions.text import PASSING
+from prismarq.sources import files
 
 # Fixed values of the retry rule and of the stall limit.
 ATTEMPTS, FIRST_WAIT, STALL = 5, 10.0, 300.0
 
 
 class Hub(Protocol):
+    """What publishing needs of a hub; it must be picklable, as tasks upload."""
+
     def list_files(self) -> list[str]: ...
     def read(self, path: str) -> bytes: ...
-    def upload(self, local: str, path: str) -> None: ...
+    def upload(self, local: str, path: str) -> None:
+        """``local`` is a path or URI that any task can read."""
 
 
 class FolderHub:
-    """A folder that acts as a hub; uploads are renamed into place."""
+    """A folder on any file system that acts as a hub; uploads are renamed into place."""
 
     def __init__(self, root: str):
-        self.root = root
+        self.root = root.rstrip("/")
 
     def list_files(self) -> list[str]:
-        found = [os.path.relpath(os.path.join(d, f), self.root) for d, _, names in os.walk(self.root) for f in names]
-        return sorted(f for f in found if not f.endswith(".part"))
+        return sorted(f for f in files.list_files(self.root) if not f.endswith(".part"))
 
     def read(self, path: str) -> bytes:
-        with open(os.path.join(self.root, path), "rb") as f:
-            return f.read()
+        return files.read_bytes(f"{self.root}/{path}")
 
     def upload(self, local: str, path: str) -> None:
-        final = os.path.join(self.root, path)
-        os.makedirs(os.path.dirname(final), exist_ok=True)
-        shutil.copyfile(local, f"{final}.part")
-        os.replace(f"{final}.part", final)
+        files.copy(local, f"{self.root}/{path}")
 
 
 def is_rate_limited(problem: BaseException) -> bool:
@@ -93,3 +95,37 @@ def upload(hub: Hub, local: str, path: str, stall: float = STALL) -> None:
         raise TimeoutError(f"upload of {path} timed out after {stall:g} s") from late
     finally:
         pool.shutdown(wait=False)
+
+
+def upload_all(spark: SparkSession, hub: Hub, payload: Sequence[tuple[str, str]], last: Sequence[tuple[str, str]] = (), stall: float = STALL, attempts: int = ATTEMPTS, wait: float = FIRST_WAIT) -> int:
+    """Upload ``payload`` (file, path on the hub) from the tasks, and then, only if all of it is up, ``last`` in its order.
+
+    Each task uploads its files with retries and reports on every one; a file that stays behind is raised here as
+    the error that kept it, and nothing of ``last`` (card and manifest) is uploaded then.  A file that a repeated task
+    uploads again takes the place of the same bytes.  Returns the number of files.
+    """
+    sealed = cloudpickle.dumps(hub)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = pickle.loads(sealed)
+        for pdf in parts:
+            kept = []
+            for local, path in zip(pdf["local"], pdf["path"], strict=True):
+                try:
+                    with_retries(lambda local=local, path=path: upload(own, local, path, stall), attempts, wait)
+                    kept.append(None)
+                except Exception as problem:  # the report of one file, not the end of the job
+                    try:
+                        kept.append(cloudpickle.dumps(problem))
+                    except Exception:
+                        kept.append(cloudpickle.dumps(RuntimeError(f"{type(problem).__name__}: {problem}")))
+            yield pdf.assign(problem=kept)[["path", "problem"]]
+
+    if payload:
+        rows = spark.createDataFrame(list(payload), "local string, path string").repartition(len(payload))
+        reports = rows.mapInPandas(run, "path string, problem binary").where("problem is not null").orderBy("path").limit(1).collect()
+        for _, problem in reports:
+            raise pickle.loads(bytes(problem))
+    for local, path in last:
+        with_retries(lambda local=local, path=path: upload(hub, local, path, stall), attempts, wait)
+    return len(payload) + len(last)
