@@ -9,19 +9,26 @@ complete and a task that runs twice does no harm.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import math
+from collections import Counter
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import closing
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from prismarq.functions import dense as D
 from prismarq.functions.tensor import decode_npy, encode_npy
 from prismarq.operators import catalog as C
+from prismarq.operators.batching import Group, alone, batch_size
+from prismarq.operators.progress import Progress
 from prismarq.sources.files import read_bytes, write_bytes
+from prismarq.sources.readahead import DEPTH, ahead
 
 # Passes that run by default, in both generations of the catalogue.
 DEFAULT_PASSES = ("caption", "dinov3", "t5", "pose", "seg", "depth", "normal")
@@ -129,26 +136,56 @@ def write_artifact(folder: str, artifact: str, value: Any) -> None:
     write_bytes(f"{folder}/{C.ARTIFACTS[artifact]}", value.encode("utf-8") if isinstance(value, str) else encode_npy(value))
 
 
-def _runner(decode: Callable[[bytes], np.ndarray | None], backends: dict[str, Backend], output: str):
+def _runner(decode: Callable[[bytes], np.ndarray | None], backends: Mapping[str, Backend], output: str, depth: int = DEPTH, seen=None):
+    """Function of a partition: images are read and decoded ahead, and grouped as large as the backends' batches are."""
+
+    def fetch(r) -> np.ndarray:
+        image = decode(read_bytes(r.path))
+        if image is None:
+            raise ValueError("unreadable image")
+        return image
+
+    def passes_of(r, image: np.ndarray | None, problem: Exception | None, wrap: Callable[[Backend | None], Backend | None]) -> list[tuple]:
+        rows, x = [], None
+        for name in r.todo:
+            try:
+                if problem is not None:
+                    raise problem
+                if x is None:
+                    w, h = (int(v) for v in r.aspect_bucket.removeprefix("bucket_").split("x"))
+                    x = Inputs(image, (w, h), f"{output.rstrip('/')}/{r.image_id}")
+                backend = backends.get(name)
+                for artifact, value in PASSES[name](x, backend and wrap(backend)).items():
+                    write_artifact(x.folder, artifact, value)
+                rows.append((r.image_id, name, "processed", None))
+            except Exception as wrong:  # one image's failure is a row, not the end of the job
+                rows.append((r.image_id, name, "error", f"{type(wrong).__name__}: {wrong}"))
+        return rows
+
+    def together(group: list[tuple]) -> pd.DataFrame:
+        if len(group) == 1:
+            rows = passes_of(*group[0], alone)
+        else:
+            rows = [row for own in Group().run([partial(passes_of, *g) for g in group]) for row in own]
+        if seen is not None:
+            seen.add(len(group))
+        return pd.DataFrame(rows, columns=["image_id", "pass", "outcome", "message"])
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                x = None
-                for name in r.todo:
-                    try:
-                        if x is None:
-                            w, h = (int(v) for v in r.aspect_bucket.removeprefix("bucket_").split("x"))
-                            image = decode(read_bytes(r.path))
-                            if image is None:
-                                raise ValueError("unreadable image")
-                            x = Inputs(image, (w, h), f"{output.rstrip('/')}/{r.image_id}")
-                        for artifact, value in PASSES[name](x, backends.get(name)).items():
-                            write_artifact(x.folder, artifact, value)
-                        rows.append((r.image_id, name, "processed", None))
-                    except Exception as problem:  # one image's failure is a row, not the end of the job
-                        rows.append((r.image_id, name, "error", f"{type(problem).__name__}: {problem}"))
-            yield pd.DataFrame(rows, columns=["image_id", "pass", "outcome", "message"])
+        def most(r) -> int:
+            return max((batch_size(backends.get(name)) for name in r.todo), default=1)
+
+        rows = (r for pdf in parts for r in pdf.itertuples(index=False))
+        group, size = [], 1
+        with closing(ahead(rows, fetch, depth)) as images:
+            for r, image, problem in images:
+                group.append((r, image, problem))
+                size = max(size, most(r))
+                if len(group) >= size:
+                    yield together(group)
+                    group, size = [], 1
+        if group:
+            yield together(group)
 
     return run
 
@@ -166,23 +203,52 @@ def plan_level(images: DataFrame, artifacts: DataFrame, names: Sequence[str]) ->
     return rows.select("image_id", *[F.array_compact(F.array(*v)).alias(k) for k, v in lists.items()])
 
 
-def run_passes(images: DataFrame, scan: Callable[[], DataFrame], passes: Sequence[str], decode: Callable[[bytes], np.ndarray | None], backends: dict[str, Backend], output: str) -> DataFrame:
+def gpu_profile(spark, gpus: float = 0.0):
+    """A resource profile that gives each task of a level so many GPUs (parts of one, too), or None where that can't be had.
+
+    Scans and joins keep the default profile, so they do not hold accelerators.  Local masters know no profiles; without
+    dynamic allocation a profile needs executors that were started with GPUs.
+    """
+    if gpus <= 0 or spark.sparkContext.master.startswith("local"):
+        return None
+    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+
+    asked = ResourceProfileBuilder().require(TaskResourceRequests().cpus(1).resource("gpu", gpus))
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        asked = asked.require(ExecutorResourceRequests().resource("gpu", max(1, math.ceil(gpus)), spark.conf.get("spark.executor.resource.gpu.discoveryScript", "")))
+    elif int(spark.conf.get("spark.executor.resource.gpu.amount", "0")) < 1:
+        return None
+    return asked.build
+
+
+def run_passes(
+    images: DataFrame, scan: Callable[[], DataFrame], passes: Sequence[str], decode: Callable[[bytes], np.ndarray | None], backends: Mapping[str, Backend], output: str,
+    counts: Counter | None = None, gpus: float = 0.0, report: Callable[[str], None] | None = None, every: int = 1000) -> DataFrame:
     """Run passes over ``images`` (image_id, path, aspect_bucket); OUTCOME rows of everything done, skipped or waiting.
 
-    Plans hold paths alone; the task that runs an image's passes reads its bytes, once a level.
-    ``scan`` reads the artifacts that exist, anew for every level.
+    Plans hold paths alone; the task that runs an image's passes reads its bytes, once a level, ahead of the models.
+    ``scan`` reads the artifacts that exist, anew for every level.  ``counts`` gets the number of each outcome from
+    the jobs as they run, without reading their results again; ``report`` gets a line of progress every ``every`` images.
     """
     from prismarq.sources.shared import write_table
 
-    done: DataFrame | None = None
+    spark, done = images.sparkSession, None
+    profile = gpu_profile(spark, gpus)
     for names in levels(passes):
-        plan = write_table(plan_level(images, scan(), names))
+        planned, worked = Observation(), Observation()
+        plan = plan_level(images, scan(), names)
+        sizes = [F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(o) for c, o in (("skipped", "skipped"), ("waiting", "skipped_dependency"))]
+        plan = write_table(plan.observe(planned, *sizes, F.count_if(F.size("todo") > 0).alias("images")))
         work = images.join(plan.where(F.size("todo") > 0).select("image_id", "todo"), "image_id").select("image_id", "path", "aspect_bucket", "todo")
-        ran = write_table(work.mapInPandas(_runner(decode, backends, output), OUTCOME))
+        with Progress(spark, planned.get["images"], ", ".join(names), report, every) as seen:
+            ran = work.mapInPandas(_runner(decode, backends, output, seen=seen), OUTCOME, profile=profile)
+            ran = write_table(ran.observe(worked, *[F.count_if(F.col("outcome") == o).alias(o) for o in ("processed", "error")]))
+        if counts is not None:
+            counts.update({o: n for o, n in (planned.get | worked.get).items() if n and o != "images"})
         idle = [plan.select("image_id", F.explode(c).alias("pass"), F.lit(o).alias("outcome"), F.lit(None).cast("string").alias("message")) for c, o in (("skipped", "skipped"), ("waiting", "skipped_dependency"))]
         level = ran.unionByName(idle[0]).unionByName(idle[1])
         done = level if done is None else done.unionByName(level)
-    return done if done is not None else images.sparkSession.createDataFrame([], OUTCOME)
+    return done if done is not None else spark.createDataFrame([], OUTCOME)
 
 
 def counters(outcomes: DataFrame) -> DataFrame:

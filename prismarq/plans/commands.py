@@ -7,6 +7,7 @@ import json
 import os
 import shutil
 import sys
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -26,10 +27,13 @@ from prismarq.sources.models import plug_in
 from prismarq.sources.shared import reach_workers, write_table
 
 
-def process_all(spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None) -> tuple[DataFrame, DataFrame] | None:
+def process_all(
+    spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None,
+    counts: Counter | None = None, gpus: float = 0.0) -> tuple[DataFrame, DataFrame] | None:
     """Run passes over the images of ``root``; OUTCOME rows of passes and of unreadable images, or None without images.
 
-    Metadata is made where it is missing; images whose size cannot be read have no passes and are named on stderr.
+    Metadata is made where it is missing; images whose size cannot be read have no passes and are named on stderr, as are
+    files that share an image id with the first of them (``a.jpg`` beside ``a.png``).  ``counts`` gets the number of each outcome.
     """
     reach_workers(spark)
     found = I.scan_images(spark, root) if listing is None else I.scan_list(spark, listing, root)
@@ -37,13 +41,17 @@ def process_all(spark: SparkSession, root: str, output: str, names: Sequence[str
         found = positional.shard(found.select("path", "image_id"), *positional.parse_shard(shard), X.components(F.col("path")))
     if found.isEmpty():
         return None
-    once = found.groupBy("image_id").agg(F.min("path").alias("path"))
+    once = write_table(found.groupBy("image_id").agg(F.min("path").alias("path"), F.max("path").alias("other")))
+    for r in once.where("path <> other").toLocalIterator():
+        print(f"warning: {r['other']} has the image id of {r['path']} and is left out", file=sys.stderr)
     sized = write_table(I.with_size(once.select("path", "image_id")))
     old = I.scan_metadata(spark, output) if exists(output) else I.scan_metadata(spark, root).where("false")
     meta = write_table(I.ensure_metadata(sized, old))
     unread = sized.join(meta, "image_id", "left_anti")
     for r in unread.toLocalIterator():
         print(f"warning: cannot read dimensions for {r['path']}", file=sys.stderr)
+        if counts is not None:
+            counts["error"] += 1
 
     def keep(part):
         for pdf in part:
@@ -54,7 +62,7 @@ def process_all(spark: SparkSession, root: str, output: str, names: Sequence[str
     meta.where("made").drop("made").mapInPandas(keep, "image_id string").count()
     work = sized.select("image_id", "path").join(meta.select("image_id", "aspect_bucket"), "image_id")
     errors = unread.select("image_id", F.lit("metadata").alias("pass"), F.lit("error").alias("outcome"), F.lit("unreadable image").alias("message"))
-    return passes.run_passes(work, lambda: I.scan_artifacts(spark, output), names, decode, backends, output), errors
+    return passes.run_passes(work, lambda: I.scan_artifacts(spark, output), names, decode, backends, output, counts, gpus), errors
 
 
 def process(spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None) -> DataFrame | None:
@@ -161,7 +169,8 @@ def main(argv: Sequence[str] | None = None) -> int:
             p.add_argument("--second", action="store_true", help="default passes of the second generation")
             p.add_argument("--shard", help="N/M")
             p.add_argument("--image-list")
-            p.add_argument("--backends", required=True, help="module:factory that returns (decode, backends)")
+            p.add_argument("--backends", required=True, help="module:factory that returns (decode, backends); decode gives the RGB array of a file's bytes, so it is where JPEG, WebP and TIFF come in")
+            p.add_argument("--gpus", type=float, default=0.0, help="GPUs that each task of a pass holds, where the cluster has profiles")
         if name in ("status", "verify", "publish"):
             p.add_argument("dataset")
         if name == "verify":
@@ -188,11 +197,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = SparkSession.builder.appName("prismarq").getOrCreate()
     if a.command == "process":
         names = passes.resolve_passes(a.passes, passes.DEFAULT_PASSES_2 if a.second else passes.DEFAULT_PASSES)
-        done = process_all(spark, a.root, a.output, names, *plug_in(a.backends), a.shard, a.image_list)
-        if done is None:
+        counts: Counter = Counter()
+        if process_all(spark, a.root, a.output, names, *plug_in(a.backends), a.shard, a.image_list, counts, a.gpus) is None:
             print("no images", file=sys.stderr)
             return 1
-        print({r["outcome"]: r["n"] for r in passes.counters(done[0].unionByName(done[1])).collect()})
+        print(dict(counts))
         return 0
     if a.command == "status":
         rows = status(spark, a.dataset).collect()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import posixpath
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,10 +34,28 @@ def scan_images(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_list(spark: SparkSession, listing: str, root: str) -> DataFrame:
-    """(path, image_id) of a text file's lines: trimmed, blank ones dropped, relative ones taken below ``root``; neither filtered nor made distinct."""
+    """(path, image_id) of a text file's lines, in order of path: trimmed, blank ones dropped, relative ones taken below ``root``.
+
+    ``.``, ``..`` and links are resolved by the tasks, as are those of ``root``; on other file systems than the local one there are no links.
+    Lines are neither filtered nor made distinct.
+    """
     lines = spark.read.text(listing).select(X.strip(F.col("value")).alias("line")).where("line <> ''")
-    path = F.when(F.startswith("line", F.lit("/")), F.col("line")).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), F.col("line")))
-    return lines.select(path.alias("path")).withColumn("image_id", X.image_id(relative(F.col("path"), root)))
+    path = F.when(F.col("line").rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:/)"), F.col("line")).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), F.col("line")))
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([resolved(p) for p in batch.column(0).to_pylist()], pa.string())], ["path"])
+
+    rows = lines.select(path.alias("path")).mapInArrow(resolve, "path string")
+    return rows.withColumn("image_id", X.image_id(relative(F.col("path"), resolved(root)))).orderBy(X.components(F.col("path")))
+
+
+def resolved(path: str) -> str:
+    """A path without ``.``, ``..`` and, where it is local, links; a URI keeps its scheme and host."""
+    scheme, host, bare = re.fullmatch(r"(?:([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(?=/))?(.*)", path, re.DOTALL).groups()
+    if scheme is None or scheme == "file":
+        return os.path.realpath(bare)
+    return f"{scheme}://{host or ''}{posixpath.normpath(bare)}"
 
 
 # --- headers ----------------------------------------------------------------------------
