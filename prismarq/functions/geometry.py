@@ -79,6 +79,15 @@ def iou(a: Column, b: Column) -> Column:
     return both / (box_area(a) + box_area(b) - both)
 
 
+# Keypoints of the face, whose dots need more than the threshold; lines of a skeleton keep its equals, too.
+FACE_POINTS, POINT_CONFIDENCE = (23, 90), 0.3
+
+
+def is_drawn(index: Column, confidence: Column, threshold: float = POINT_CONFIDENCE) -> Column:
+    """Whether a whole-body keypoint is confident enough to be drawn."""
+    return F.when(index.between(*FACE_POINTS), confidence > threshold).otherwise(confidence >= threshold)
+
+
 def centre_scale(b: Column, padding: float = BOX_PADDING) -> Column:
     """Struct (cx, cy, sw, sh): centre and padded size of a corner box."""
     return F.struct(

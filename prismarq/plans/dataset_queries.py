@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from prismarq.functions import dense as D
 from prismarq.functions.tensor import encode_npy
+from prismarq.operators import colocated
 from prismarq.plans import commands, publish
 from prismarq.plans.catalogue import query
 from prismarq.sources.files import locate, write_bytes
@@ -74,6 +75,17 @@ def publish_round_trip(t):
     return t.spark.createDataFrame(rows, "layer string, label string, n long, total_images long")
 
 
+@query("""SELECT coalesce(d.image_id, p.image_id) AS image_id, n_chars, lang, path, CASE WHEN d.image_id IS NULL THEN 'original' WHEN p.image_id IS NULL THEN 'published' ELSE 'both' END AS "where"
+FROM (SELECT 'img' || doc_id AS image_id, n_chars, lang FROM documents) d FULL JOIN (SELECT 'img' || page_id AS image_id, url AS path FROM pages) p ON d.image_id = p.image_id""")
+def published_with_originals(t):
+    """Documents as published rows, pages as originals, each laid out by image once: joined without a shuffle."""
+    image = lambda c: F.concat(F.lit("img"), F.col(c).cast("string")).alias("image_id")
+    published = t.documents.select(image("doc_id"), "n_chars", "lang")
+    originals = t.pages.select(image("page_id"), F.col("url").alias("path"))
+    buckets = colocated.buckets_for(t.documents.count())
+    return colocated.published_with_originals(colocated.lay_out(published, "image_id", buckets), colocated.lay_out(originals, "image_id", buckets))
+
+
 @query("""SELECT artifact, count(*) AS n FROM (SELECT unnest(['metadata', CASE WHEN n_regionkey <> 3 THEN 'caption' END, CASE WHEN n_nationkey % 2 = 1 THEN 'pose' END, CASE WHEN n_regionkey = 0 THEN 't5_mask' END]) AS artifact FROM nation)
 WHERE artifact IS NOT NULL GROUP BY artifact""")
 def migrate_files(t):

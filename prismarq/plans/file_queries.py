@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -93,6 +94,22 @@ def half_round_trip(t):
 SELECT printf('%05d-%05d', label, label) || '.tar' AS shard, pos, 'v' || vec_id AS "key", 'dinov3_cls.npy' AS member, 128 + 2 * len(embedding) AS bytes FROM p""")
 def tar_round_trip(t):
     """Archives by label, written through the tar sink and scanned again."""
+    folder = _vector_archives(t)
+    return tar.read_tars(t.spark, folder).select("shard", "pos", "key", "member", F.length("content").cast("bigint").alias("bytes"))
+
+
+@query("""WITH p AS (SELECT label, vec_id, 128 + 2 * len(embedding) AS bytes, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos FROM embeddings),
+q AS (SELECT *, sum(512 + (bytes + 511) // 512 * 512) OVER (PARTITION BY label ORDER BY pos) AS upto FROM p)
+SELECT printf('%05d-%05d', label, label) || '.tar' AS shard, pos, 'v' || vec_id AS "key", 'dinov3_cls.npy' AS member, CAST(upto - (bytes + 511) // 512 * 512 AS BIGINT) AS start, bytes AS length, bytes AS fetched FROM q""")
+def tar_index(t):
+    """Indexed archives: the place of every member, and what a scan in byte ranges fetches there."""
+    folder = _vector_archives(t, True)
+    fetched = tar.read_tars(t.spark, folder, splitBytes=100_000).select("shard", "key", "member", F.length("content").cast("bigint").alias("fetched"))
+    return tar.read_places(t.spark, folder).join(fetched, ["shard", "key", "member"])
+
+
+def _vector_archives(t, index: bool = False) -> str:
+    """A folder of archives of vectors by label."""
     from pyspark.sql import Window
 
     from prismarq.functions.text import range_label
@@ -102,8 +119,8 @@ def tar_round_trip(t):
         range_label(F.col("label"), F.col("label")).alias("label"), pos.cast("bigint").alias("pos"), F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("image_id"),
         F.lit("dinov3_cls.npy").alias("file"), "content")
     folder = shared_folder(t.spark)
-    tar.write_tars(rows, folder)
-    return tar.read_tars(t.spark, folder).select("shard", "pos", "key", "member", F.length("content").cast("bigint").alias("bytes"))
+    tar.write_tars(rows, folder, index=index)
+    return folder
 
 
 @query("SELECT p_partkey, 3 AS channels, 24 AS height, 16 AS width, round((p_size * 5) / 255.0, 2) AS value FROM part")
@@ -179,6 +196,26 @@ def passes_run(t):
     return done.unionByName(errors).select("image_id", "pass", "outcome")
 
 
+@query("""WITH k AS (SELECT s_suppkey % 10 = 0 AS bad FROM supplier)
+SELECT CAST(3 * count(*) FILTER (NOT bad) AS BIGINT) AS processed, CAST(count(*) FILTER (bad) AS BIGINT) AS error, CAST(count(*) FILTER (NOT bad) AS BIGINT) AS skipped_dependency, true AS batched FROM k""")
+def passes_observed(t):
+    """Counters that the jobs of the passes observe as they run, with read-ahead and a model that takes eight images in a call."""
+    root, output, counts = _picture_files(t.supplier, "s_suppkey", "s_nationkey"), shared_folder(t.spark), Counter()
+    process_all(t.spark, root, output, ["caption", "pixel", "depth", "pose2"], decode_rgb, {"caption": _Captions(), "pose2": PersonPose(_nobody, _whole_crop)}, counts=counts)
+    captions = t.spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "caption.txt").text(output)
+    batched = captions.agg((F.max(F.col("value").cast("int")) > 1).alias("batched"))
+    return batched.select(*[F.lit(counts[o]).cast("long").alias(o) for o in ("processed", "error", "skipped_dependency")], "batched")
+
+
+class _Captions:
+    """Captions that tell how many images their call had."""
+
+    batch = 8
+
+    def many(self, calls):
+        return [str(len(calls))] * len(calls)
+
+
 def _nobody(image):
     return np.zeros(0), np.zeros(0), np.zeros((0, 4))
 

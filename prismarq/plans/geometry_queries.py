@@ -85,6 +85,12 @@ def keypoint_filter(t):
     return valid.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min(q).alias("min_x"), F.max(q).alias("max_x"), F.min(p).alias("min_y"), F.max(p).alias("max_y"))
 
 
+@query(f"SELECT {_LINE}, CASE WHEN l_partkey % 133 BETWEEN 23 AND 90 THEN l_discount * 10 > 0.3::DOUBLE ELSE l_discount * 10 >= 0.3::DOUBLE END AS drawn FROM lineitem")
+def keypoint_drawn(t):
+    """Face dots need more than the threshold, lines of the skeleton keep what equals it."""
+    return t.lineitem.select(*_KEYS, G.is_drawn(F.col("l_partkey") % 133, F.col("l_discount") * 10).alias("drawn"))
+
+
 _BOX = """boxes AS (SELECT p_partkey, (p_partkey % 640) - (p_size * 4.0::DOUBLE) / 2 AS x1, (p_partkey % 480) - (p_retailprice / 10) / 2 AS y1,
   (p_partkey % 640) + (p_size * 4.0::DOUBLE) / 2 AS x2, (p_partkey % 480) + (p_retailprice / 10) / 2 AS y2 FROM part)"""
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from prismarq.functions import charts as C
 from prismarq.functions import tensor as V
+from prismarq.operators.selection import percentiles
 from prismarq.plans.catalogue import query
+from prismarq.sources.shared import write_table
 
 _V = "CAST(embedding AS DOUBLE[])"
 _NORM = f"sqrt(list_sum(list_transform({_V}, lambda x: x * x)))"
@@ -69,12 +71,19 @@ def register_detect(t):
 @query("""WITH b AS (SELECT event_type, quantile_cont(value, 0.02) AS lo, quantile_cont(value, 0.98) AS hi FROM events GROUP BY event_type)
 SELECT event_id, round(CASE WHEN hi > lo THEN greatest(0, least(1, (value - lo) / (hi - lo))) ELSE 0 END, 6) AS clipped FROM events JOIN b USING (event_type)""")
 def percentile_clip(t):
-    # Exact: the aggregate's buffer counts distinct values, and its partial form merges them before the shuffle.
-    bounds = t.events.groupBy("event_type").agg(F.percentile("value", F.lit([0.02, 0.98])).alias("q"))
+    bounds = percentiles(t.events, ["event_type"], "value", [0.02, 0.98])
     rows = t.events.join(bounds, "event_type")
     return rows.select("event_id", F.round(V.clip_range(F.col("value"), F.get("q", F.lit(0)), F.get("q", F.lit(1))), 6).alias("clipped"))
 
 
+@query("""SELECT count(l_extendedprice) AS n, round(min(l_extendedprice), 4) AS p0, round(quantile_cont(l_extendedprice, 0.25), 4) AS p25, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50,
+  round(quantile_cont(l_extendedprice, 0.98), 4) AS p98, round(max(l_extendedprice), 4) AS p100 FROM lineitem""")
+def price_percentiles(t):
+    """One key for all rows: no task sees them all."""
+    rows = percentiles(t.lineitem.withColumn("all", F.lit(1)), ["all"], "l_extendedprice", [0.0, 0.25, 0.5, 0.98, 1.0])
+    return rows.select("n", *[F.round(F.get("q", F.lit(i)), 4).alias(f"p{p}") for i, p in enumerate((0, 25, 50, 98, 100))])
+
+
 @query("""WITH b AS (SELECT l_orderkey, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey)
 SELECT l.l_orderkey, l_linenumber, l_partkey, l_suppkey, round(CASE WHEN l_returnflag <> 'N' AND hi > lo THEN (l_extendedprice - lo) / (hi - lo) ELSE 0 END, 6) AS depth FROM lineitem l LEFT JOIN b ON l.l_orderkey = b.l_orderkey""")
 def foreground_minmax(t):
@@ -149,7 +158,8 @@ def patch_heatmap(t):
     rows = t.embeddings.select("label", "embedding", pos.alias("pos"))
     cls = rows.where("pos = 0").select("label", F.col("embedding").alias("cls"))
     cos = rows.where("pos >= 5").join(cls, "label").select("label", (F.col("pos") - 5).alias("p"), V.cosine(F.col("embedding"), F.col("cls")).alias("s"))
-    grid = cos.groupBy("label").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("side"), F.percentile("s", F.lit([0.02, 0.98])).alias("q"))
+    cos = write_table(cos)
+    grid = percentiles(cos, ["label"], "s", [0.02, 0.98]).withColumn("side", F.ceil(F.sqrt("n")))
     heat = V.clip_range(F.col("s"), F.get("q", F.lit(0)), F.get("q", F.lit(1)))
     out = cos.join(grid, "label")
     return out.select("label", F.floor(F.col("p") / F.col("side")).alias("row"), (F.col("p") % F.col("side")).alias("col"), F.round(heat, 5).alias("heat"))
