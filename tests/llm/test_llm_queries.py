@@ -30,7 +30,7 @@ def test_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 14))
 
 
 def brute_components(texts: dict[int, str], k: int, percent: int = 80) -> dict[int, tuple[int, int]]:
