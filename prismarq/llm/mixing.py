@@ -16,8 +16,8 @@ What the document after that prefix leaves open, less than its size, goes to the
 next documents in the ranking that fit in it, in ``PASSES`` - 1 further passes.
 
 u depends on doc_id, text and seed.  Equal rows have equal ranks; where the end of
-a sample falls inside such a group, a share of its rows is drawn, by a hash of
-their place.
+a sample falls inside such a group, exactly as many of its rows are drawn as still fit,
+the first by their place, so that the mix is the same however the rows are partitioned.
 
 Only narrow rows are shuffled, never texts: words per (source, rank bin) tell the
 bin in which a sample ends, and only rows of that bin are sorted.  One row per
@@ -123,8 +123,8 @@ def _bin() -> Column:
 def _cut(rows: DataFrame) -> DataFrame:
     """(s, used, cut): per source, the words of the longest prefix that fits in ``gap``, and the group of equal rows where it ends.
 
-    ``rows``: source, gap and the ranking's columns.  ``cut``: that group's key, how many of its
-    ``of`` rows are still in (``drawn``); null if all rows fit.
+    ``rows``: source, gap, spot and the ranking's columns.  ``cut``: that group's key, and the ``place`` of the first of its
+    rows that is out; null if all rows fit.
     """
     rows = rows.withColumn("bin", _bin())
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
@@ -138,16 +138,37 @@ def _cut(rows: DataFrame) -> DataFrame:
     groups = groups.withColumn("before", F.col("base") + F.coalesce(F.sum(F.col("size") * F.col("count")).over(before), F.lit(0)))
     ends = groups.where((F.col("before") <= F.col("gap")) & (F.col("before") + F.col("size") * F.col("count") > F.col("gap")))
     drawn = F.floor((F.col("gap") - F.col("before")) / F.col("size"))
-    ends = ends.select(F.col("source").alias("e"), (F.col("before") + drawn * F.col("size")).alias("end"), F.struct(_key().alias("key"), drawn.alias("drawn"), F.col("count").alias("of")).alias("cut"))
+    ends = write_table(ends.select(F.col("source").alias("e"), (F.col("before") + drawn * F.col("size")).alias("end"), _key().alias("key"), drawn.alias("drawn")))
+    places = _places(inside, ends)
+    ends = ends.join(small(places), F.col("e").eqNullSafe(F.col("o")), "left").select("e", "end", F.struct("key", F.coalesce("place", F.lit(-1).cast("long")).alias("place")).alias("cut"))
     found = whole.join(small(write_table(ends)), F.col("s").eqNullSafe(F.col("e")), "left")
     return found.select("s", F.coalesce("end", "base").cast("long").alias("used"), "cut")
 
 
+def _places(inside: DataFrame, ends: DataFrame) -> DataFrame:
+    """(o, place): for sources whose cut leaves a part of a group of equal rows in, the place of the first row that is out.
+
+    Counts by the partition that a place names tell the one in which the group is cut; only that one's rows are sorted.
+    """
+    split = ends.where("drawn > 0")
+    if split.isEmpty():
+        return split.select(F.col("e").alias("o"), F.lit(None).cast("long").alias("place"))
+    same = F.col("source").eqNullSafe(F.col("e")) & _key().eqNullSafe(F.col("key"))
+    members = inside.join(small(split), same).select(F.col("source").alias("o"), "drawn", "spot", F.shiftright("spot", 33).alias("part"))
+    parts = members.groupBy("o", "part", "drawn").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("o").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.withColumn("skip", F.col("drawn") - before).where((F.col("skip") >= 0) & (F.col("skip") < F.col("n")))
+    parts = write_table(parts.select(F.col("o").alias("q"), F.col("part").alias("r"), "skip"))
+    held = members.join(small(parts), F.col("o").eqNullSafe(F.col("q")) & (F.col("part") == F.col("r")))
+    ranked = held.withColumn("nth", F.row_number().over(Window.partitionBy("o").orderBy("spot")))
+    return write_table(ranked.where(F.col("nth") == F.col("skip") + 1).select("o", F.col("spot").alias("place")))
+
+
 def mix_plan(lean: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP, seed: str = SEED, passes: int = PASSES) -> tuple[DataFrame, DataFrame]:
     """Per source: targets and ``cuts``, one struct (room, cut) per pass; and ``class_rates``. ``lean``: doc_id, source, size, digest, spot."""
     per = write_table(source_targets(lean, weights, cap))
     rates = write_table(class_rates(lean, per))
-    cuts = per.select("source", F.col("rest").alias("gap"), F.expr(f"cast(array() as array<struct<room:double,cut:struct<key:{_KEY},drawn:bigint,of:bigint>>>)").alias("cuts"))
+    cuts = per.select("source", F.col("rest").alias("gap"), F.expr(f"cast(array() as array<struct<room:double,cut:struct<key:{_KEY},place:bigint>>>)").alias("cuts"))
     for _ in range(passes):
         rows = _ranked(lean, small(cuts), rates, seed)
         rows = rows.where((F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
@@ -169,15 +190,14 @@ def _ranked(rows: DataFrame, per: DataFrame, rates: DataFrame, seed: str) -> Dat
     rank = pareto_rank(random_unit(F.col("doc_id"), F.col("digest"), seed), F.coalesce("p", F.lit(0.0)))
     rows = rows.withColumn("rank", rank).withColumn("has_id", F.col("doc_id").isNotNull()).drop("p")
     key = _key()
-    share = F.pmod(F.col("spot"), F.lit(1 << 30)) / float(1 << 30)
-    below = lambda c: c["cut"].isNull() | (key < c["cut"]["key"]) | (key.eqNullSafe(c["cut"]["key"]) & (share * c["cut"]["of"] < c["cut"]["drawn"]))
+    below = lambda c: c["cut"].isNull() | (key < c["cut"]["key"]) | (key.eqNullSafe(c["cut"]["key"]) & (F.col("spot") < c["cut"]["place"]))
     # What an earlier pass could not take, a later one sees again with less room; rows of a group that a cut went through are settled.
     drawn = F.exists("cuts", lambda c: (F.col("size") <= c["room"]) & below(c))
     return rows.withColumn("extra", F.when(drawn & (F.col("size") > 0), 1).otherwise(0).cast("long"))
 
 
 def lean_rows(docs: DataFrame, size: Column | None = None) -> DataFrame:
-    """Written (doc_id, source, size, digest, spot) of ``docs``; ``spot`` tells equal rows apart."""
+    """Written (doc_id, source, size, digest, spot) of ``docs``; ``spot``, the row's place, tells equal rows apart."""
     size = word_count(F.col("text")) if size is None else size
     return write_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"), _digest(), _spot()))
 
@@ -187,7 +207,7 @@ def _digest() -> Column:
 
 
 def _spot() -> Column:
-    return F.xxhash64(F.monotonically_increasing_id()).alias("spot")
+    return F.monotonically_increasing_id().alias("spot")
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP, seed: str = SEED, passes: int = PASSES, size: Column | None = None) -> DataFrame:
