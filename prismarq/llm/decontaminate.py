@@ -5,8 +5,10 @@ window).  The 64-bit hashes of all distinct windows are the hash set: one broadc
 table, or several of at most ``SLICE`` hashes of which each scans the texts by
 itself, so no task ever holds more.  A training text is scanned in its own row:
 words are hashed once, every window of a length that the benchmark has is hashed
-from them and looked up in the set by a broadcast semi-join.  Windows that are
-found are verified as whole strings against the benchmark's windows.
+from them and looked up in the set by a broadcast semi-join.  The rows looked up hold a
+hash and its place, never the text, so the work grows with the words.  Texts in
+which windows are found are read again, and their windows verified as
+whole strings against the benchmark's windows.
 
 Only found windows and one narrow row per document leave the scan; texts are never
 shuffled by it.  All of it is DataFrame expressions.
@@ -76,13 +78,13 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _found(words: DataFrame, windows: DataFrame, lengths: list[int], size: int) -> DataFrame:
-    """(doc_id, digest, n_words, at, n, gram): windows of documents whose hash is in the set, and for each row of ``words`` one with null ``at``."""
+    """(doc_id, digest, n_words, at, n): places of windows of documents whose hash is in the set, and for each row of ``words`` one with null ``at``."""
     codes = windows.select("code").distinct()
     slices = max(1, -(-codes.count() // size))
-    m = F.size("w")
+    m = F.col("n_words")
     every = F.concat(*[_codes(F.col("h"), m, n) for n in lengths], F.array(F.lit(_LAST).cast("long")))
-    hashed = words.withColumn("h", F.transform("w", lambda x: F.xxhash64(_plain(x))))
-    scanned = hashed.select("doc_id", "digest", "w", F.posexplode(every).alias("place", "code"))
+    hashed = words.select("doc_id", "digest", F.size("w").alias("n_words"), F.transform("w", lambda x: F.xxhash64(_plain(x))).alias("h"))
+    scanned = hashed.select("doc_id", "digest", "n_words", F.posexplode(every).alias("place", "code"))
     n, at, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
     for k in lengths:
         here = F.col("place") < before + F.greatest(m - k + 1, F.lit(0))
@@ -94,10 +96,24 @@ def _found(words: DataFrame, windows: DataFrame, lengths: list[int], size: int)
         some = codes.where(F.pmod("code", F.lit(slices)) == i)
         some = F.broadcast(some.unionByName(last) if i == 0 else some)  # hashes are spread evenly: about ``size`` rows
         hit = scanned.join(some, "code", "left_semi").withColumn("n", n).withColumn("at", at)
-        parts.append(hit.select("doc_id", "digest", m.alias("n_words"), "at", "n", F.when(F.col("at").isNotNull(), _gram(F.col("w"), F.col("at"), F.col("n"))).alias("gram")))
+        parts.append(hit.select("doc_id", "digest", "n_words", "at", "n"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _digest() -> Column:
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def _grams(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` (doc_id, digest, at, n) with ``gram``, from the texts of the documents that it names."""
+    spots = write_table(found.groupBy(F.col("doc_id").alias("d"), F.col("digest").alias("g")).agg(F.collect_set(F.struct("at", "n")).alias("spots")))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))
+    held = docs.select("doc_id", _digest().alias("digest"), "text").join(small(spots), same)
+    words = held.select("doc_id", "digest", raw_tokens(F.col("text")).alias("w"), "spots")
+    grams = F.transform("spots", lambda s: F.struct(s["at"].alias("at"), s["n"].alias("n"), _gram(F.col("w"), s["at"], s["n"]).alias("gram")))
+    return words.select("doc_id", "digest", F.inline(grams)).distinct()
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SLICE) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, digest, n_words) of all ``docs``, and (doc_id, digest, hits, items) of those with hits.
 
@@ -106,10 +122,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int
     """
     windows = write_table(benchmark_windows(benchmark, window))
     lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most ``window`` rows
-    words = docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), raw_tokens(F.col("text")).alias("w"))
+    words = docs.select("doc_id", _digest().alias("digest"), raw_tokens(F.col("text")).alias("w"))
     found = write_table(_found(words, windows, lengths, size))
     rows = found.where("at is null").select("doc_id", "digest", "n_words")
-    near = found.where("at is not null").select("doc_id", "digest", "at", "n", "gram").distinct()
+    near = _grams(docs, found.where("at is not null").select("doc_id", "digest", "at", "n"))
     true = write_table(near.join(small(windows.select("gram", "n").distinct()), ["gram", "n"], "left_semi"))
     spans = true.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
     spans = spans.select("doc_id", "digest", F.sort_array(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1))))).alias("hits"))
@@ -137,7 +153,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     docs = docs.drop("n_words", "hits", "items", "contaminated")
     _, marks = scan(docs, benchmark, window)
     counted = docs.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(RAW_TOKEN)), F.lit(0)))
-    return _marked(counted, marks, F.unhex(F.md5(F.col("text").cast("binary"))), share)
+    return _marked(counted, marks, _digest(), share)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
@@ -145,7 +161,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     rows, marks = scan(docs, benchmark, window)
     d, g = fresh(docs, "doc", "digest")
     gone = _marked(rows, marks, F.col("digest"), share).where("contaminated").select(F.col("doc_id").alias(d), F.col("digest").alias(g)).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.unhex(F.md5(F.col("text").cast("binary"))) == F.col(g))
+    same = F.col("doc_id").eqNullSafe(F.col(d)) & (_digest() == F.col(g))
     return docs.join(small(write_table(gone)), same, "left_anti")
 
 
