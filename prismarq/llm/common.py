@@ -46,6 +46,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def corpus_seed(df: DataFrame, column: str = "doc_id") -> int:
+    """A seed that is the same whenever the table is, and that the author of one of its texts does not know: from all values of a column."""
+    n, all_ = df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(F.col(column).cast("string")))).first()
+    return int.from_bytes(hashlib.blake2b(f"{n} {all_}".encode(), digest_size=8).digest(), "little") >> 1
+
+
 def give_back() -> None:
     """Return a Python worker's freed memory to the system before the worker waits for its next task."""
     pa.default_memory_pool().release_unused()
@@ -204,8 +210,8 @@ class Texts:
             yield at, self.data[at:stop]
             at = stop
 
-    def words(self, lower: bool = False) -> Words:
-        """Hashes and counts of the words of all texts."""
+    def words(self, lower: bool = False, seed: int | None = None) -> Words:
+        """Hashes and counts of the words of all texts; who does not know the ``seed`` can't make words that collide."""
         hashes, counts = [], np.zeros(len(self), dtype=np.int64)
         for at, raw in self.pieces():
             inside = ~_SPACE[raw]
@@ -218,7 +224,7 @@ class Texts:
             done = inside.copy()
             done[:-1] &= ~inside[1:] | first[1:-1]
             stops = np.flatnonzero(done) + 1
-            hashes.append(hash_slices(_LOWER[raw] if lower else raw, starts, stops))
+            hashes.append(hash_slices(_LOWER[raw] if lower else raw, starts, stops, seed))
             owner = np.searchsorted(self.offsets, starts + at, side="right") - 1
             counts += np.bincount(owner, minlength=len(self))
         return Words(np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64), counts)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prismarq.llm.common import Texts, fresh, give_back, mix64, small, write_table
+from prismarq.llm.common import Texts, corpus_seed, fresh, give_back, mix64, small, write_table
 from prismarq.llm.components import components, labels_of
 
 THRESHOLD = 0.8
@@ -73,9 +73,9 @@ def trees_for(threshold: float, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - reach))
 
 
-def shingle_sets(texts: Texts, k: int) -> list[np.ndarray]:
+def shingle_sets(texts: Texts, k: int, seed: int | None = None) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
-    words = texts.words(lower=True)
+    words = texts.words(lower=True, seed=seed)
     at, hashes = words.windows(k)
     ends = np.searchsorted(at, words.first)
     out = [np.unique(hashes[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
@@ -132,9 +132,9 @@ def set_key(s: np.ndarray) -> bytes:
 _SKETCH = "n_shingles long, key binary, sig binary, tree array<long>, n1 array<long>, n2 array<long>, n3 array<long>"
 
 
-def _sketcher(k: int, trees: int, threshold: float):
+def _sketcher(k: int, trees: int, threshold: float, seed: int):
     def sketch_some(texts: Texts) -> pa.StructArray:
-        sets = shingle_sets(texts, k)
+        sets = shingle_sets(texts, k, seed)
         n = np.array([len(x) for x in sets], dtype=np.int64)
         full = np.flatnonzero(n)
         keys, sigs = np.full(len(n), b"", dtype=object), np.full(len(n), b"", dtype=object)
@@ -404,12 +404,12 @@ def _coarse(reps: DataFrame, threshold: float, width: int, n: int) -> DataFrame:
     return _chunks_together(large, lambda groups: linked_rows(groups.join(reps.select("rep", "sig"), "rep")), labels)
 
 
-def _set_maker(k: int):
+def _set_maker(k: int, seed: int):
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             keys, rest = batch.column("set"), batch.drop_columns(["set", "text"])
             for part in Texts(batch.column("text")).groups():
-                sets = shingle_sets(part, k)
+                sets = shingle_sets(part, k, seed)
                 right = [len(s) > 0 and set_key(s) == keys[part.first + i].as_py() for i, s in enumerate(sets)]
                 some = rest.slice(part.first, len(part)).append_column("shingles", pa.array([s.tobytes() for s in sets], pa.binary()))
                 yield some.filter(pa.array(right))
@@ -422,7 +422,7 @@ def _set_maker(k: int):
 _SETS = "key long, chunk long, chunks long, rep long, sig binary, shingles binary"
 
 
-def _confirmed(texts: DataFrame, reps: DataFrame, coarse: DataFrame, k: int, percent: int, bar: int) -> DataFrame:
+def _confirmed(texts: DataFrame, reps: DataFrame, coarse: DataFrame, k: int, percent: int, bar: int, seed: int) -> DataFrame:
     """(v, label): components of the links that full sets confirm within coarse components."""
     held = coarse.join(reps.select(F.col("rep").alias("v"), F.col("key").alias("set"), "sig", "n_shingles"), "v")
     count = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES))
@@ -432,7 +432,7 @@ def _confirmed(texts: DataFrame, reps: DataFrame, coarse: DataFrame, k: int, per
 
     def sets(rows: DataFrame) -> DataFrame:
         found = texts.join(small(rows), texts.doc_id == F.col("rep")).select("key", "chunk", "chunks", "rep", "sig", "set", "text")
-        return found.mapInArrow(_set_maker(k), _SETS)
+        return found.mapInArrow(_set_maker(k, seed), _SETS)
 
     def confirm(rows: DataFrame) -> DataFrame:
         rows = rows.repartition(F.col("key"), F.col("chunk")).sortWithinPartitions("key", "chunk", "rep")
@@ -453,8 +453,8 @@ def verdicts(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, re
     """(doc_id, digest, n_shingles, component_id) of every row of ``docs`` (doc_id, text); ``digest``: MD5 of the text."""
     trees, percent = trees_for(threshold, recall), round(100 * threshold)
     width = trees * LEVELS * 2
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lean = texts.withColumn("s", _sketcher(k, trees, threshold)(F.col("text")))
+    texts, seed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), corpus_seed(docs)
+    lean = texts.withColumn("s", _sketcher(k, trees, threshold, seed)(F.col("text")))
     lean = write_table(lean.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), "s.*"))
     named = lean.where("n_shingles > 0 and doc_id is not null")
     # One id may stand for several sets (repeated ids): links then run through the id, as its rows are one document.
@@ -468,12 +468,14 @@ def verdicts(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, re
     if not again.isEmpty():  # of equal rows, one text will do
         again = small(again)
         texts = texts.join(again, "doc_id", "left_anti").unionByName(texts.join(again, "doc_id", "left_semi").distinct())
-    found = _confirmed(texts, reps, coarse, k, percent, _bar(threshold, width))
+    found = _confirmed(texts, reps, coarse, k, percent, _bar(threshold, width), seed)
     owners = reps.select("key", "rep").join(small(found.withColumnRenamed("v", "rep")), "rep").select("key", "label")
     # Documents that share neither key nor label with another one are components by themselves.
     owners = copies.select(F.col("set").alias("key"), F.col("r").alias("rep")).join(owners, "key", "full")
     owners = write_table(owners.select("key", F.coalesce("label", "rep").alias("component")))
-    judged = lean.select("doc_id", "digest", "n_shingles", "key").join(small(owners), "key", "left")
+    judged = lean.where("n_shingles > 0").select("doc_id", "digest", "n_shingles", "key").join(small(owners), "key", "left").drop("key")
+    empty = lean.where("n_shingles = 0").select("doc_id", "digest", "n_shingles", F.lit(None).cast("long").alias("component"))  # all share one key
+    judged = judged.unionByName(empty)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return judged.select("doc_id", "digest", "n_shingles", component.alias("component_id"))
 
