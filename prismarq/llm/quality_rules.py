@@ -1,8 +1,9 @@
 """Quality rules on documents and on the hosts that published them.
 
 Each text is measured on its own; failures of each rule are summed by host, the
-failure rates are shrunk toward the corpus by a beta prior that is fitted to all
-hosts by the method of moments, and a host whose shrunken rate of any rule is
+failure rates are shrunk toward the corpus by a beta prior whose weight the method of
+moments finds: from how much hosts differ beyond what their numbers of documents
+alone let expect, each host counting by its documents.  A host whose shrunken rate of any rule is
 above ``HOST_LIMIT`` loses all its documents.  Texts are measured once, in place,
 into a written table, and never shuffled: only sums per host are, after partial
 aggregation, so a host with a third of all rows costs no more than another.
@@ -14,6 +15,7 @@ through, and those named like an output are replaced.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,9 @@ PRIOR_WEIGHT = (1.0, 1000.0)
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
+#: Words are told apart by hashes with a seed that each worker draws; windows are compared within a text only.
+_SEED = secrets.randbits(62)
+
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS.encode())] = True
 
@@ -72,7 +77,7 @@ def measure_texts(texts: Texts) -> dict[str, np.ndarray]:
             chars = np.concatenate([[0], np.cumsum(((raw & 0xC0) != 0x80) & ~_SPACE[raw], dtype=np.int32)])
             ends = np.clip(part.offsets - at, 0, len(raw))
             out["word_chars"][rows] += np.diff(chars[ends])
-        words = part.words()
+        words = part.words(seed=_SEED)
         out["n_words"][rows] = words.counts
         out["n_repeat_words"][rows] = _repeated(words)
         for i in range(len(part)):
@@ -103,18 +108,28 @@ RULES = {
 }
 
 
+def prior_weight(mean: float, spread: float, hosts: int, n: int, squares: float) -> float:
+    """Weight, in documents, of the beta prior of hosts' rates: from rates' squared distances to the mean, summed by documents.
+
+    Hosts of one rate would have a ``spread`` of (hosts - 1) * mean * (1 - mean); ``n`` and ``squares`` are sums of the hosts' documents and
+    of their squares.  What exceeds that is the share of the hosts in the variance, 1 / (weight + 1).
+    """
+    low, high = PRIOR_WEIGHT
+    alone = mean * (1 - mean)
+    room = alone * (n - squares / n - (hosts - 1)) if n else 0.0
+    share = (spread - (hosts - 1) * alone) / room if room > 0 else 0.0
+    return min(max(1 / share - 1, low), high) if share > 0 else high
+
+
 def host_rates(measured: DataFrame, host: str) -> DataFrame:
     """Per host: ``n`` documents, failures of each rule, shrunken rate ``<rule>_rate`` and ``rejected``."""
     names = list(RULES)
     per = write_table(measured.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.expr(c).cast("long")).alias(k) for k, c in RULES.items()]))
-    total = per.agg(F.sum("n").alias("n"), *[(F.sum(k) / F.sum("n")).alias(k) for k in names])
-    mean = total.first()
-    mean = {k: mean[k] or 0.0 for k in names}
-    spread = per.agg(*[F.avg((F.col(k) / F.col("n") - F.lit(mean[k])) ** 2).alias(k) for k in names]).first()
-    low, high = PRIOR_WEIGHT
+    total = per.agg(F.count("*").alias("hosts"), F.sum("n").alias("n"), F.sum(F.col("n").cast("double") ** 2).alias("squares"), *[(F.sum(k) / F.sum("n")).alias(k) for k in names]).first()
+    mean = {k: total[k] or 0.0 for k in names}
+    spread = per.agg(*[F.sum(F.col("n") * (F.col(k) / F.col("n") - F.lit(mean[k])) ** 2).alias(k) for k in names]).first()
     for k in names:
-        m, v = mean[k], spread[k] or 0.0
-        weight = min(max(m * (1 - m) / v - 1, low), high) if v > 0 else high
+        m, weight = mean[k], prior_weight(mean[k], spread[k] or 0.0, total["hosts"], total["n"] or 0, total["squares"] or 0.0)
         per = per.withColumn(f"{k}_rate", (F.col(k) + F.lit(m * weight)) / (F.col("n") + F.lit(weight)))
     worst = F.greatest(*[F.col(f"{k}_rate") for k in names])
     return write_table(per.withColumn("rejected", worst > HOST_LIMIT))
@@ -155,8 +170,9 @@ def _oracle() -> str:
     low, high = PRIOR_WEIGHT
     sums = ", ".join(f"CAST(sum(CASE WHEN {RULES[k]} THEN 1 ELSE 0 END) AS DOUBLE) AS {k}" for k in names)
     means = ", ".join(f"sum({k}) / sum(n) AS m_{k}" for k in names)
-    spreads = ", ".join(f"avg(({k} / n - m_{k}) * ({k} / n - m_{k})) AS v_{k}" for k in names)
-    weights = ", ".join(f"CASE WHEN v_{k} > 0 THEN least(greatest(m_{k} * (1 - m_{k}) / v_{k} - 1, {low}), {high}) ELSE {high} END AS w_{k}" for k in names)
+    spreads = ", ".join(f"sum(n * ({k} / n - m_{k}) * ({k} / n - m_{k})) AS v_{k}" for k in names)
+    shares = ", ".join(f"CASE WHEN m_{k} * (1 - m_{k}) * free > 0 THEN (v_{k} - (hosts - 1) * m_{k} * (1 - m_{k})) / (m_{k} * (1 - m_{k}) * free) ELSE 0 END AS s_{k}" for k in names)
+    weights = ", ".join(f"CASE WHEN s_{k} > 0 THEN least(greatest(1 / s_{k} - 1, {low}), {high}) ELSE {high} END AS w_{k}" for k in names)
     rates = ", ".join(f"({k} + m_{k} * w_{k}) / (n + w_{k})" for k in names)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
@@ -168,7 +184,8 @@ m AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(arra
   CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN rep USING (r)),
 h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, {sums} FROM m GROUP BY source),
 a AS (SELECT {means} FROM h),
-v AS (SELECT {weights} FROM (SELECT {", ".join(f"any_value(m_{k}) AS m_{k}" for k in names)}, {spreads} FROM h, a)),
+z AS (SELECT count(*) AS hosts, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS free, {", ".join(f"any_value(m_{k}) AS m_{k}" for k in names)}, {spreads} FROM h, a),
+v AS (SELECT {weights} FROM (SELECT {shares} FROM z)),
 bad AS (SELECT source, greatest({rates}) > {HOST_LIMIT} AS rejected FROM h, a, v)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
   NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND NOT rejected AS kept
