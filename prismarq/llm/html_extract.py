@@ -4,7 +4,8 @@ One pass over the tags builds a tree of block elements.  Elements that are
 furniture by tag or role, or whose class or id says so and nothing else (menus,
 page headers and footers, sidebars, notices, adverts, forms, reader comments,
 scripts, styles, hidden parts) give no text.  A name that holds such a word beside
-others ("related-work") only weighs: it costs its element points.  Each remaining
+others ("related-work") only weighs: it costs its element points.  So do names inside an
+article that may belong to it ("discussion", "print", "section-header").  Each remaining
 block of text is a paragraph that passes points for its length and commas to its
 parent, half of them to the grandparent, a sixth to the next and two thirds of that
 to each one above; a container's score is its points times the share of its text
@@ -46,7 +47,7 @@ HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "optgroup": {"option", "optgroup"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = frozenset("table ul ol dl menu div article section main body html aside blockquote select".split())
 FURNITURE_TAGS = frozenset(
-    "head script style noscript template iframe object svg canvas audio video map math nav footer aside form button select input textarea label menu dialog search datalist fieldset".split()
+    "head script style noscript template iframe object svg canvas audio video map nav footer aside form button select input textarea label menu dialog search datalist fieldset".split()
 )
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist".split())
 FURNITURE_WORDS = frozenset(
@@ -64,6 +65,8 @@ PLAIN_WORDS = frozenset(
     " area zone group set row body title heading the and for of in to my our your".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion respond reply replies responses".split())
+#: Words that may also name a part of an article; inside one they only speak against it, and prose stays.
+EITHER_WORDS = frozenset("discussion feedback print header masthead".split())
 GOOD_WORDS = frozenset("article body content entry main page post text blog story".split())
 TAG_POINTS = {"article": 30, "main": 20, "div": 5, "section": 5, "td": 3, "pre": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "li": -3, "address": -3, "th": -5}
 
@@ -166,14 +169,14 @@ class _Tree:
             return False, False, good, False
         if tag == "article":
             return bool(words & COMMENT_WORDS), False, good, False
-        if tag == "header" or words & {"header", "masthead"} and inside:
+        if tag == "header" or inside and any(n and n <= {"header", "masthead"} for n in names):
             return not inside, inside, good, False
         hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDING.search(a.get("style", "")))
         bad = FURNITURE_WORDS
         if words & {"has", "with", "no", "without"}:  # a layout that says what stands beside it
             bad = COMMENT_WORDS
         against = [n for n in names if n & bad]
-        named = any(n <= bad | PLAIN_WORDS for n in against)  # a name that says so and nothing else
+        named = any(n <= bad | PLAIN_WORDS and not (inside and n & bad <= EITHER_WORDS) for n in against)  # a name that says so and nothing else
         named = named and (tag in BLOCK or bool(words & COMMENT_WORDS) or bool(words & {"ad", "ads", "advert"}))
         weak = bool(against) and tag in BLOCK
         return hidden or tag in FURNITURE_TAGS or a.get("role", "").lower() in FURNITURE_ROLES or named, False, -25 if weak else good, weak
