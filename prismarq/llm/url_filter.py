@@ -4,7 +4,8 @@ The cascade alternates filters: level 1 encodes the listed keys, level 2 the key
 of the universe that pass level 1 without being listed, level 3 the listed keys
 that pass level 2, and so on until a level lets nothing wrong through.  A key of
 the universe is then decided exactly by the number of the first level that
-rejects it, with no join at query time.  All of it is DataFrame expressions.
+rejects it, with no join at query time.  A list too long for one cascade becomes
+several, by a hash of the key.  All of it is DataFrame expressions.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path,
 fits no rule, and is listed nowhere; equal URLs get equal verdicts; an empty
@@ -19,7 +20,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +35,7 @@ RULES = (
 )
 #: Domains whose pages, and whose subdomains' pages, the query blocks where no rule fits.
 LISTED = ("spam-farm.example.org", "spam-farm.example.com", "spam-farm.example.net", "cheap-pills.example.org", "cheap-pills.example.com", "cheap-pills.example.net")
-#: A filter of more bits is refused: it travels with each task.
+#: A cascade whose first filter would have more bits is split by key into several: filters travel with each task.
 MAX_BITS = 1 << 27
 
 
@@ -63,8 +63,6 @@ def _build(keys: DataFrame, n: int, rate: float, salt: int) -> Level:
     """Encode the ``n`` rows of ``keys`` (column ``key``) with false-positive rate ``rate``."""
     per_key = math.log2(1 / rate)
     bits = max(64, 64 * math.ceil(1.4427 * per_key * n / 64))
-    if bits > MAX_BITS:
-        raise ValueError(f"a filter of {bits} bits exceeds MAX_BITS; list fewer keys")
     probes = max(1, round(per_key))
     words = [0] * (bits // 64)
     spread = keys.select(F.explode(_positions(F.col("key"), bits, probes, salt)).alias("p"))
@@ -75,7 +73,8 @@ def _build(keys: DataFrame, n: int, rate: float, salt: int) -> Level:
 
 
 def _passes(level: Level, key: Column) -> Column:
-    words = F.lit(np.array(level.words, dtype=np.int64))  # one literal, however long
+    # One string crosses to the JVM and becomes one literal there, however long.
+    words = F.split(F.lit(",".join(map(str, level.words))), ",").cast("array<bigint>")
     test = lambda p: F.call_function("shiftrightunsigned", F.get(words, (p / 64).cast("int")), (p % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
     return F.forall(_positions(key, level.bits, level.probes, level.salt), test)
 
@@ -92,7 +91,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.5, mos
     n, total = wanted.count(), universe.count()
     if n == 0:
         return []
-    levels = [_build(wanted, n, min(0.5, max(1e-9, n / (math.sqrt(2) * max(1, total - n)))), 1)]
+    levels = [_build(wanted, n, _first_rate(n, total), 1)]
     right, wrong = wanted, universe.join(wanted, "key", "left_anti")
     while len(levels) < most_levels:
         wrong = write_table(wrong.where(_passes(levels[-1], F.col("key"))))
@@ -104,6 +103,39 @@ def build_cascade(listed: DataFrame, universe: DataFrame, rate: float = 0.5, mos
     raise ValueError("the cascade did not end; raise most_levels")
 
 
+@dataclass(frozen=True)
+class Cascades:
+    """Cascades of keys that are told apart by hash; each decides the keys of its part."""
+
+    parts: list[list[Level]]
+
+
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(0), key), F.lit(parts))
+
+
+def build_cascades(listed: DataFrame, universe: DataFrame, rate: float = 0.5, most_bits: int = MAX_BITS) -> Cascades:
+    """As many cascades as keep each filter near ``most_bits``."""
+    listed, universe = write_table(listed.select("key").where("key is not null").distinct()), write_table(universe.where("key is not null").distinct())
+    n, total = listed.count(), universe.count()
+    first = 1.4427 * math.log2(1 / _first_rate(n, total)) * n
+    parts = max(1, math.ceil(first / most_bits))
+    return Cascades([build_cascade(listed.where(part_of(F.col("key"), parts) == i), universe.where(part_of(F.col("key"), parts) == i), rate) for i in range(parts)])
+
+
+def listed_in(cascades: Cascades, key: Column) -> Column:
+    """Whether ``key``, a key of the universe, is listed (false for null)."""
+    out = listed_by(cascades.parts[0], key)
+    for i, levels in enumerate(cascades.parts[1:], 1):
+        out = F.when(part_of(key, len(cascades.parts)) == i, listed_by(levels, key)).otherwise(out)
+    return out
+
+
+def _first_rate(n: int, total: int) -> float:
+    """Rate at which the first level's false positives are about as many as the listed keys."""
+    return min(0.5, max(1e-9, n / (math.sqrt(2) * max(1, total - n)))) if n else 0.5
+
+
 def listed_by(levels: Sequence[Level], key: Column) -> Column:
     """Whether ``key``, a key of the universe, is listed (false for null)."""
     if not levels:
@@ -146,10 +178,10 @@ def filter_urls(df: DataFrame, url: str = "url", rules: Sequence[tuple[str, str,
     host, path = url_parts(F.col(url))
     hosts = df.select(host.alias("host")).distinct()
     universe = hosts.select(F.explode(domains_of(F.col("host"), labels)).alias("key"))
-    levels = build_cascade(listed, universe)
+    cascades = build_cascades(listed, universe)
     (best,) = fresh(df, "best")
     out = df.withColumns({"host": host, "path": path})
-    blocked = F.exists(domains_of(F.col("host"), labels), lambda k: listed_by(levels, k))
+    blocked = F.exists(domains_of(F.col("host"), labels), lambda k: listed_in(cascades, k))
     out = out.withColumn(best, best_rule(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce(F.col(best)["verdict"], F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
     return out.withColumns({"rule": F.col(best)["rule"], "verdict": verdict}).drop(best)
