@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
-import shutil
 import sys
 from collections import Counter
 from collections.abc import Callable, Sequence
@@ -21,7 +19,7 @@ from prismarq.operators import verify as R
 from prismarq.operators.passes import write_artifact
 from prismarq.sources import images as I
 from prismarq.sources import npy
-from prismarq.sources.files import exists
+from prismarq.sources.files import delete, exists, link_or_copy, read_bytes
 from prismarq.sources.hub import FolderHub
 from prismarq.sources.models import plug_in
 from prismarq.sources.shared import reach_workers, write_table
@@ -95,13 +93,13 @@ def verify(spark: SparkSession, dataset: str, fix: bool = False) -> tuple[DataFr
             for pdf in parts:
                 done = []
                 for r in pdf.itertuples(index=False):
-                    path = os.path.join(dataset, r.image_id, C.ARTIFACTS[r.artifact])
+                    folder = f"{dataset.rstrip('/')}/{r.image_id}"
+                    path = f"{folder}/{C.ARTIFACTS[r.artifact]}"
                     if r.kind == "dtype":
-                        with open(path, "rb") as f:
-                            value = passes.decode_npy(f.read())
-                        write_artifact(os.path.dirname(path), r.artifact, value.astype(np.dtype(wanted[r.artifact])))
-                    elif os.path.exists(path):
-                        os.remove(path)
+                        value = passes.decode_npy(read_bytes(path))
+                        write_artifact(folder, r.artifact, value.astype(np.dtype(wanted[r.artifact])))
+                    else:
+                        delete(path)
                     done.append("converted" if r.kind == "dtype" else "deleted")
                 yield pdf.assign(done=done)[["done"]]
 
@@ -122,7 +120,7 @@ def migrate(spark: SparkSession, jsonl: str, derived: str, output: str, dry_run:
     new = importer.new_records(records, have)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy").load(derived).select("path")
     rel = I.relative(F.col("path"), derived)
-    files = files.select(F.split_part(rel, F.lit("/"), F.lit(1)).alias("modality"), F.regexp_replace(F.regexp_replace(rel, "^[^/]*/", ""), r"\.npy$", "").alias("image_id"), F.regexp_replace("path", "^file:(//)?(?=/)", "").alias("path"))
+    files = files.select(F.split_part(rel, F.lit("/"), F.lit(1)).alias("modality"), F.regexp_replace(F.regexp_replace(rel, "^[^/]*/", ""), r"\.npy$", "").alias("image_id"), "path")
     work = write_table(importer.attach_files(new, files))
     counts["new"] = work.count()
     if dry_run:
@@ -131,16 +129,9 @@ def migrate(spark: SparkSession, jsonl: str, derived: str, output: str, dry_run:
     def place(parts):
         for pdf in parts:
             for r in pdf.itertuples(index=False):
-                folder = os.path.join(output, r.image_id)
+                folder = f"{output.rstrip('/')}/{r.image_id}"
                 for artifact, path in dict(r.files).items():
-                    os.makedirs(folder, exist_ok=True)
-                    final = os.path.join(folder, C.ARTIFACTS[artifact])
-                    if not os.path.exists(final):
-                        try:
-                            os.link(path, final)
-                        except OSError:
-                            shutil.copy2(path, f"{final}.part")
-                            os.replace(f"{final}.part", final)
+                    link_or_copy(path, f"{folder}/{C.ARTIFACTS[artifact]}")
                 if r.caption:
                     write_artifact(folder, "caption", r.caption)
                 if r.t5_attention_mask is not None:
@@ -191,7 +182,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         if name in ("reconcile", "migrate"):
             p.add_argument("--dry-run", action="store_true")
     a = top.parse_args(argv)
-    if a.command == "verify" and not os.path.isdir(a.dataset):
+    if a.command == "verify" and not exists(a.dataset):
         print(f"{a.dataset} is no folder", file=sys.stderr)
         return 2
     spark = SparkSession.builder.appName("prismarq").getOrCreate()
@@ -227,7 +218,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     if a.command == "reconcile":
         print(json.dumps(P.reconcile(spark, FolderHub(a.hub), a.repo, a.license, a.attribution, a.dry_run), indent=2))
         return 0
-    if not os.path.exists(a.jsonl):
+    if not exists(a.jsonl):
         print(f"{a.jsonl} is missing", file=sys.stderr)
         return 1
     print(migrate(spark, a.jsonl, a.derived, a.output, a.dry_run))

@@ -216,6 +216,67 @@ class _Captions:
         return [str(len(calls))] * len(calls)
 
 
+# --- passes with numeric stand-in models ------------------------------------------------
+
+_SHADES = "k AS (SELECT s_suppkey AS id, s_nationkey AS v FROM supplier WHERE s_suppkey % 10 <> 0)"
+
+
+@query(f"""WITH {_SHADES}, r AS (SELECT id, v, unnest([
+  {{'a': 'caption', 'x': 'shade ' || v}}, {{'a': 't5_hidden', 'x': printf('%.2f', 1.0::DOUBLE * (length('shade ' || v)))}}, {{'a': 't5_mask', 'x': printf('%.2f', 1.0::DOUBLE * (length('shade ' || v)))}},
+  {{'a': 'dinov3_cls', 'x': printf('%.2f', 1.0::DOUBLE * (v))}}, {{'a': 'dinov3_patches', 'x': printf('%.2f', 1.0::DOUBLE * (v + 6))}},
+  {{'a': 'pose2', 'x': printf('%.2f', 1.0::DOUBLE * ((v + v + 1) / 2.0))}}, {{'a': 'seg2', 'x': printf('%.2f', 1.0::DOUBLE * (v % 3))}},
+  {{'a': 'matting', 'x': printf('%.2f', 1.0::DOUBLE * (v / 25.0))}}, {{'a': 'normal2', 'x': printf('%.2f', 1.0::DOUBLE * (CASE WHEN v % 3 = 0 THEN 0 ELSE 0.6 END))}},
+  {{'a': 'pointmap', 'x': printf('%.2f', 1.0::DOUBLE * (CASE WHEN v % 3 = 0 THEN 0 ELSE (v + 1) / 2.0 END))}}]) AS s FROM k)
+SELECT 'p' || id AS image_id, s.a AS artifact, s.x AS value FROM r""")
+def passes_artifacts(t):
+    """Passes of the second generation over pictures, and what they wrote: means of maps and vectors that follow from each picture's shade."""
+    root, output = _picture_files(t.supplier, "s_suppkey", "s_nationkey"), shared_folder(t.spark)
+    process_all(t.spark, root, output, ["caption", "t5", "dinov3", "pose2", "seg2", "matting", "normal2", "pointmap"], decode_rgb, {
+        "caption": lambda image, n: f"shade {_shade(image)}", "t5": lambda text: (np.full((3, 4), len(text)), np.arange(20) < len(text)), "dinov3": lambda image: np.arange(8)[:, None] + np.full((8, 4), _shade(image)),
+        "pose2": lambda image: (np.full((1, 308, 2), _shade(image)) + np.arange(2), np.ones((1, 308))), "seg2": lambda image: np.eye(3)[_shade(image) % 3][:, None, None] * np.ones((1, 6, 8)),
+        "matting": lambda image: np.full((4, 6, 8), _shade(image) / 25), "normal2": lambda image: (np.array([3.0, 0.0, 4.0])[:, None, None] * np.ones((1, 8, 8)) * (1 + _shade(image)), (1, 1, 2, 0)),
+        "pointmap": lambda image: (np.full((3, 8, 8), 1.0 + _shade(image)), 2.0, (0, 2, 1, 1)),
+    })
+
+    def read(parts):
+        for pdf in parts:
+            values = []
+            for artifact, path in zip(pdf["artifact"], pdf["path"], strict=True):
+                data = read_bytes(path)
+                if artifact == "caption":
+                    values.append(data.decode())
+                    continue
+                x = decode_npy(data).astype(np.float64)
+                mean = {"t5_mask": x.sum, "normal2": lambda x=x: x[..., 0].mean(), "pose2": lambda x=x: x[..., :2].mean()}.get(artifact, x.mean)()
+                values.append(f"{mean:.2f}")
+            yield pdf.assign(value=values)[["image_id", "artifact", "value"]]
+
+    return I.scan_artifacts(t.spark, output).where("artifact <> 'metadata'").mapInPandas(read, "image_id string, artifact string, value string")
+
+
+def _shade(image) -> int:
+    """What the red of a picture was made of."""
+    return int(image[0, 0, 0])
+
+
+@query("""SELECT l_orderkey, l_linenumber, sum_class AS classes, round(left_edge, 3) AS left_edge, round(middle, 3) AS middle FROM (
+  SELECT l_orderkey, l_linenumber, l_quantity AS q, CAST(4 * (CASE WHEN l_quantity % 2 = 1 THEN 1 ELSE 0 END) + 4 * 2 AS BIGINT) AS sum_class, l_quantity * 0.25 AS left_edge, l_quantity * 0.5 AS middle FROM lineitem WHERE l_linenumber = 1)""")
+def dense_ramps(t):
+    """Maps of varying pixels, resized to twice their width: two halves of classes, and a ramp between half-pixel centres."""
+
+    def run(parts):
+        for pdf in parts:
+            rows = []
+            for key, line, q in zip(pdf["l_orderkey"], pdf["l_linenumber"], pdf["l_quantity"], strict=True):
+                halves = np.zeros((3, 1, 4))
+                halves[int(q) % 2, :, :2] = halves[2, :, 2:] = 1.0
+                ramp = D.resize(np.array([[0.0, float(q)]]), 1, 4)
+                rows.append((key, line, int(D.class_map(halves, 1, 8).sum()), round(float(ramp[0, 1]), 3), round(float((ramp[0, 1] + ramp[0, 2]) / 2), 3)))
+            yield pd.DataFrame(rows, columns=["l_orderkey", "l_linenumber", "classes", "left_edge", "middle"])
+
+    return t.lineitem.where("l_linenumber = 1").select("l_orderkey", "l_linenumber", "l_quantity").mapInPandas(run, "l_orderkey bigint, l_linenumber int, classes bigint, left_edge double, middle double")
+
+
 def _nobody(image):
     return np.zeros(0), np.zeros(0), np.zeros((0, 4))
 

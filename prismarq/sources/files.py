@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -75,6 +76,23 @@ def copy(source: str, target: str, piece: int = 8 << 20) -> int:
     return total
 
 
+def link_or_copy(source: str, target: str) -> None:
+    """``target`` as another name of a file, where both lie on one disk, else as a copy; one that is there stays."""
+    if exists(target):
+        return
+    (origin, path), (system, bare) = locate(source), locate(target)
+    if isinstance(origin, fs.LocalFileSystem) and isinstance(system, fs.LocalFileSystem):
+        system.create_dir(bare.rpartition("/")[0], recursive=True)
+        try:
+            os.link(path, bare)
+            return
+        except FileExistsError:
+            return
+        except OSError:
+            pass
+    copy(source, target)
+
+
 def with_heads(files: DataFrame, most: int, out: str = "head", path: str = "path") -> DataFrame:
     """``files`` with the first ``most`` bytes of each file as ``out``; null where it cannot be read.
 
