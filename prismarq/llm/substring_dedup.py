@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prismarq.llm.common import Rolling, as_bytes, batches, fresh, give_back, mix64, small, write_table
+from prismarq.llm.common import Rolling, as_bytes, batches, corpus_seed, fresh, give_back, mix64, small, write_table
 
 LENGTH = 200
 GRAM = 50
@@ -71,8 +71,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """Runs of windows by anchor: owner, start, n (windows), off (anchor less start), lead, gram, context."""
+def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, seed: int = 0) -> dict[str, np.ndarray]:
+    """Runs of windows by anchor: owner, start, n (windows), off (anchor less start), lead, gram, context.
+
+    Grams and contexts are told apart by 64-bit hashes with a seed; who does not know it can't make two that collide.
+    """
     raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     ends = np.cumsum(sizes)
@@ -80,7 +83,7 @@ def find_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dic
     if len(raw) < length:
         return none
     # Eight bytes make a code: sums of codes of single bytes are too alike in texts of few letters.
-    rolling = Rolling(mix64(_eights(raw)))
+    rolling = Rolling(mix64(_eights(raw) ^ np.uint64(seed)))
     at = np.arange(len(raw) - gram + 1)
     hashes = rolling.slices(at, at + gram - 7)
     if len(raw) <= int(_POSITION):
@@ -148,13 +151,13 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf
 
 
-def _run_maker(splitters: list[np.ndarray]):
+def _run_maker(splitters: list[np.ndarray], seed: int):
     def make(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             texts, out = as_bytes(pdf["text"]), []
             docs = pdf["doc"].to_numpy()
             for i, j in batches(texts, _BUFFER):
-                r = find_runs(texts[i:j])
+                r = find_runs(texts[i:j], seed=seed)
                 doc = docs[i:j][r.pop("owner")] if len(r["start"]) else np.zeros(0, dtype=np.int64)
                 out.append(pd.DataFrame({"doc": doc, "bucket": buckets_of([r[x] for x in _ORDER], splitters), **r}))
             if out:
@@ -325,14 +328,14 @@ def _cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]
         yield pd.DataFrame(rows, columns=["kept_bytes", "removed"])
 
 
-def splitters_of(texts: DataFrame, n: int, buckets: int) -> list[np.ndarray]:
+def splitters_of(texts: DataFrame, n: int, buckets: int, seed: int) -> list[np.ndarray]:
     """``buckets - 1`` splitters (columns of _ORDER) of the suffixes at anchors, sampled from about SAMPLE_DOCS of ``n`` rows: they only balance the buckets."""
 
     def sample(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             t = as_bytes(pdf["text"])
             for i, j in batches(t, _BUFFER):
-                r = find_runs(t[i:j])
+                r = find_runs(t[i:j], seed=seed)
                 chance = mix64((r["owner"].astype(np.uint64) << np.uint64(32)) + r["start"].astype(np.uint64))
                 order = np.lexsort((chance, r["owner"]))  # not by gram: frequent grams must be sampled as often as they are
                 first = np.searchsorted(r["owner"][order], np.arange(j - i + 1))
@@ -358,7 +361,8 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     texts = texts.where(F.octet_length("text") >= LENGTH)
     n = texts.count()
     buckets = min(MOST_BUCKETS, max(64, n // ROWS_PER_BUCKET))
-    runs = texts.mapInPandas(_run_maker(splitters_of(texts, n, buckets)), _RUN)
+    seed = corpus_seed(texts, "doc")
+    runs = texts.mapInPandas(_run_maker(splitters_of(texts, n, buckets, seed), seed), _RUN)
     runs = runs.repartition(buckets, F.col("bucket"), F.when(F.col("bucket") < 0, F.col("doc")))
     judged = write_table(runs.sortWithinPartitions("bucket", *_ORDER, "doc", "start").mapInPandas(_judge, _JUDGED))
     # Grams that buckets handed over and that more than one bucket knows: at most two a bucket, and two a batch of rows.
