@@ -44,4 +44,4 @@ def query(sql: str | None = None):
     return register
 
 
-from prismarq.plans import catalog_queries, dataset_queries, detection_queries, file_queries, geometry_queries, manifest_queries, stream_queries, tensor_queries, text_queries  # noqa: E402, F401
+from prismarq.plans import catalog_queries, composed_queries, dataset_queries, detection_queries, file_queries, geometry_queries, manifest_queries, stream_queries, tensor_queries, text_queries  # noqa: E402, F401
