@@ -29,14 +29,14 @@ def lay_out(df: DataFrame, key: str, buckets: int, name: str | None = None) -> D
 def published_with_originals(published: DataFrame, originals: DataFrame, key: str = "image_id") -> DataFrame:
     """Every published row with its original, and what one side has alone, for two layouts of equal buckets.
 
-    ``where`` says ``both``, ``published`` or ``original``.  Columns of the originals that clash get the prefix ``original_``.
+    ``side`` says ``both``, ``published`` or ``original``.  Columns of the originals that clash get the prefix ``original_``.
     """
     clash = {c: f"original_{c}" for c in originals.columns if c in published.columns and c != key}
     other = originals.withColumnsRenamed(clash).withColumn("__there", F.lit(1))
     here = published.withColumn("__here", F.lit(1))
     rows = here.hint("merge").join(other, key, "full")
     side = F.when(F.col("__here").isNull(), "original").when(F.col("__there").isNull(), "published").otherwise("both")
-    return rows.withColumn("where", side).drop("__here", "__there")
+    return rows.withColumn("side", side).drop("__here", "__there")
 
 
 def drop_layout(spark: SparkSession, table: str) -> None:

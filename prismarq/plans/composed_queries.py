@@ -18,7 +18,7 @@ from prismarq.sources import images as I
 from prismarq.sources.shared import shared_folder
 
 
-@query("""SELECT p_partkey, CAST(84 AS BIGINT) AS cells, round(8 * (64 * a + 224) + 16 * (16 * a + 24) + 32 * (4 * a + 2), 4) AS cx, round(8 * (64 * 0.5 + 224) + 16 * (16 * 0.5 + 24) + 32 * (4 * 0.5 + 2), 4) AS cy,
+@query("""SELECT p_partkey, CAST(84 AS BIGINT) AS cells, round(8 * (64 * a + 224) + 16 * (16 * a + 24) + 32 * (4 * a + 2), 4) AS cx, round(8 * (64 * 0.5::DOUBLE + 224) + 16 * (16 * 0.5::DOUBLE + 24) + 32 * (4 * 0.5::DOUBLE + 2), 4) AS cy,
   round(exp(a) * (8 * 64 + 16 * 16 + 32 * 4), 4) AS w FROM (SELECT p_partkey, p_size / 50.0::DOUBLE AS a FROM part)""")
 def grid_decode(t):
     """Cells of three strides over a detector input of 64 pixels: sums of their decoded centres and widths."""

@@ -75,7 +75,7 @@ def publish_round_trip(t):
     return t.spark.createDataFrame(rows, "layer string, label string, n long, total_images long")
 
 
-@query("""SELECT coalesce(d.image_id, p.image_id) AS image_id, n_chars, lang, path, CASE WHEN d.image_id IS NULL THEN 'original' WHEN p.image_id IS NULL THEN 'published' ELSE 'both' END AS "where"
+@query("""SELECT coalesce(d.image_id, p.image_id) AS image_id, n_chars, lang, path, CASE WHEN d.image_id IS NULL THEN 'original' WHEN p.image_id IS NULL THEN 'published' ELSE 'both' END AS side
 FROM (SELECT 'img' || doc_id AS image_id, n_chars, lang FROM documents) d FULL JOIN (SELECT 'img' || page_id AS image_id, url AS path FROM pages) p ON d.image_id = p.image_id""")
 def published_with_originals(t):
     """Documents as published rows, pages as originals, each laid out by image once: joined without a shuffle."""

@@ -66,7 +66,7 @@ def test_layouts_meet_without_a_shuffle(spark):
     right = spark.range(500, 1500).select(F.concat(F.lit("img"), F.col("id")).alias("image_id"), F.col("id").alias("n"))
     n = colocated.buckets_for(1000)
     rows = colocated.published_with_originals(colocated.lay_out(left, "image_id", n), colocated.lay_out(right, "image_id", n))
-    found = {r["image_id"]: (r["n"], r["original_n"], r["where"]) for r in rows.collect()}
+    found = {r["image_id"]: (r["n"], r["original_n"], r["side"]) for r in rows.collect()}
     assert len(found) == 1500 and found["img3"] == (6, None, "published") and found["img700"] == (1400, 700, "both") and found["img1200"] == (None, 1200, "original")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "SortMergeJoin" in plan
