@@ -201,7 +201,7 @@ SELECT CAST(3 * count(*) FILTER (NOT bad) AS BIGINT) AS processed, CAST(count(*)
 def passes_observed(t):
     """Counters that the jobs of the passes observe as they run, with read-ahead and a model that takes eight images in a call."""
     root, output, counts = _picture_files(t.supplier, "s_suppkey", "s_nationkey"), shared_folder(t.spark), Counter()
-    process_all(t.spark, root, output, ["caption", "pixel", "depth", "pose2"], decode_rgb, {"caption": _Captions(), "pose2": PersonPose(_nobody, _whole_crop)}, counts=counts)
+    process_all(t.spark, root, output, ["caption", "matting", "depth", "pose2"], decode_rgb, {"caption": _Captions(), "matting": lambda image: np.zeros((4, 2, 2)), "pose2": PersonPose(_nobody, _whole_crop)}, counts=counts)
     captions = t.spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "caption.txt").text(output)
     batched = captions.agg((F.max(F.col("value").cast("int")) > 1).alias("batched"))
     return batched.select(*[F.lit(counts[o]).cast("long").alias(o) for o in ("processed", "error", "skipped_dependency")], "batched")
