@@ -1,11 +1,13 @@
 """Percentiles from sorted ranges, overlaps by tiles, and joins of layouts, against brute force."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from prismarq.operators import colocated, detection
 from prismarq.operators.selection import percentiles
+from prismarq.plans.detection_queries import _six
 
 
 @pytest.mark.parametrize("ranges", [None, 7])
@@ -61,6 +63,36 @@ def test_few_pairs_are_examined(spark):
         detection.overlaps(boxes, 0)
 
 
+def crowd(spark, n=600):
+    """One image of boxes, every third of them one of twenty places; two boxes share an id, one has none, two lack a side."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        x, y = (i % 20, 3) if i % 3 == 0 else (int(v) for v in rng.integers(0, 60, 2))
+        rows.append((1, 0, i, float(x), float(y), x + 20.0, y + (20.0 if i % 3 == 0 else float(rng.integers(10, 40)))))
+    rows += [(1, 0, 5, 1.0, 1.0, 9.0, 9.0), (1, 0, None, 1.0, 1.0, 9.0, 9.0), (None, 0, 7, 1.0, 1.0, 9.0, 9.0), (1, 0, n, None, 1.0, 9.0, 9.0), (1, 0, n + 1, None, 1.0, 9.0, 9.0)]
+    return rows, spark.createDataFrame(rows, "image_id int, cls int, box_id long, x1 double, y1 double, x2 double, y2 double").repartition(3)
+
+
+def test_pairs_of_one_crowded_image_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(detection, "COPIES", 4)
+    monkeypatch.setattr(detection, "SLICE", 64)
+    rows, boxes = crowd(spark)
+    got = detection.iou_pairs(boxes).withColumn("task", F.spark_partition_id()).collect()
+    own = [r for r in rows if r[0] == 1 and r[2] is not None]
+    want = sorted((*sorted((p[2], q[2])), -1.0 if None in (*p, *q) else round(iou(p[3:], q[3:]), 9)) for i, p in enumerate(own) for q in own[:i] if p[2] != q[2])
+    assert sorted((r["a"], r["b"], -1.0 if r["iou"] is None else round(r["iou"], 9)) for r in got) == want
+    assert len({r["task"] for r in got}) > 4
+
+
+def test_six_places(spark):
+    """Halves go up, as in DuckDB."""
+    values = [0.0, 1.0, 1 / 128, 3 / 128, 1 / 3, 2 / 3, 0.1234565, 0.9999995, 0.49999999999999994e-6, None]
+    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", _six(F.col("v")).alias("r")).orderBy("i").select("r").collect()]
+    con = duckdb.connect()
+    assert got == [con.execute("SELECT round(?::DOUBLE, 6)", [v]).fetchone()[0] for v in values]
+
+
 def test_layouts_meet_without_a_shuffle(spark):
     left = spark.range(1000).select(F.concat(F.lit("img"), F.col("id")).alias("image_id"), (F.col("id") * 2).alias("n"))
     right = spark.range(500, 1500).select(F.concat(F.lit("img"), F.col("id")).alias("image_id"), F.col("id").alias("n"))
