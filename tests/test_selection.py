@@ -85,6 +85,18 @@ def test_pairs_of_one_crowded_image_are_many_tasks(spark, monkeypatch):
     assert len({r["task"] for r in got}) > 4
 
 
+def test_overlaps_of_one_crowded_tile_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(detection, "COPIES", 4)
+    monkeypatch.setattr(detection, "SLICE", 64)
+    rows, _ = crowd(spark)
+    rows = [(i, c, k, x % 4, y % 4, x % 4 + 59 - k % 50, y % 4 + 59 - k % 10) for i, c, k, x, y, _, _ in rows if i == 1 and k is not None and x is not None]
+    boxes = spark.createDataFrame(rows, "image_id int, cls int, box_id long, x1 double, y1 double, x2 double, y2 double").repartition(3)
+    got = detection.overlaps(boxes, 0.6).withColumn("task", F.spark_partition_id()).collect()
+    want = sorted((*sorted((p[2], q[2])), iou(p[3:], q[3:])) for i, p in enumerate(rows) for q in rows[:i] if p[2] != q[2] and iou(p[3:], q[3:]) > 0.6)
+    assert sorted((r["a"], r["b"], r["iou"]) for r in got) == want and len(want) > 10_000
+    assert len({r["task"] for r in got}) > 4
+
+
 def test_six_places(spark):
     """Halves go up, as in DuckDB."""
     values = [0.0, 1.0, 1 / 128, 3 / 128, 1 / 3, 2 / 3, 0.1234565, 0.9999995, 0.49999999999999994e-6, None]
