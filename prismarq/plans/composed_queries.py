@@ -15,7 +15,7 @@ from prismarq.operators import positional as P
 from prismarq.operators.persons import PERSON_2, WholeBody, person_boxes_2
 from prismarq.plans.catalogue import query
 from prismarq.sources import images as I
-from prismarq.sources.shared import shared_folder
+from prismarq.sources.shared import shared_folder, spread
 
 
 @query("""SELECT p_partkey, CAST(84 AS BIGINT) AS cells, round(8 * (64 * a + 224) + 16 * (16 * a + 24) + 32 * (4 * a + 2), 4) AS cx, round(8 * (64 * 0.5::DOUBLE + 224) + 16 * (16 * 0.5::DOUBLE + 24) + 32 * (4 * 0.5::DOUBLE + 2), 4) AS cy,
@@ -82,7 +82,7 @@ def whole_body(t):
                 points, scores = backend(np.full((640, 640, 3), v, dtype=np.uint8))
                 yield pd.DataFrame({"s_suppkey": key, "point": np.arange(133), "x": points[:, 0].round(4), "y": points[:, 1].round(4), "score": scores.round(3)})
 
-    return t.supplier.select("s_suppkey", "s_nationkey").mapInPandas(run, "s_suppkey bigint, point bigint, x double, y double, score double")
+    return spread(t.supplier.select("s_suppkey", "s_nationkey"), 100, "s_suppkey").mapInPandas(run, "s_suppkey bigint, point bigint, x double, y double, score double")
 
 
 @query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_discount * 10 > 0.3::DOUBLE AS found FROM lineitem)

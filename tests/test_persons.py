@@ -97,6 +97,25 @@ def test_token_chart():
     assert charts.wrap("aa bb cc", 5) == "aa bb\ncc" and "norms" not in charts.token_chart(np.zeros(2), "x")
 
 
+def test_many_crops_in_one_call():
+    """Crops inside, across and outside the image, against a pixel-by-pixel computation."""
+    rng = np.random.default_rng(5)
+    image, size = rng.integers(0, 256, (9, 12, 3)).astype(np.uint8), (6, 8)
+    centres, scales = rng.uniform(-8, 18, (7, 2)), rng.uniform(2, 20, (7, 2))
+    matrices = dense.crop_matrix(centres, scales, size)
+    got = dense.warp(image, matrices, size)
+    assert got.shape == (7, 8, 6, 3) and dense.crop_input(image, centres, scales, size).shape == (7, 3, 8, 6)
+    at = lambda y, x: image[y, x].astype(float) if 0 <= y < 9 and 0 <= x < 12 else np.zeros(3)
+    for n, m in enumerate(matrices):
+        np.testing.assert_allclose(m, dense.crop_matrix(centres[n], scales[n], size))
+        for v in range(8):
+            for u in range(6):
+                x, y = m @ [u, v, 1]
+                i, j, fx, fy = int(np.floor(x)), int(np.floor(y)), x - np.floor(x), y - np.floor(y)
+                want = (1 - fy) * ((1 - fx) * at(j, i) + fx * at(j, i + 1)) + fy * ((1 - fx) * at(j + 1, i) + fx * at(j + 1, i + 1))
+                np.testing.assert_allclose(got[n, v, u], want, atol=1e-9)
+
+
 def test_overlays():
     image = np.full((4, 4, 3), 100, dtype=np.uint8)
     out = charts.class_overlay(image, np.array([[0, 1], [2, 9]], dtype=np.uint8), np.array([[0, 0, 0], [200, 0, 0], [0, 50, 0]]))

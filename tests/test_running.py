@@ -12,7 +12,7 @@ from prismarq.functions.tensor import decode_npy
 from prismarq.operators import passes
 from prismarq.operators.batching import Group, alone, batch_size, call_many
 from prismarq.operators.progress import Progress
-from prismarq.plans import commands
+from prismarq.plans import catalogue, commands
 from prismarq.sources import images
 from prismarq.sources.readahead import ahead
 from test_datasets import png, put
@@ -234,3 +234,19 @@ def test_clashing_ids_are_named(spark, tmp_path, capsys):
 @pytest.mark.parametrize(("path", "want"), [("file:///a/../b", "/b"), ("s3://bucket/x/./y/../z", "s3://bucket/x/z"), ("/a//b/", "/a/b")])
 def test_resolved(path, want):
     assert images.resolved(path) == want
+
+
+# --- tasks of work that lies in Python ---------------------------------------------------
+
+TABLES = {
+    "supplier": ["id AS s_suppkey", "CAST(id % 25 AS int) AS s_nationkey"],
+    "part": ["id AS p_partkey", "CAST(id % 50 + 1 AS int) AS p_size"],
+    "lineitem": ["id AS l_orderkey", "1 AS l_linenumber", "CAST(id % 50 AS double) AS l_quantity", "0.05D AS l_discount"],
+}
+SPREAD = [("whole_body", "supplier", 1000)]
+
+
+@pytest.mark.parametrize("name, table, rows", SPREAD)
+def test_rows_of_a_small_file_are_spread_over_tasks(spark, tmp_path, name, table, rows):
+    spark.range(rows).selectExpr(*TABLES[table]).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert catalogue.QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() == 10
