@@ -42,14 +42,15 @@ def crop_warp(t):
 
     def run(parts):
         for pdf in parts:
-            rows = []
-            for key, size in zip(pdf["p_partkey"], pdf["p_size"], strict=True):
-                centre, scale = np.array([32.0, 24.0]), np.array([size % 30 + 4.0, (size % 30 + 4.0) * 4 / 3])
+            for i in range(0, len(pdf), 256):
+                some = pdf[i : i + 256]
+                wide = some["p_size"].to_numpy() % 30 + 4.0
+                centre, scale = np.tile([32.0, 24.0], (len(some), 1)), np.column_stack([wide, wide * 4 / 3])
                 crop = D.warp(ramp, D.crop_matrix(centre, scale, (12, 16)), (12, 16))
-                rows.append((key, *(round(float(x), 4) for x in (crop[8, 6, 0], crop[4, 3, 0], D.crop_input(ramp, centre, scale, (12, 16))[0, 4, 3]))))
-            yield pd.DataFrame(rows, columns=["p_partkey", "middle", "quarter", "model"])
+                model = D.crop_input(ramp, centre, scale, (12, 16))[:, 0, 4, 3].astype(np.float64)
+                yield pd.DataFrame({"p_partkey": some["p_partkey"], "middle": crop[:, 8, 6, 0].round(4), "quarter": crop[:, 4, 3, 0].round(4), "model": model.round(4)})
 
-    out = t.part.select("p_partkey", "p_size").mapInPandas(run, "p_partkey bigint, middle double, quarter double, model double")
+    out = spread(t.part.select("p_partkey", "p_size"), 10_000, "p_partkey").mapInPandas(run, "p_partkey bigint, middle double, quarter double, model double")
     return out.withColumn("model", F.round("model", 4))
 
 
