@@ -20,7 +20,7 @@ from prismarq.sources import images as I
 from prismarq.sources import tar
 from prismarq.sources.decode import decode_bgr, decode_rgb
 from prismarq.sources.files import read_bytes, write_bytes
-from prismarq.sources.shared import shared_folder
+from prismarq.sources.shared import shared_folder, spread
 
 
 _ISSUES = """m AS (SELECT doc_id AS image_id, text IS NOT NULL AND doc_id % 50 <> 0 AS ok, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE [1024, 832, 768][1 + doc_id % 3] END AS w FROM documents),
@@ -135,7 +135,7 @@ def pixel_tensor(t):
                 rows.append((key, *x.shape, float(x.mean(dtype=np.float64))))
             yield pd.DataFrame(rows, columns=["p_partkey", "channels", "height", "width", "value"])
 
-    return t.part.select("p_partkey", "p_size").mapInPandas(run, "p_partkey bigint, channels int, height int, width int, value double").withColumn("value", F.round("value", 2))
+    return spread(t.part.select("p_partkey", "p_size"), 10_000, "p_partkey").mapInPandas(run, "p_partkey bigint, channels int, height int, width int, value double").withColumn("value", F.round("value", 2))
 
 
 def _png(image) -> bytes:
