@@ -92,15 +92,18 @@ def person_boxes(t):
     """Detections of the second generation: the person that is sure enough, one of two that overlap, or the whole image."""
 
     def run(parts):
+        image = np.zeros((20, 40, 3))
         for pdf in parts:
-            rows = []
-            for key, line, q, d in zip(pdf["l_orderkey"], pdf["l_linenumber"], pdf["l_quantity"], pdf["l_discount"], strict=True):
-                box = np.array([q, 0, 2 * q, 19], dtype=np.float64)
-                found = person_boxes_2(np.zeros((20, 40, 3)), lambda _, d=d, box=box: ([PERSON_2, PERSON_2, PERSON_2 + 1], [d * 10, d * 5, 1.0], np.stack([box, box, box + 1])))
-                rows.append((key, line, float(found[0, 0]), float(found[0, 2]), len(found)))
-            yield pd.DataFrame(rows, columns=["l_orderkey", "l_linenumber", "x1", "x2", "boxes"])
-
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount").mapInPandas(run, "l_orderkey bigint, l_linenumber int, x1 double, x2 double, boxes bigint")
+            found = np.empty((len(pdf), 3))
+            for i, (q, d) in enumerate(zip(pdf["l_quantity"].tolist(), pdf["l_discount"].tolist(), strict=True)):
+                box = [q, 0.0, 2 * q, 19.0]
+                near = [x + 1 for x in box]
+                boxes = person_boxes_2(image, lambda _, d=d, box=box, near=near: ([PERSON_2, PERSON_2, PERSON_2 + 1], [d * 10, d * 5, 1.0], [box, box, near]))
+                found[i] = boxes[0, 0], boxes[0, 2], len(boxes)
+            yield pdf[["l_orderkey", "l_linenumber"]].assign(x1=found[:, 0], x2=found[:, 1], boxes=found[:, 2].astype(np.int64))
+
+    rows = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount"), 50_000, "l_orderkey", "l_linenumber")
+    return rows.mapInPandas(run, "l_orderkey bigint, l_linenumber int, x1 double, x2 double, boxes bigint")
 
 
 @query("""WITH p AS (SELECT p_partkey, p_size AS s, p_size % 3 AS c FROM part)
