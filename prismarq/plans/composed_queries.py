@@ -121,7 +121,7 @@ def map_colours(t):
                 rows.append((key, int(over[1, 1, 0]), int(C.normal_colours(normal, 4, 4)[1, 1, 0])))
             yield pd.DataFrame(rows, columns=["p_partkey", "red", "normal_x"])
 
-    return t.part.select("p_partkey", "p_size").mapInPandas(run, "p_partkey bigint, red double, normal_x double")
+    return spread(t.part.select("p_partkey", "p_size"), 10_000, "p_partkey").mapInPandas(run, "p_partkey bigint, red double, normal_x double")
 
 
 @query("SELECT 'p' || s_suppkey AS image_id FROM supplier")
