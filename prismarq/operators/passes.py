@@ -35,6 +35,8 @@ DEFAULT_PASSES = ("caption", "dinov3", "t5", "pose", "seg", "depth", "normal")
 DEFAULT_PASSES_2 = ("caption", "dinov3", "t5", "seg2", "pose2", "matting", "normal2", "pointmap")
 OUTCOME = "image_id string, pass string, outcome string, message string"
 MAX_TOKENS = 500
+#: Images that a task works on.
+IMAGES_PER_TASK = 200
 
 
 def resolve_passes(text: str, default: Sequence[str] = DEFAULT_PASSES) -> list[str]:
@@ -240,6 +242,7 @@ def run_passes(
         sizes = [F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(o) for c, o in (("skipped", "skipped"), ("waiting", "skipped_dependency"))]
         plan = write_table(plan.observe(planned, *sizes, F.count_if(F.size("todo") > 0).alias("images")))
         work = images.join(plan.where(F.size("todo") > 0).select("image_id", "todo"), "image_id").select("image_id", "path", "aspect_bucket", "todo")
+        work = work.repartition(max(1, math.ceil(planned.get["images"] / IMAGES_PER_TASK)), "image_id")
         with Progress(spark, planned.get["images"], ", ".join(names), report, every) as seen:
             ran = work.mapInPandas(_runner(decode, backends, output, seen=seen), OUTCOME, profile=profile)
             ran = write_table(ran.observe(worked, *[F.count_if(F.col("outcome") == o).alias(o) for o in ("processed", "error")]))

@@ -22,7 +22,7 @@ from prismarq.sources import npy
 from prismarq.sources.files import delete, exists, link_or_copy, read_bytes
 from prismarq.sources.hub import FolderHub
 from prismarq.sources.models import plug_in
-from prismarq.sources.shared import reach_workers, write_table
+from prismarq.sources.shared import reach_workers, spread, write_table
 
 
 def process_all(
@@ -42,7 +42,7 @@ def process_all(
     once = write_table(found.groupBy("image_id").agg(F.min("path").alias("path"), F.max("path").alias("other")))
     for r in once.where("path <> other").toLocalIterator():
         print(f"warning: {r['other']} has the image id of {r['path']} and is left out", file=sys.stderr)
-    sized = write_table(I.with_size(once.select("path", "image_id")))
+    sized = write_table(I.with_size(spread(once.select("path", "image_id"), passes.IMAGES_PER_TASK, "image_id")))
     old = I.scan_metadata(spark, output) if exists(output) else I.scan_metadata(spark, root).where("false")
     meta = write_table(I.ensure_metadata(sized, old))
     unread = sized.join(meta, "image_id", "left_anti")
@@ -57,10 +57,11 @@ def process_all(
                 write_artifact(f"{output.rstrip('/')}/{r.image_id}", "metadata", json.dumps(r._asdict(), indent=2, ensure_ascii=False))
             yield pdf[["image_id"]]
 
-    meta.where("made").drop("made").mapInPandas(keep, "image_id string").count()
+    spread(meta.where("made").drop("made"), passes.IMAGES_PER_TASK, "image_id").mapInPandas(keep, "image_id string").count()
     work = sized.select("image_id", "path").join(meta.select("image_id", "aspect_bucket"), "image_id")
     errors = unread.select("image_id", F.lit("metadata").alias("pass"), F.lit("error").alias("outcome"), F.lit("unreadable image").alias("message"))
-    return passes.run_passes(work, lambda: I.scan_artifacts(spark, output), names, decode, backends, output, counts, gpus), errors
+    scan = lambda: I.artifacts_of(spread(meta.select("image_id"), passes.IMAGES_PER_TASK, "image_id"), output)
+    return passes.run_passes(work, scan, names, decode, backends, output, counts, gpus), errors
 
 
 def process(spark: SparkSession, root: str, output: str, names: Sequence[str], decode: Callable, backends: dict, shard: str | None = None, listing: str | None = None) -> DataFrame | None:

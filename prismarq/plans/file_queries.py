@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from prismarq.functions import dense as D
 from prismarq.functions.tensor import decode_npy, encode_npy, npy_header
 from prismarq.operators import verify as R
+from prismarq.operators.passes import IMAGES_PER_TASK
 from prismarq.operators.persons import PersonPose
 from prismarq.plans.catalogue import query
 from prismarq.plans.commands import process_all
@@ -158,7 +159,7 @@ def _picture_files(rows, key: str, value: str) -> str:
                 write_bytes(f"{folder}/p{k}.png", b"no picture" if k % 10 == 0 else _png(image))
             yield pdf[["k"]]
 
-    rows.select(F.col(key).cast("long").alias("k"), F.col(value).cast("long").alias("v")).mapInPandas(write, "k bigint").count()
+    spread(rows.select(F.col(key).cast("long").alias("k"), F.col(value).cast("long").alias("v")), 2000, "k").mapInPandas(write, "k bigint").count()
     return folder
 
 
@@ -201,12 +202,22 @@ SELECT CAST(3 * count(*) FILTER (NOT bad) AS BIGINT) AS processed, CAST(count(*)
 def passes_observed(t):
     """Counters that the jobs of the passes observe as they run, with read-ahead and a model that takes eight images in a call."""
     root, output, counts = _picture_files(t.supplier, "s_suppkey", "s_nationkey"), shared_folder(t.spark), Counter()
-    process_all(t.spark, root, output, ["caption", "matting", "depth", "pose2"], decode_rgb, {"caption": _Captions(), "matting": lambda image: np.zeros((4, 2, 2)), "pose2": PersonPose(_nobody, _whole_crop)}, counts=counts)
-    captions = t.spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "caption.txt").text(output)
-    batched = captions.agg((F.max(F.col("value").cast("int")) > 1).alias("batched"))
+    done, _ = process_all(t.spark, root, output, ["caption", "matting", "depth", "pose2"], decode_rgb, {"caption": _Captions(), "matting": lambda image: np.zeros((4, 2, 2)), "pose2": PersonPose(_nobody, _whole_crop)}, counts=counts)
+
+    def read(parts):
+        for pdf in parts:
+            yield pd.DataFrame({"value": [int(read_bytes(p)) for p in pdf["path"]]}, dtype="int64")
+
+    captions = _made(done, output).where("artifact = 'caption'").mapInPandas(read, "value long")
+    batched = captions.agg((F.max("value") > 1).alias("batched"))
     return batched.select(*[F.lit(counts[o]).cast("long").alias(o) for o in ("processed", "error", "skipped_dependency")], "batched")
 
 
+def _made(done, output: str):
+    """Artifacts of the images of OUTCOME rows."""
+    return I.artifacts_of(spread(done.select("image_id").distinct(), IMAGES_PER_TASK, "image_id"), output)
+
+
 class _Captions:
     """Captions that tell how many images their call had."""
 
@@ -231,7 +242,7 @@ SELECT 'p' || id AS image_id, s.a AS artifact, s.x AS value FROM r""")
 def passes_artifacts(t):
     """Passes of the second generation over pictures, and what they wrote: means of maps and vectors that follow from each picture's shade."""
     root, output = _picture_files(t.supplier, "s_suppkey", "s_nationkey"), shared_folder(t.spark)
-    process_all(t.spark, root, output, ["caption", "t5", "dinov3", "pose2", "seg2", "matting", "normal2", "pointmap"], decode_rgb, {
+    done, _ = process_all(t.spark, root, output, ["caption", "t5", "dinov3", "pose2", "seg2", "matting", "normal2", "pointmap"], decode_rgb, {
         "caption": lambda image, n: f"shade {_shade(image)}", "t5": lambda text: (np.full((3, 4), len(text)), np.arange(20) < len(text)), "dinov3": lambda image: np.arange(8)[:, None] + np.full((8, 4), _shade(image)),
         "pose2": lambda image: (np.full((1, 308, 2), _shade(image)) + np.arange(2), np.ones((1, 308))), "seg2": lambda image: np.eye(3)[_shade(image) % 3][:, None, None] * np.ones((1, 6, 8)),
         "matting": lambda image: np.full((4, 6, 8), _shade(image) / 25), "normal2": lambda image: (np.array([3.0, 0.0, 4.0])[:, None, None] * np.ones((1, 8, 8)) * (1 + _shade(image)), (1, 1, 2, 0)),
@@ -251,7 +262,7 @@ def passes_artifacts(t):
                 values.append(f"{mean:.2f}")
             yield pdf.assign(value=values)[["image_id", "artifact", "value"]]
 
-    return I.scan_artifacts(t.spark, output).where("artifact <> 'metadata'").mapInPandas(read, "image_id string, artifact string, value string")
+    return _made(done, output).where("artifact <> 'metadata'").mapInPandas(read, "image_id string, artifact string, value string")
 
 
 def _shade(image) -> int:

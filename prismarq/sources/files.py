@@ -56,6 +56,12 @@ def list_files(folder: str) -> dict[str, int]:
     return {i.path[len(bare.rstrip("/")) + 1 :]: i.size for i in sorted(found, key=lambda i: i.path) if i.type == fs.FileType.File}
 
 
+def files_in(folder: str) -> dict[str, int]:
+    """Bytes of the files that lie in ``folder`` itself, by name; nothing if there is no folder."""
+    system, bare = locate(folder)
+    return {i.base_name: i.size for i in system.get_file_info(fs.FileSelector(bare, allow_not_found=True)) if i.type == fs.FileType.File}
+
+
 def delete_folder(folder: str) -> None:
     """Delete a folder and what it holds, if it is there."""
     system, bare = locate(folder)

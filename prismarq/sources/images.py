@@ -7,6 +7,7 @@ import posixpath
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from prismarq.functions import text as X
 from prismarq.functions.geometry import nearest_bucket
 from prismarq.operators.catalog import ARTIFACTS
-from prismarq.sources.files import read_bytes, with_heads
+from prismarq.sources.files import files_in, read_bytes, with_heads
 
 METADATA = "image_id string, source_path string, width bigint, height bigint, aspect_bucket string"
 _BAD = "_bad string"
@@ -158,3 +159,16 @@ def scan_artifacts(spark: SparkSession, dataset: str) -> DataFrame:
     names = spark.createDataFrame([(f, a) for a, f in ARTIFACTS.items()], "file string, artifact string")
     rows = files.select(X.parent_dir(relative(F.col("path"), dataset)).alias("image_id"), F.regexp_extract("path", "[^/]*$", 0).alias("file"), "path", "length")
     return rows.join(F.broadcast(names), "file").select("image_id", "artifact", "path", "length")
+
+
+def artifacts_of(images: DataFrame, dataset: str) -> DataFrame:
+    """The same of ``images`` (image_id) alone: tasks list the folder of each image, so no driver lists the dataset and no task is made of a few small files."""
+    names = {f: a for a, f in ARTIFACTS.items()}
+
+    def found(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            folders = [(i, f"{dataset.rstrip('/')}/{i}") for i in pdf["image_id"]]
+            rows = [(i, names[f], f"{folder}/{f}", n) for i, folder in folders for f, n in files_in(folder).items() if f in names]
+            yield pd.DataFrame(rows, columns=["image_id", "artifact", "path", "length"])
+
+    return images.select("image_id").mapInPandas(found, "image_id string, artifact string, path string, length long")

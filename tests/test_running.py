@@ -250,3 +250,21 @@ SPREAD = [("whole_body", "supplier", 1000), ("crop_warp", "part", 100_000), ("pi
 def test_rows_of_a_small_file_are_spread_over_tasks(spark, tmp_path, name, table, rows):
     spark.range(rows).selectExpr(*TABLES[table]).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
     assert catalogue.QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() == 10
+
+
+def test_images_of_a_level_are_spread_over_tasks(spark, tmp_path, monkeypatch):
+    """Tasks list the folders of their own images, and find what a scan of the dataset finds."""
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(passes, "IMAGES_PER_TASK", 5, raising=False)
+    for i in range(20):
+        put(tmp_path / "in" / f"d{i % 2}" / f"p{i}.png", png(4, 5))
+    out = str(tmp_path / "out")
+    commands.process_all(spark, str(tmp_path / "in"), out, ["caption"], lambda data: np.zeros((5, 4, 3), dtype=np.uint8), {"caption": lambda image, n: str(TaskContext.get().partitionId())})
+    captions = [p.read_text() for p in (tmp_path / "out").rglob("caption.txt")]
+    assert len(captions) == 20 and len(set(captions)) > 2
+    put(tmp_path / "out" / "d0" / "p0" / "other.txt", b"x")
+    rows = lambda df: sorted((r["image_id"], r["artifact"], r["length"]) for r in df.collect())
+    wanted = images.scan_artifacts(spark, out)
+    assert rows(images.artifacts_of(wanted.select("image_id").distinct(), out)) == rows(wanted)
+    assert images.artifacts_of(spark.createDataFrame([("none",)], "image_id string"), out).count() == 0
