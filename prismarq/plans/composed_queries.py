@@ -31,7 +31,7 @@ def grid_decode(t):
                 rows.append((key, len(cells), *(round(float(x), 4) for x in cells[:, :3].sum(axis=0))))
             yield pd.DataFrame(rows, columns=["p_partkey", "cells", "cx", "cy", "w"])
 
-    return t.part.select("p_partkey", "p_size").mapInPandas(run, "p_partkey bigint, cells bigint, cx double, cy double, w double")
+    return spread(t.part.select("p_partkey", "p_size"), 10_000, "p_partkey").mapInPandas(run, "p_partkey bigint, cells bigint, cx double, cy double, w double")
 
 
 @query("""SELECT p_partkey, round(32.0::DOUBLE + 2 * 24.0::DOUBLE, 4) AS middle, round((32 - 3 * s / 12) + 2 * (24 - 4 * s / 12), 4) AS quarter, round(((32 - 3 * s / 12) + 2 * (24 - 4 * s / 12) - 123.675::DOUBLE) / 58.395::DOUBLE, 4) AS model

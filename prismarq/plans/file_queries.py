@@ -285,7 +285,7 @@ def dense_ramps(t):
                 rows.append((key, line, int(D.class_map(halves, 1, 8).sum()), round(float(ramp[0, 1]), 3), round(float((ramp[0, 1] + ramp[0, 2]) / 2), 3)))
             yield pd.DataFrame(rows, columns=["l_orderkey", "l_linenumber", "classes", "left_edge", "middle"])
 
-    return t.lineitem.where("l_linenumber = 1").select("l_orderkey", "l_linenumber", "l_quantity").mapInPandas(run, "l_orderkey bigint, l_linenumber int, classes bigint, left_edge double, middle double")
+    return spread(t.lineitem.where("l_linenumber = 1").select("l_orderkey", "l_linenumber", "l_quantity"), 50_000, "l_orderkey").mapInPandas(run, "l_orderkey bigint, l_linenumber int, classes bigint, left_edge double, middle double")
 
 
 def _nobody(image):

@@ -243,7 +243,7 @@ TABLES = {
     "part": ["id AS p_partkey", "CAST(id % 50 + 1 AS int) AS p_size"],
     "lineitem": ["id AS l_orderkey", "1 AS l_linenumber", "CAST(id % 50 AS double) AS l_quantity", "0.05D AS l_discount"],
 }
-SPREAD = [("whole_body", "supplier", 1000), ("crop_warp", "part", 100_000), ("pixel_tensor", "part", 100_000), ("person_boxes", "lineitem", 500_000), ("map_colours", "part", 100_000)]
+SPREAD = [("whole_body", "supplier", 1000), ("crop_warp", "part", 100_000), ("pixel_tensor", "part", 100_000), ("person_boxes", "lineitem", 500_000), ("map_colours", "part", 100_000), ("grid_decode", "part", 100_000), ("dense_ramps", "lineitem", 500_000)]
 
 
 @pytest.mark.parametrize("name, table, rows", SPREAD)
