@@ -22,9 +22,11 @@ File (integers little-endian; one file per partition, in ascending doc_id order)
     b"END1"  documents: u64  ids: u64
 
 Texts are split at spaces and newlines before the tokenizers library encodes
-them, each distinct word once while a worker lives; only for tokenizers that drop
-white space (``drops_spaces``) is that the encoding of the whole text, so others
-encode whole texts.  Files are written under a temporary name and renamed, and the
+them, each distinct word of some 24 MB of texts once, and not again while it is
+known; only for tokenizers that drop white space (``drops_spaces``) is that the
+encoding of the whole text, so others encode whole texts.  Words of letters share
+their ids whatever their case and the signs behind them, as far as the tokenizer's
+own normalizer and pre-tokenizer, asked about each letter, treat them so.  Files are written under a temporary name and renamed, and the
 same rows give the same file, so a task that is run again does no harm.
 
 Defined cases: null text is empty and gives the end id alone; null doc_ids come
@@ -45,6 +47,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +58,9 @@ BLOCK = 2048
 LANES = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 800_000
+#: Bytes of known words, beyond which only those of late stay; bytes of texts whose distinct words are looked up together.
+CACHED_BYTES = 32 << 20
+POOL = 24 << 20
 ROWS_PER_FILE = 6000
 
 #: Contexts that orders 1 and 2 remember, each, per block; as a power of two.
@@ -106,64 +112,68 @@ class CorruptFile(ValueError):
     """A token-id file is damaged."""
 
 
-class _Memory:
-    """One order of each lane: the id that followed each context, with a trust from 1 to 7 (0: nothing yet), and the weight of each trust."""
-
-    def __init__(self, lanes: int):
-        self.held = np.zeros(lanes * _SLOTS, dtype=np.int64)  # (number + 1) * 8 + trust
-        self.weights = np.full((lanes, 8), 1 << _WHOLE - 2, dtype=np.int64)
-        self.weights[:, 0] = 0
-        self.weights = self.weights.reshape(-1)
-
-    def recall(self, slot: np.ndarray, cells: np.ndarray) -> None:
-        self.slot = slot
-        self.entry = self.held.take(slot)
-        self.trust = self.entry & 7
-        self.cell = cells + self.trust
-        self.said = (self.entry >> 3) - 1
-        self.weight = self.weights.take(self.cell)
-
-    def learn(self, number: np.ndarray, fresh: np.ndarray) -> None:
-        right = self.said == number
-        self.weights[self.cell] = self.weight + ((right * _MOST - self.weight) >> _RATE)
-        other = np.where(self.trust > 2, self.entry - 2, fresh)
-        self.held[self.slot] = np.where(right, self.entry + (self.trust < 7), other)
-
-
 class _Mixer:
-    """The predictions of each lane for its next id."""
+    """The predictions of each lane for its next id: rows of order 1 and order 2.
 
-    def __init__(self, lanes: int):
-        self.one, self.two = _Memory(lanes), _Memory(lanes)
-        self.base, self.cells = np.arange(lanes) * _SLOTS, np.arange(lanes) * 8
-        self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
+    A context holds the id that followed it, as a code (number + 1), with a trust from 1 to 7
+    (0: nothing yet); each order and trust has a weight.  Few calls on many lanes matter most,
+    as a call costs as much as a thousand lanes.
+    """
+
+    def __init__(self, lanes: int, ids: int):
+        kind = np.int32 if ids < 1 << 27 else np.int64
+        self.held = np.zeros(2 * lanes * _SLOTS, dtype=kind)  # code * 8 + trust
+        weights = np.full((2 * lanes, 8), 1 << _WHOLE - 2, dtype=np.int32)
+        weights[:, 0] = 0
+        self.weights = weights.reshape(-1)
+        self.base, self.cells = np.arange(2 * lanes).reshape(2, lanes) * _SLOTS, np.arange(2 * lanes).reshape(2, lanes) * 8
+        self.last, self.before = np.zeros(lanes, dtype=kind), np.zeros(lanes, dtype=kind)
 
     def start(self, k: int) -> None:
         """Mix the predictions for the next id of the first ``k`` lanes: order 2 has the weights below ``a``, order 1 those from there below ``b``."""
-        base, cells = self.base[:k], self.cells[:k]
-        near = self.last[:k] * 40_503
-        self.one.recall(base + ((near >> 3) & (_SLOTS - 1)), cells)
-        self.two.recall(base + (((near ^ self.before[:k] * 51_787) >> 2) & (_SLOTS - 1)), cells)
-        self.a = self.two.weight
-        rest = (1 << _WHOLE) - self.a
-        self.b = self.a + ((rest * self.one.weight) >> _WHOLE) * (self.one.said != self.two.said)
-
-    def learn(self, number: np.ndarray) -> None:
-        k = len(number)
-        fresh = (number + 1) * 8 + 1
-        self.one.learn(number, fresh)
-        self.two.learn(number, fresh)
+        near = self.last[:k] * 40_503  # may wrap, but the bits in use stay
+        far = self.before[:k] * 51_787
+        far ^= near
+        near >>= 3
+        far >>= 2
+        slot = np.empty((2, k), dtype=np.int64)
+        slot[0], slot[1] = near, far
+        slot &= _SLOTS - 1
+        slot += self.base[:, :k]
+        self.slot, self.entry = slot, self.held.take(slot)
+        self.trust = self.entry & 7
+        self.cell = self.cells[:, :k] + self.trust
+        self.said = self.entry >> 3
+        self.weight = self.weights.take(self.cell)
+        self.a = self.weight[1]
+        rest = ((1 << _WHOLE) - self.a).view(np.uint32)
+        rest *= self.weight[0].view(np.uint32)
+        rest >>= _WHOLE
+        self.b = rest.view(np.int32)
+        self.b *= self.said[0] != self.said[1]
+        self.b += self.a
+
+    def learn(self, code: np.ndarray) -> None:
+        k = len(code)
+        right = self.said == code
+        weight = right * np.int32(_MOST)
+        weight -= self.weight
+        weight >>= _RATE
+        weight += self.weight
+        self.weights[self.cell] = weight
+        entry = np.where(self.trust > 2, self.entry - 2, (code << 3) | 1)
+        np.copyto(entry, self.entry + (self.trust < 7), where=right)
+        self.held[self.slot] = entry
         self.before[:k] = self.last[:k]
-        self.last[:k] = number
+        np.subtract(code, 1, out=self.last[:k])
 
 
 def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
     """Lanes whose top word is settled, or whose range must be cut at a carry (which cuts it)."""
-    settled = (low ^ (low + width)) < (1 << _TOP)
-    go = settled | (width < (1 << _LEAST))
-    if not go.any():
-        return np.zeros(0, dtype=np.int64)
-    go = np.flatnonzero(go)
+    top = low + width
+    top ^= low
+    settled = top < (1 << _TOP)
+    go = np.flatnonzero(settled | (width < (1 << _LEAST)))
     cut = go[~settled[go]]
     if len(cut):
         width[cut] = -low[cut] & ((1 << _LEAST) - 1)
@@ -182,45 +192,54 @@ def encode_blocks(blocks: list[np.ndarray], table: Frequencies) -> list[bytes]:
     """Bytes of each block of ids that ``table`` knows; blocks are coded side by side."""
     order, active = _longest_first([len(b) for b in blocks])
     n, longest = len(blocks), len(active)
-    numbers = np.zeros((longest, n), dtype=np.int64)
+    mixer = _Mixer(n, len(table.ids))
+    codes = np.zeros((longest, n), dtype=mixer.last.dtype)
+    direct = np.zeros(0, dtype=codes.dtype)
+    if len(table.ids) and table.ids[-1] < 1 << 20:  # a vocabulary's ids
+        direct = np.zeros(int(table.ids[-1]) + 1, dtype=codes.dtype)
+        direct[table.ids] = np.arange(1, len(table.ids) + 1)
     for x, i in enumerate(order):
-        numbers[: len(blocks[i]), x] = np.searchsorted(table.ids, blocks[i])
-    counts, below, mixer = table.counts, table.below, _Mixer(n)
+        codes[: len(blocks[i]), x] = direct.take(blocks[i]) if len(direct) else np.searchsorted(table.ids, blocks[i]) + 1
+    counts, below = np.append(0, table.counts), np.append(0, table.below)
     low, width = np.zeros(n, dtype=np.int64), np.full(n, _MASK, dtype=np.int64)
-    out, used = np.zeros((n, longest * 3 + 8), dtype=np.uint16), np.zeros(n, dtype=np.int64)
-    for step in range(longest):
-        k = int(active[step])
-        number = numbers[step, :k]
+    room = longest * 3 + 8
+    out, first = np.zeros(n * room, dtype=np.uint16), np.arange(n, dtype=np.int64) * room
+    used = first.copy()
+    for step, k in enumerate(active.tolist()):
+        code = codes[step, :k]
         mixer.start(k)
         a, b = mixer.a, mixer.b
-        two = (mixer.two.said == number) & (a > 0)
-        one = (mixer.one.said == number) & (b > a)
+        one, two = mixer.said == code
+        two &= a > 0
+        one &= b > a
         neither = ~(one | two)
         begin = np.where(neither, b, np.where(two, 0, a))
-        size = np.where(neither, (1 << _WHOLE) - b, np.where(two, a, b - a))
+        size = np.where(neither, 1 << _WHOLE, np.where(two, a, b)) - begin
         lo, wi = low[:k], width[:k]
         part = wi >> _WHOLE
         lo += part * begin
         part *= size
         inner = part >> table.bits
-        lo += inner * below.take(number) * neither
-        wi[...] = np.where(neither, inner * counts.take(number), part)
+        lo += inner * below.take(code) * neither
+        inner *= counts.take(code)
+        np.copyto(part, inner, where=neither)
+        wi[...] = part
         lo &= _MASK
         go = _unsettled(lo, wi)
         while len(go):
-            some = lo[go]
-            out[go, used[go]] = some >> _TOP
-            used[go] += 1
+            some, at = lo.take(go), used.take(go)
+            out[at] = some >> _TOP
+            used[go] = at + 1
             some = some << 16 & _MASK
-            wide = wi[go] << 16
+            wide = wi.take(go) << 16
             lo[go] = some
             again = _unsettled(some, wide)
             wi[go] = wide
             go = go[again]
-        mixer.learn(number)
+        mixer.learn(code)
     result: list[bytes] = [b""] * n
     for x, i in enumerate(order):
-        result[i] = out[x, : used[x]].astype(">u2").tobytes() + (int(low[x]) << 4).to_bytes(8, "big")
+        result[i] = out[first[x] : used[x]].astype(">u2").tobytes() + (int(low[x]) << 4).to_bytes(8, "big")
     return result
 
 
@@ -228,52 +247,61 @@ def decode_blocks(coded: list[bytes], sizes: list[int], table: Frequencies) -> l
     """Ids of each block, given its bytes and number of ids."""
     order, active = _longest_first(sizes)
     n, longest = len(coded), len(active)
-    data = np.zeros((n, max((len(c) for c in coded), default=0) // 2 + 8), dtype=np.int64)
+    data = np.zeros((n, max((len(c) for c in coded), default=0) // 2 + 8), dtype=np.uint16)
     for x, i in enumerate(order):
         words = np.frombuffer(coded[i], dtype=">u2")
         data[x, : len(words)] = words
-    counts, below, mixer = table.counts, table.below, _Mixer(n)
-    place = np.repeat(np.arange(len(counts), dtype=np.int64), counts)
+    mixer = _Mixer(n, len(table.ids))
+    counts, below = np.append(0, table.counts), np.append(0, table.below)
+    place = np.repeat(np.arange(1, len(table.counts) + 1, dtype=mixer.last.dtype), table.counts)
     low, width = np.zeros(n, dtype=np.int64), np.full(n, _MASK, dtype=np.int64)
     # The state has 60 bits, three words and twelve bits of a fourth: the rest of that one is kept for the next shift.
-    code = data[:, 0] << 44 | data[:, 1] << 28 | data[:, 2] << 12 | data[:, 3] >> 4
-    used = np.full(n, 3, dtype=np.int64)
-    numbers = np.zeros((longest, n), dtype=np.int64)
-    for step in range(longest):
-        k = int(active[step])
+    head = data[:, :4].astype(np.int64)
+    code = head[:, 0] << 44 | head[:, 1] << 28 | head[:, 2] << 12 | head[:, 3] >> 4
+    room = data.shape[1]
+    used = np.arange(n, dtype=np.int64) * room + 3
+    data = data.reshape(-1)
+    data = np.append((data[:-1] & 15) << 12 | data[1:] >> 4, np.uint16(0))
+    codes = np.zeros((longest, n), dtype=mixer.last.dtype)
+    for step, k in enumerate(active.tolist()):
         mixer.start(k)
         a, b = mixer.a, mixer.b
         lo, wi, co = low[:k], width[:k], code[:k]
         part = wi >> _WHOLE
-        target = np.minimum(((co - lo) & _MASK) // np.maximum(part, 1), (1 << _WHOLE) - 1)
-        neither, two = target >= b, target < a
+        above = co - lo
+        above &= _MASK
+        neither, two = above >= part * b, above < part * a
         begin = np.where(neither, b, np.where(two, 0, a))
-        size = np.where(neither, (1 << _WHOLE) - b, np.where(two, a, b - a))
-        lo += part * begin
+        size = np.where(neither, 1 << _WHOLE, np.where(two, a, b)) - begin
+        begin = part * begin
+        lo += begin
+        above -= begin
         part *= size
         inner = part >> table.bits
-        deep = np.minimum(((co - lo) & _MASK) // np.maximum(inner, 1), (1 << table.bits) - 1)
-        number = np.where(neither, place.take(deep), np.where(two, mixer.two.said, mixer.one.said))
+        deep = np.minimum(above // np.maximum(inner, 1), (1 << table.bits) - 1)
+        number = np.where(neither, place.take(deep), np.where(two, mixer.said[1], mixer.said[0]))
         lo += inner * below.take(number) * neither
-        wi[...] = np.where(neither, inner * counts.take(number), part)
+        inner *= counts.take(number)
+        np.copyto(part, inner, where=neither)
+        wi[...] = part
         lo &= _MASK
         go = _unsettled(lo, wi)
         while len(go):
-            at = used[go]
+            at = used.take(go)
             used[go] = at + 1
-            next_ = (data[go, at] & 15) << 12 | data[go, at + 1] >> 4
-            co[go] = (co[go] << 16 & _MASK) | next_
-            some = lo[go] << 16 & _MASK
-            wide = wi[go] << 16
+            co[go] = (co.take(go) << 16 & _MASK) | data.take(at)
+            some = lo.take(go) << 16 & _MASK
+            wide = wi.take(go) << 16
             lo[go] = some
             again = _unsettled(some, wide)
             wi[go] = wide
             go = go[again]
         mixer.learn(number)
-        numbers[step, :k] = number
+        codes[step, :k] = number
     result: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * n
+    ids = np.append(0, table.ids).astype(np.uint32)
     for x, i in enumerate(order):
-        result[i] = table.ids[numbers[: sizes[i], x]].astype(np.uint32)
+        result[i] = ids.take(codes[: sizes[i], x])
     return result
 
 
@@ -357,8 +385,52 @@ def drops_spaces(tokenizer) -> bool:
     return all(cut(f"{a}{gap}{b}") == cut(a) + cut(b) for a in ("", *_KINDS) for b in ("", *_KINDS) for gap in (" ", "  "))
 
 
+#: Letters that may be told by their code points: none of them composes with the letter before it.
+_LETTERS = ((0x41, 0x1100), (0x1200, 0x2000), (0x3040, 0xA000), (0xAC00, 0xD7A4))
+#: Characters that may end a word of letters without a say in its other ids.
+_TAILS = ".,;:!?*$%&#"
+
+
+def _made_of(chars: list[str]) -> str:
+    """A regular expression of one or more of ``chars``, which ascend."""
+    points = np.array([ord(c) for c in chars])
+    first = np.flatnonzero(np.diff(points, prepend=-1) != 1)
+    last = np.append(first[1:], len(points)) - 1
+    return "^[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(points[first].tolist(), points[last].tolist(), strict=True)) + "]+$"
+
+
+def _pick(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the items ``which``, one item after the other, and the number of each."""
+    n = sizes.take(which)
+    ends = np.cumsum(n)
+    at = np.repeat(starts.take(which) - ends + n, n)
+    at += np.arange(len(at))
+    return values.take(at), n
+
+
+def _text_bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts without nulls, and the place where each begins and the last ends."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=np.int32)
+    return np.frombuffer(data or b"", dtype=np.uint8)[at[0] : at[-1]], (at - at[0]).astype(np.int64)
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.StringArray:
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def _split(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The words between spaces and newlines, some of them empty, and the place of the last of each text."""
+    data, offsets = _text_bytes(texts)
+    gaps = (data == 32) | (data == 10)
+    at = np.flatnonzero(gaps)
+    before = np.searchsorted(at, offsets[1:])
+    stops = np.insert(at - np.arange(len(at)), before, offsets[1:] - before)
+    return _strings(data[~gaps], np.append(0, stops)), before + np.arange(len(before))
+
+
 class WordEncoder:
-    """Ids of whole texts, by way of their words where the vocabulary allows it."""
+    """Ids of whole texts, by way of their distinct words where the vocabulary allows it."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -366,78 +438,141 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.splits = drops_spaces(self.tokenizer)
-        #: Known words: those of late, and those of the time before, as both kinds come back.
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        parts = json.loads(self.tokenizer.to_str())
+        suffix = parts["model"].get("end_of_word_suffix")
         #: Ids that end a piece, where the vocabulary marks them.
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool) if suffix and self.splits else None
-        self.tails: dict[str, bytes] = {}
+        #: Expressions for words of letters, and of those that the normalizer leaves as they are; what encodes the latter.
+        self.letters = self.still = self.bare = None
+        self.tails: dict[str, bool] = {}
         if self.ends is not None:
             for token, i in self.tokenizer.get_vocab().items():
                 self.ends[i] = token.endswith(suffix)
-            cut = lambda text: [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-            kinds = {n["type"] for n in _steps(json.loads(self.tokenizer.to_str())["normalizer"], "normalizers")}
-            tails = [t for t in ".,;:!?" if kinds <= {"NFC", "Lowercase", "Replace"} and all(cut(x + t) == cut(x) + cut(t) for x in "aéσ漢")]
-            self.tails = dict(zip(tails, self._encode(tails), strict=True))
+            if {n["type"] for n in _steps(parts["normalizer"], "normalizers")} <= {"NFC", "Lowercase", "Replace"}:
+                self._tell_letters(parts)
+        #: Known words, where the ids of each begin, their number, and all ids.
+        self.words = pa.array([""], pa.string())
+        self.starts, self.sizes, self.ids = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
+
+    def _cut(self, text: str) -> list[str]:
+        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _tell_letters(self, parts: dict) -> None:
+        """Ask the normalizer and the pre-tokenizer which letters stay letters and join others."""
+        from tokenizers import Tokenizer
 
-    def _encode_plain(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters: many in one text, cut where pieces end, if each word is one piece."""
-        out: list[bytes] = []
+        chars = [c for a, b in _LETTERS for c in map(chr, range(a, b)) if c.isalpha()]
+        normal = self.tokenizer.normalizer.normalize_str(" ".join(chars)).split(" ") if self.tokenizer.normalizer else chars
+        joins = len(self._cut(" ".join(f"a{n}a" for n in normal))) == len(chars)
+        still = [c for c, n in zip(chars, normal, strict=True) if n == c and (joins or len(self._cut(f"a{c}a")) == 1)]
+        if not still or any(n != c.lower() for c, n in zip(chars, normal, strict=True) if c.isascii()):
+            return
+        kept = set(still)
+        self.letters, self.still = _made_of([c for c, n in zip(chars, normal, strict=True) if n in kept]), _made_of(still)
+        # Words of still letters need no normalizer, and only the last step of the pre-tokenizer, which writes bytes as letters.
+        last = _steps(parts["pre_tokenizer"], "pretokenizers")[-1]
+        if last["type"] == "ByteLevel" and not last["use_regex"] and not last["add_prefix_space"]:
+            spaces = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+            steps = {"type": "Sequence", "pretokenizers": [spaces, last]}
+            self.bare = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "added_tokens": [], "pre_tokenizer": steps}))
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``texts``, one after the other, and the number of each."""
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in each for i in x], dtype="<u4"), np.array([len(x) for x in each], dtype=np.int64)
+
+    def _encode_joined(self, words: pa.StringArray, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters: many in one text, cut where pieces end, if each word is one piece."""
+        out = []
         for i in range(0, len(words), 2000):
-            some = words[i : i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            some = words.slice(i, 2000)
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), " ")[0].as_py()
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(some) or stops[-1] != len(ids):  # each word ends a piece at least: some have more
-                out += self._encode(some)
-                continue
-            data, at = ids.tobytes(), 0
-            for stop in (4 * stops).tolist():
-                out.append(data[at:stop])
-                at = stop
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        """Make ``words`` known."""
-        if len(self.known) > CACHED_WORDS // 2:
-            self.known, self.older = {"": b""}, self.known
-        known = self.known
-        fresh = []
-        for w in words:
-            ids = self.older.get(w)
-            if ids is None:
-                fresh.append(w)
-            else:
-                known[w] = ids
-        if self.ends is None:
-            known.update(zip(fresh, self._encode(fresh), strict=True))
-            return
-        plain = [w for w in fresh if w.isalpha()]
-        other = [w for w in fresh if not w.isalpha()]
-        # A letter may become letter and mark in lower case, and marks stay with what follows.
-        tailed = [w for w in other if w[-1] in self.tails and w[:-1].isalpha() and (w.isascii() or w[:-1].lower().isalpha())]
-        cores = list({w[:-1] for w in tailed}.difference(known).difference(plain))
-        plain += cores
-        known.update(zip(plain, self._encode_plain(plain), strict=True))
-        for w in tailed:
-            known[w] = known[w[:-1]] + self.tails[w[-1]]
-        rest = [w for w in other if w not in known]
-        known.update(zip(rest, self._encode(rest), strict=True))
+            if len(stops) == len(some) and stops[-1] == len(ids):
+                out.append((ids, np.diff(stops, prepend=0)))
+            else:  # each word ends a piece at least: some have more
+                out.append(self._encode(some.to_pylist()))
+        return np.concatenate([np.zeros(0, dtype="<u4"), *(x for x, _ in out)]), np.concatenate([np.zeros(0, dtype=np.int64), *(n for _, n in out)])
+
+    def _encode_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any words."""
+        kind = np.zeros(len(words), dtype=np.int8)
+        if self.ends is not None:
+            kind[pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)] = 1
+        if self.bare is not None:
+            kind[pc.match_substring_regex(words, self.still).to_numpy(zero_copy_only=False)] = 2
+        of = [words.filter(pa.array(kind == k)) for k in range(3)]
+        coded = [self._encode(of[0].to_pylist()), self._encode_joined(of[1], self.tokenizer), self._encode_joined(of[2], self.bare)]
+        ids, sizes = (np.concatenate(x) for x in zip(*coded, strict=True))
+        place = np.argsort(np.argsort(kind, kind="stable"), kind="stable")
+        return _pick(ids, np.cumsum(sizes) - sizes, sizes, place)
+
+    def _know(self, words: pa.StringArray) -> np.ndarray:
+        """The places of distinct ``words`` among the known, which they join."""
+        found = pc.index_in(words, value_set=self.words)
+        new = found.is_null().to_numpy(zero_copy_only=False)
+        place = found.fill_null(0).to_numpy().astype(np.int64)
+        if self.words.nbytes + self.ids.nbytes > CACHED_BYTES:  # those of late stay
+            kept = place[~new]
+            self.words = self.words.take(pa.array(kept))
+            self.ids, self.sizes = _pick(self.ids, self.starts, self.sizes, kept)
+            place[~new] = np.arange(len(kept))
+        if new.any():
+            fresh = words.filter(pa.array(new))
+            ids, sizes = self._encode_words(fresh)
+            place[new] = len(self.words) + np.arange(len(fresh))
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        return place
+
+    def _may_follow(self, tail: str) -> bool:
+        """Whether ``tail`` is cut from letters before it."""
+        if tail not in self.tails:
+            self.tails[tail] = len(tail) < 16 and all(self._cut(x + tail) == self._cut(x) + self._cut(tail) for x in "aéσ漢")
+        return self.tails[tail]
+
+    def _ids_of(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct ``words``, one after the other, and the number of each."""
+        if self.letters is None:
+            return _pick(self.ids, self.starts, self.sizes, self._know(words)) if len(words) else (self.ids[:0], self.sizes[:0])
+        cores = pc.ascii_rtrim(words, characters=_TAILS)
+        plain = pc.match_substring_regex(cores, self.letters).to_numpy(zero_copy_only=False)
+        data, offsets = _text_bytes(words)
+        size = np.diff(offsets) - np.diff(_text_bytes(cores)[1])
+        size[~plain] = 0
+        tails = _strings(_pick(data, offsets[1:] - size, size, np.arange(len(size)))[0], np.append(0, np.cumsum(size))).dictionary_encode()
+        follows = np.array([self._may_follow(t) for t in tails.dictionary.to_pylist()], dtype=bool)
+        which = tails.indices.to_numpy()
+        plain &= follows[which]
+        keys = pc.if_else(pa.array(plain), pc.ascii_lower(cores), words).dictionary_encode()
+        ends, end_sizes = self._encode([t if f else "" for t, f in zip(tails.dictionary.to_pylist(), follows, strict=True)])
+        core = self._know(keys.dictionary)[keys.indices.to_numpy()]
+        ids, sizes = np.concatenate([self.ids, ends]), np.concatenate([self.sizes, end_sizes])
+        both = np.stack([core, len(self.sizes) + which], axis=1).reshape(-1)
+        got, n = _pick(ids, np.cumsum(sizes) - sizes, sizes, both)
+        return got, n.reshape(-1, 2).sum(axis=1)
+
+    def flat(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``texts``, each with ``end_id`` behind it, one after the other, and the number of each."""
+        texts = texts.fill_null("")
+        if not len(texts):
+            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        if not self.splits:
+            ids, sizes = self._encode(texts.to_pylist())
+            return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
+        words, last = _split(texts)
+        coded = words.dictionary_encode()
+        ids, sizes = self._ids_of(coded.dictionary)
+        which = np.insert(coded.indices.to_numpy(), last + 1, len(sizes))
+        ids, sizes = np.append(ids, np.array(end_id, dtype="<u4")), np.append(sizes, 1)
+        got, n = _pick(ids, np.cumsum(sizes) - sizes, sizes, which)
+        return got, np.diff(np.cumsum(n)[last + 1 + np.arange(len(last))], prepend=0)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.splits:
-            return [np.frombuffer(b, dtype="<u4") for b in self._encode(texts)]
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        ids = [list(map(self.known.get, w)) for w in words]
-        open_ = [i for i, x in enumerate(ids) if None in x]
-        if open_:
-            self._learn({w for i in open_ for w, x in zip(words[i], ids[i], strict=True) if x is None})
-            for i in open_:
-                ids[i] = [self.known.get(w) if x is None else x for w, x in zip(words[i], ids[i], strict=True)]
-        return [np.frombuffer(b"".join(x), dtype="<u4") for x in ids]
+        ids, sizes = self.flat(pa.array(texts, pa.string()), 0)
+        return [ids[e - n : e - 1] for e, n in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -458,7 +593,7 @@ def _open(folder: str):
 
 
 def _writer(folder: str, vocabulary: str, end_id: int):
-    def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
@@ -469,18 +604,16 @@ def _writer(folder: str, vocabulary: str, end_id: int):
         documents: list[tuple[int | None, np.ndarray]] = []
         out = None
         partial = f"{path}/_{name}.{uuid.uuid4().hex}"
-        end = np.array([end_id], dtype="<u4")
-        for pdf in parts:
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
-            for i in range(0, len(texts), 256):
-                for d, x in zip(ids[i : i + 256], encoder(texts[i : i + 256]), strict=True):
-                    documents.append((d, np.concatenate([x, end])))
-                    held += len(x) + 1
-                    if held >= BLOCK * LANES:
-                        out = out or _begin(system, partial)
-                        out.write(group_bytes(documents))
-                        n_docs, n_ids, held, documents = n_docs + len(documents), n_ids + held, 0, []
+        for part in _pooled(parts):
+            doc_ids, texts = (part.column(c).combine_chunks() for c in ("doc_id", "text"))
+            ids, sizes = encoder.flat(texts.cast(pa.string()), end_id)
+            for d, e, n in zip(doc_ids.to_pylist(), np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+                documents.append((d, ids[e - n : e]))
+                held += n
+                if held >= BLOCK * LANES:
+                    out = out or _begin(system, partial)
+                    out.write(group_bytes(documents))
+                    n_docs, n_ids, held, documents = n_docs + len(documents), n_ids + held, 0, []
         if documents:
             out = out or _begin(system, partial)
             out.write(group_bytes(documents))
@@ -489,11 +622,25 @@ def _writer(folder: str, vocabulary: str, end_id: int):
             out.write(b"END1" + struct.pack("<QQ", n_docs, n_ids))
             out.close()
             system.move(partial, f"{path}/{name}")
-            yield pd.DataFrame({"file": [name], "documents": [n_docs], "ids": [n_ids]})
+            yield pa.RecordBatch.from_pydict({"file": [name], "documents": [n_docs], "ids": [n_ids]})
 
     return write
 
 
+def _pooled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of ``parts``, so many at a time that their texts have about ``POOL`` bytes."""
+    pool, held = [], 0
+    for part in parts:
+        for i in range(0, part.num_rows, 256):
+            pool.append(part.slice(i, 256))
+            held += pc.sum(pc.binary_length(pool[-1].column("text"))).as_py() or 0
+            if held >= POOL:
+                yield pa.Table.from_batches(pool)
+                pool, held = [], 0
+    if pool:
+        yield pa.Table.from_batches(pool)
+
+
 def _begin(system, path: str):
     out = system.open_output_stream(path)
     out.write(b"PRSMIDS2")
@@ -513,7 +660,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_I
     spread = rows.withColumn("t", F.xxhash64("text")).withColumn("p", F.monotonically_increasing_id())
     keys = [F.col("doc_id").asc_nulls_first(), "t", "p"]
     ordered = spread.repartitionByRange(files, *keys).sortWithinPartitions(*keys).drop("t", "p")
-    done = ordered.mapInPandas(_writer(folder, vocabulary, end_id), "file string, documents long, ids long")
+    done = ordered.mapInArrow(_writer(folder, vocabulary, end_id), "file string, documents long, ids long")
     return sorted((r["file"], r["documents"], r["ids"]) for r in done.collect())
 
 

@@ -2,6 +2,7 @@
 
 import io
 import struct
+import zlib
 
 import duckdb
 import numpy as np
@@ -400,6 +401,58 @@ def test_words_encode_like_whole_texts(monkeypatch):
         assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_words_of_letters_share_ids():
+    """A word is encoded once whatever its case and the signs behind it, and words of a later call are known."""
+    encoder = token_files.WordEncoder(token_files.vocabulary_path())
+    seen = []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(w for t in texts for w in t.split())
+            return self.inner.encode_batch_fast(texts, **options)
+
+    whole = encoder.tokenizer
+    encoder.tokenizer = Counting(whole)
+    if getattr(encoder, "bare", None) is not None:
+        encoder.bare = Counting(encoder.bare)
+    words = [f"{a}straße{b}" for a in ("x", "tür", "où") for b in ("q", "漢", "ж")]
+    texts = [" ".join(f"{w} {w}. {w.replace('s', 'S')}***\n{w.replace('t', 'T')}?!" for w in words)] * 2
+    for _ in range(2):
+        for t, ids in zip(texts, encoder(texts)):
+            assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids
+    assert sorted(w for w in seen if w[0].isalpha()) == sorted(words)
+
+
+def test_letters_that_decompose_before_signs():
+    encoder = token_files.WordEncoder(token_files.vocabulary_path())
+    texts = ["\u0958.", "a\ufb1f! b", "\u1112\u1161\u11ab, H\u0331.", "\u0130. i\u0307?", "it's! x'.", "<|endoftext|>. A<|endoftext|>", "", " \n", "\U00016d63\U00016d67."]
+    for t, ids in zip(texts, encoder(texts)):
+        assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_BYTES", 2000)
+    encoder = token_files.WordEncoder(token_files.vocabulary_path())
+    for i in range(30):
+        texts = [f"Common w{chr(97 + i % 26)}{chr(97 + j)}{'z' * (i // 26)}x, 7{j}" for j in range(26)]
+        for t, ids in zip(texts, encoder(texts)):
+            assert ids.tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+    assert len(encoder.words) < 400
+
+
+def test_file_bytes_stay():
+    """Files of one format have the same bytes, however blocks are coded."""
+    ids = (np.arange(9000, dtype=np.uint64) ** 2 % 997 % 331).astype("<u4")
+    data = token_files.group_bytes([(1, ids[:4000]), (None, ids[4000:])])
+    assert (len(data), zlib.crc32(data)) == (9487, 3815306959)
+
+
 def test_urls(spark):
     urls = ["http://A.org/x", "https://sub.example.org/es/1", "http://example.org/en/12?x", "http://x.com/fr/#y", "ftp://x.com/de/", "http://spam-farm.example.net", None, "no url", "http://x.spam-farm.example.org/a", "http://"]
     rows = spark.createDataFrame([(i, u, "r") for i, u in enumerate(urls * 2)], "page_id bigint, url string, rule string")
