@@ -402,10 +402,14 @@ def _made_of(chars: list[str]) -> str:
 def _pick(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The values of the items ``which``, one item after the other, and the number of each."""
     n = sizes.take(which)
-    ends = np.cumsum(n)
-    at = np.repeat(starts.take(which) - ends + n, n)
-    at += np.arange(len(at))
-    return values.take(at), n
+    out, done = np.empty(int(n.sum()), dtype=values.dtype), 0
+    for i in range(0, len(which), 1 << 17):
+        some = n[i : i + (1 << 17)]
+        at = np.repeat(starts.take(which[i : i + (1 << 17)]) - np.cumsum(some) + some, some)
+        at += np.arange(len(at))
+        out[done : done + len(at)] = values.take(at)
+        done += len(at)
+    return out, n
 
 
 def _text_bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -416,17 +420,19 @@ def _text_bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.StringArray:
-    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32, copy=False)), pa.py_buffer(data))
 
 
 def _split(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     """The words between spaces and newlines, some of them empty, and the place of the last of each text."""
     data, offsets = _text_bytes(texts)
     gaps = (data == 32) | (data == 10)
-    at = np.flatnonzero(gaps)
+    at = np.flatnonzero(gaps).astype(np.int32)
     before = np.searchsorted(at, offsets[1:])
-    stops = np.insert(at - np.arange(len(at)), before, offsets[1:] - before)
-    return _strings(data[~gaps], np.append(0, stops)), before + np.arange(len(before))
+    at -= np.arange(len(at), dtype=np.int32)
+    stops = np.insert(at, np.append(0, before), np.append(0, offsets[1:] - before))
+    np.logical_not(gaps, out=gaps)
+    return _strings(data[gaps], stops), before + np.arange(len(before))
 
 
 class WordEncoder:
@@ -564,8 +570,11 @@ class WordEncoder:
             return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
         words, last = _split(texts)
         coded = words.dictionary_encode()
+        del words
         ids, sizes = self._ids_of(coded.dictionary)
         which = np.insert(coded.indices.to_numpy(), last + 1, len(sizes))
+        del coded
+        pa.default_memory_pool().release_unused()
         ids, sizes = np.append(ids, np.array(end_id, dtype="<u4")), np.append(sizes, 1)
         got, n = _pick(ids, np.cumsum(sizes) - sizes, sizes, which)
         return got, np.diff(np.cumsum(n)[last + 1 + np.arange(len(last))], prepend=0)
@@ -635,8 +644,8 @@ def _pooled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             pool.append(part.slice(i, 256))
             held += pc.sum(pc.binary_length(pool[-1].column("text"))).as_py() or 0
             if held >= POOL:
-                yield pa.Table.from_batches(pool)
-                pool, held = [], 0
+                table, pool, held = pa.Table.from_batches(pool), [], 0
+                yield table
     if pool:
         yield pa.Table.from_batches(pool)
 
