@@ -97,6 +97,21 @@ def test_overlaps_of_one_crowded_tile_are_many_tasks(spark, monkeypatch):
     assert len({r["task"] for r in got}) > 4
 
 
+@pytest.mark.parametrize("mixed", [False, True])
+def test_a_crowded_place_is_shuffled_a_bounded_number_of_times(spark, monkeypatch, mixed):
+    """Rows are not copied in proportion to the place's boxes, and every pair meets once."""
+    monkeypatch.setattr(detection, "SLICE", 4)
+    rows = [(1, c, (0.0, 0.0, 9.0, 9.0 + c), [c], not mixed or c % 5 > 0) for c in range(500)]
+    made = spark.createDataFrame(rows, "p int, c long, box struct<x1 double, y1 double, x2 double, y2 double>, ids array<long>, equal boolean")
+    large = made.where("equal").selectExpr("p", "c as l", "box as lb", "ids as li")
+    other = made.selectExpr("p", "c as s", "box as sb", "ids as si", "equal")
+    left, right, tasks = detection._sliced(large, other, ["p"])
+    assert left.count() + right.count() <= 2 * detection.SLICES * 500 and 1 <= tasks <= detection.SLICES**2
+    assert mixed or left.count() + right.count() <= (detection.SLICES + 1) * 500 * 1.2
+    got = sorted(tuple(sorted((r["l"], r["s"]))) for r in detection._meet(large, other, ["p"]).select("l", "s").collect())
+    assert got == sorted((a, b) for a in range(500) for b in range(a, 500) if rows[a][4] or (rows[b][4] and a != b))
+
+
 def test_six_places(spark):
     """Halves go up, as in DuckDB."""
     values = [0.0, 1.0, 1 / 128, 3 / 128, 1 / 3, 2 / 3, 0.1234565, 0.9999995, 0.49999999999999994e-6, None]
